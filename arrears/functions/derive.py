@@ -121,6 +121,25 @@ def date_lit(value) -> Column:
     return F.to_date(F.lit(str(value)[:10]))
 
 
+# ---- money ---------------------------------------------------------------
+
+MONEY = "decimal(19,4)"
+_MONEY_SCALE = 10_000
+
+
+def money_sum(c) -> Column:
+    """Exact sum of a ``decimal(19,4)`` column as ``decimal(19,4)``.
+
+    Summing decimal(19,4) directly keeps a decimal(29,4) buffer, which
+    Spark evaluates with big-decimal objects.  Summing the unscaled value
+    as a long is exact (ANSI mode raises on overflow instead of wrapping)
+    and stays in primitive arithmetic; the scale is put back once per
+    group.  NULL when no row contributes, like ``sum``.
+    """
+    unscaled = (_col(c).cast(MONEY) * F.lit(_MONEY_SCALE)).cast("long")
+    return (F.sum(unscaled).cast("decimal(19,0)") * F.lit(1 / _MONEY_SCALE).cast("decimal(5,4)")).cast(MONEY)
+
+
 # ---- X1 / X2 / X3: bands and codes ---------------------------------------
 
 def _bands(x: Column, bands, above: str | None, default: str) -> Column:

@@ -45,8 +45,8 @@ def open_instalments(parcelas: DataFrame, as_of, parcelas_info: DataFrame | None
     return (p.groupBy("id_titulo").agg(
         F.min("numero_parcela").alias("numero_parcela"),
         F.min(v).alias("valor_principal"),
-        F.sum(v).cast(MONEY).alias("risco"),
-        F.sum(F.when(F.col("data_vencimento") < midnight, v)).cast(MONEY).alias("saldo_vencido"),
+        X.money_sum(v).alias("risco"),
+        X.money_sum(F.when(F.col("data_vencimento") < midnight, v)).alias("saldo_vencido"),
         F.min("data_vencimento").alias("data_vencimento"),
         F.max("data_inclusao").alias("data_inclusao"),
         F.max("data_reabertura").alias("data_reabertura"),
@@ -177,3 +177,26 @@ def today_snapshot(base360: DataFrame, as_of, cols=None) -> DataFrame:
     ``data``)."""
     df = base360.filter(F.col("data") >= X.date_lit(as_of))
     return df.select(*cols) if cols else df
+
+
+def run_base360(spark, base360_path: str, base: DataFrame, as_of) -> DataFrame:
+    """M2 as a job: derive today's snapshot from ``Base``, apply it to the
+    stored Base360 (partitioned by ``data``; only ``data >= today`` is
+    read, by partition pruning) and overwrite just those partitions.
+    Returns the volume counts (one row).  A first run on a missing table
+    inserts everything."""
+    from arrears.plans.runlog import volumes_from_actions
+    from arrears.sources import io
+
+    staged = base360_derive(base, as_of)
+    try:
+        target = spark.read.parquet(base360_path)
+    except Exception:  # noqa: BLE001 - first run: no table yet
+        target = staged.limit(0)
+    new = base360_apply(target.select(*staged.columns), staged, as_of, mark=True)
+    from arrears.session import cut_lineage
+    new = cut_lineage(new)
+    counts = volumes_from_actions(new, staged)
+    counts = cut_lineage(counts)
+    io.replace_partitions(new.drop("acao"), base360_path, ["data"])
+    return counts
