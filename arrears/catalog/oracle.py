@@ -545,6 +545,33 @@ SELECT CAST((SELECT count(*) FROM src) AS BIGINT) AS linhas_origem,
        CAST(count(CASE WHEN acao = 'U' THEN 1 END) AS BIGINT) AS linhas_atualizadas,
        CAST(count(CASE WHEN acao IN ('I', 'U') THEN 1 END) AS BIGINT) AS linhas_totais_destino
 FROM up""", T_PAIR + [("changed", CHANGED), ("up", UPSERT_SQL)])
+    q["load_insert_only"] = with_ctes(["runs"], f"""
+SELECT *, 'N' AS acao FROM held
+UNION ALL
+SELECT *, 'I' AS acao FROM stg s WHERE NOT EXISTS (SELECT 1 FROM held h WHERE h.event_id = s.event_id)""",
+                                      [("held", "SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-10 00:00:00'"),
+                                       ("stg", f"""
+  SELECT * FROM events
+  WHERE coalesce(CASE WHEN (SELECT max(event_id) FROM held) IS NOT NULL
+                      THEN event_id > (SELECT max(event_id) FROM held)
+                      ELSE ts >= CAST({PURCHASE_W} AS TIMESTAMP) OR {PURCHASE_W} IS NULL END, FALSE)""")])
+    q["load_upsert"] = with_ctes(["titulos"], UPSERT_SQL, T_PAIR + [
+        ("stg", f"""
+  SELECT DISTINCT * FROM src
+  WHERE id_titulo > (SELECT coalesce(max(id_titulo), 0) FROM held) OR coalesce(data_atualizacao >= {WTS}, FALSE)"""),
+        ("changed", CHANGED.replace("FROM src s", "FROM stg s"))])
+    q["load_parent_scoped"] = with_ctes(["acordos", "pagar", "negociadas"], """
+SELECT *, 'N' AS acao FROM held
+UNION ALL
+SELECT *, 'I' AS acao FROM negociadas a
+WHERE EXISTS (SELECT 1 FROM sc b WHERE a.id_acordo = b.id_acordo)
+  AND NOT EXISTS (SELECT 1 FROM held h WHERE h.id_acordo = a.id_acordo)""", [
+        ("held", f"""
+  SELECT n.* FROM negociadas n
+  WHERE EXISTS (SELECT 1 FROM acordos a WHERE a.id_acordo = n.id_acordo AND a.data_inclusao < {WTS})"""),
+        ("sc", scope + f"""
+  UNION ALL
+  SELECT id_acordo FROM pagar WHERE data_pagamento = {PAY} OR data_vencimento BETWEEN {W} AND {C_DAY}""")])
     q["mailing_attach"] = with_ctes(SNAP_NAMES + ["mailing_target"], """
 SELECT b.data, b.id_devedor, b.id_titulo, b.codigo_referencia, min(m.id_carteira) AS id_carteira,
        arg_min(m.id_retirada, m.id_carteira) AS id_retirada
@@ -592,6 +619,34 @@ FROM mailing_target m""", [("reasons", reasons), ("held", "SELECT * FROM mailing
   SELECT h.id_carteira, h.id_devedor FROM held h
   WHERE EXISTS (SELECT 1 FROM reasons r WHERE r.id_carteira IS NULL AND r.id_devedor = h.id_devedor
                   AND (r.complemento IN ('Colchão', 'Remessa') OR r.complemento LIKE '%BAIXA PGTO DO / DT PGTO%'))""")])
+    q["mailing_run"] = with_ctes(["ocorrencias_retorno", "titulos_carteira", "promessas", "mailing_target",
+                                  "mailing_source", "parcelas"], """
+SELECT m.id_carteira, m.id_devedor,
+       CASE WHEN EXISTS (SELECT 1 FROM ret r WHERE coalesce(m.id_carteira, r.id_carteira) = r.id_carteira
+                         AND m.id_devedor = r.id_devedor) THEN 1
+            WHEN m.id_retirada IS NULL AND NOT EXISTS (
+                 SELECT 1 FROM mailing_source s WHERE coalesce(m.id_carteira, s.id_carteira) = s.id_carteira
+                   AND m.id_devedor = s.id_devedor) THEN 2
+            ELSE m.id_retirada END AS id_retirada
+FROM allm m""", [("reasons", reasons), ("held", "SELECT * FROM mailing_target WHERE id_retirada IS NULL"),
+                 ("ret", """
+  SELECT id_carteira, id_devedor FROM (
+    SELECT DISTINCT t.id_carteira, t.id_devedor FROM parcelas p JOIN titulos_carteira t ON p.id_titulo = t.id_titulo
+    WHERE CAST(p.data_devolucao AS DATE) = DATE '2024-01-14') a
+  WHERE NOT EXISTS (SELECT 1 FROM parcelas p JOIN titulos_carteira t ON p.id_titulo = t.id_titulo
+                    WHERE p.id_situacao_parcela = 'A' AND t.id_carteira = a.id_carteira
+                      AND t.id_devedor = a.id_devedor)
+    AND EXISTS (SELECT 1 FROM held h WHERE h.id_carteira = a.id_carteira AND h.id_devedor = a.id_devedor)
+  UNION ALL
+  SELECT r.id_carteira, r.id_devedor FROM reasons r
+  WHERE (r.complemento IN ('Colchão', 'Remessa') OR r.complemento LIKE '%BAIXA PGTO DO / DT PGTO%')
+    AND EXISTS (SELECT 1 FROM held h WHERE h.id_carteira = r.id_carteira AND h.id_devedor = r.id_devedor)"""),
+                 ("allm", """
+  SELECT * FROM mailing_target
+  UNION ALL
+  SELECT s.id_carteira, s.id_devedor, CAST(NULL AS INTEGER) FROM (SELECT DISTINCT * FROM mailing_source) s
+  WHERE NOT EXISTS (SELECT 1 FROM mailing_target m WHERE m.id_devedor = s.id_devedor
+                    AND m.id_carteira = s.id_carteira)""")])
     crm_names = SNAP_NAMES + ["ocorrencias", "eventos", "tipos_ocorrencias", "tipos_eventos", "ligacoes", "usuarios"]
     q["crm_contacts"] = with_ctes(crm_names, f"""
 SELECT s.* FROM crm s WHERE NOT EXISTS (

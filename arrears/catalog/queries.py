@@ -9,6 +9,7 @@ natural key (debtor, contract, day) is kept instead.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,10 +18,11 @@ from pyspark.sql import functions as F
 from arrears.functions import derive as X
 from arrears.operators import incremental as inc
 from arrears.operators import merge as mg
-from arrears.plans import derived, marts, runlog, snapshot
+from arrears.plans import derived, loads, marts, runlog, snapshot
 from arrears.sources import standins as S
 from arrears.sources.standins import CONTRACT_AS_OF as C_AS_OF
 from arrears.sources.standins import EVENT_AS_OF as E_AS_OF
+from arrears.session import cut_lineage
 
 # Load clock of the contract world: last successful load on Monday
 # 1998-08-31 (so the payment date is Friday 1998-08-28).
@@ -280,6 +282,40 @@ def q_load_volumes(spark, sf_dir):
     return runlog.volumes_from_actions(marked, src)
 
 
+# ------------------------------------------------------- table-load shapes
+
+def q_load_insert_only(spark, sf_dir):
+    """The contact loads' shape (L15-L17): id-else-date extract, insert
+    only, through the ``TableLoad`` spec; new table state marked I / N."""
+    t = _t(spark, sf_dir)
+    spec = dataclasses.replace(loads.LOADS_BY_JOB["ProcOcorrencias"], key=["event_id"], id_col="event_id",
+                               date_col="ts")
+    held = t.events.filter(F.col("ts") < X.ts_lit("2024-01-10 00:00:00"))
+    w = inc.watermark_of(S.runs(t), "purchase", "forward")
+    return spec.plan(t.events, held, watermark=w)
+
+
+def q_load_upsert(spark, sf_dir):
+    """The id-or-version upsert shape (L1-L7): extract by id above the
+    target's maximum or version since the watermark, drop unchanged rows,
+    insert absent keys, update changed keys."""
+    src, held = _titulos_pair(spark, sf_dir)
+    spec = dataclasses.replace(loads.LOADS_BY_JOB["ProcTitulos"], set_cols=["plano", "data_atualizacao"])
+    return spec.plan(src, held, watermark=C_WATERMARK)
+
+
+def q_load_parent_scoped(spark, sf_dir):
+    """The parent-scoped shape (L13): children of agreements in scope by
+    their own dates or their instalments' (union all of key lists), inserted
+    when the agreement is not held yet (D21)."""
+    t = _t(spark, sf_dir)
+    spec = loads.LOADS_BY_JOB["AcordosParcelasNegociadas"]
+    neg = S.acordos_parcelas_negociadas(t)
+    held = neg.join(_acordos_held(t).select("id_acordo"), "id_acordo", "left_semi")
+    return spec.plan(neg, held, watermark=C_WATERMARK, as_of=C_AS_OF,
+                     inputs={"acordos": S.acordos(t), "parcelas_pagar": S.acordos_parcelas_pagar(t)})
+
+
 # ------------------------------------------------------------------ mailing
 
 def q_mailing_attach(spark, sf_dir):
@@ -306,30 +342,39 @@ def q_mailing_flags(spark, sf_dir):
     return derived.mailing_flags(mailing, S.mailing_source(t), returns)
 
 
+def q_mailing_run(spark, sf_dir):
+    """M10 end to end: returned debtors and return reasons, new rows from
+    today's list, then flags 1 (returned) and 2 (left the list)."""
+    t = _t(spark, sf_dir)
+    return derived.mailing_run(S.mailing_source(t), S.mailing_target(t), S.parcelas(t), S.titulos_carteira(t),
+                               S.ocorrencias_retorno(t), S.promessas(t), E_AS_OF)
+
+
 # -------------------------------------------------------------------- CRM
 
-def _crm(t, as_of, contacts_before=None):
+def _crm(t, as_of):
     contacts = marts.crm_contacts(S.ocorrencias(t), S.eventos(t), S.tipos_ocorrencias(t), S.tipos_eventos(t),
                                   S.ligacoes(t), S.usuarios(t), as_of)
-    if contacts_before is not None:
-        contacts = contacts.filter(F.col("data") < X.ts_lit(contacts_before))
     return marts.crm_final(contacts, _base360(t, as_of), as_of)
 
 
 def q_crm_contacts(spark, sf_dir):
-    """Contacts of the day not yet in CRM360 (the 12:00 run loaded the
-    morning)."""
+    """Contacts of the day not yet in CRM360: the mart holds what the 12:00
+    run loaded (the same job over the contacts before 12:00 -- the contact
+    filter commutes with the joins, so it is taken from the staged rows)."""
     t = _t(spark, sf_dir)
-    staged = _crm(t, E_AS_OF)
-    target = _crm(t, E_AS_OF, contacts_before=E_AS_OF)
+    staged = cut_lineage(_crm(t, E_AS_OF))
+    target = staged.filter(F.col("data") < X.ts_lit(E_AS_OF))
     return mg.insert_absent(target, staged, ["id_base", "data"]).drop("id_base")
 
 
 # ----------------------------------------------------------------- dialers
 
 def q_dialer_calls(spark, sf_dir):
+    """Calls not yet in Discador360; the mart holds the calls the 12:00
+    run loaded (derived from the same materialised snapshot slice)."""
     t = _t(spark, sf_dir)
-    base = _base360(t, E_AS_OF)
+    base = cut_lineage(_base360(t, E_AS_OF))
     target = marts.attach_calls(marts.read_dialer(S.dialer_source(t), E_AS_OF), base, E_AS_OF,
                                 marts.DIALER_DURATIONS).filter(F.col("data") < X.ts_lit(E_AS_OF))
     return marts.dialer_calls(S.dialer_source(t), base, target, E_AS_OF).drop("id_base")
@@ -337,7 +382,7 @@ def q_dialer_calls(spark, sf_dir):
 
 def q_digital_calls(spark, sf_dir):
     t = _t(spark, sf_dir)
-    base = _base360(t, E_AS_OF)
+    base = cut_lineage(_base360(t, E_AS_OF))
     target = marts.attach_calls(marts.read_digital(S.digital_source(t), E_AS_OF), base, E_AS_OF,
                                 marts.DIGITAL_DURATIONS).filter(F.col("data") < X.ts_lit(E_AS_OF))
     return marts.digital_calls(S.digital_source(t), base, target, E_AS_OF).drop("id_base")
@@ -366,7 +411,7 @@ def q_payments_mart(spark, sf_dir):
     hist = _base360_history(t)
     empty = hist.limit(0).select("id_base", F.lit(0).cast("bigint").alias("id_acordo"),
                                  F.lit(0).alias("numero_parcela"))
-    staged = marts.payments_mart(*star, hist, empty)
+    staged = cut_lineage(marts.payments_mart(*star, hist, empty))
     target = staged.filter(F.col("status_acordo") == "Quitado")
     return mg.insert_absent(target, staged, marts.FACT_KEY).drop("id_base")
 
@@ -378,6 +423,7 @@ def q_due_mart(spark, sf_dir):
     staged, _ = marts.due_mart(*star, base, base.limit(0).select("id_base", F.lit(0).cast("bigint")
                                                                 .alias("id_acordo"),
                                                                 F.lit(0).alias("numero_parcela")), C_AS_OF)
+    staged = cut_lineage(staged)
     target = staged.filter(F.col("status_acordo") == "Quitado")
     return mg.insert_absent(target, staged, marts.FACT_KEY).drop("id_base")
 
@@ -458,10 +504,14 @@ QUERIES = {
     "fill_null_once": q_fill_null_once,
     "update_unless_equal": q_update_unless_equal,
     "load_volumes": q_load_volumes,
+    "load_insert_only": q_load_insert_only,
+    "load_upsert": q_load_upsert,
+    "load_parent_scoped": q_load_parent_scoped,
     "mailing_attach": q_mailing_attach,
     "mailing_returns": q_mailing_returns,
     "return_reasons": q_return_reasons,
     "mailing_flags": q_mailing_flags,
+    "mailing_run": q_mailing_run,
     "crm_contacts": q_crm_contacts,
     "dialer_calls": q_dialer_calls,
     "digital_calls": q_digital_calls,

@@ -155,7 +155,7 @@ def update_unless_equal(target: DataFrame, staged: DataFrame, keys, version_col:
 
 
 def upsert(target: DataFrame, staged: DataFrame, keys, version_cols: Sequence[str],
-           set_cols: Sequence[str], mark: bool = False) -> DataFrame:
+           set_cols: Sequence[str], mark: bool = False, null_safe: bool = False) -> DataFrame:
     """C3 = C1 + A7 + K3 + K4 in one full outer join on the key.
 
     Staged rows the target holds with the same version (NULL = sentinel)
@@ -165,7 +165,7 @@ def upsert(target: DataFrame, staged: DataFrame, keys, version_cols: Sequence[st
     exchange of the target is reused.
     """
     keys = _keys(keys)
-    changed = drop_unchanged(staged.distinct(), target, keys, version_cols)
+    changed = drop_unchanged(staged.distinct(), target, keys, version_cols, null_safe=null_safe)
     s_cols = [c for c in target.columns if c not in keys]
     if list(set_cols) == ["*"]:
         set_cols = s_cols
@@ -224,23 +224,35 @@ def wildcard_semi(target: DataFrame, staged: DataFrame, key: str, wild_key: str,
             .unionByName(t_set.join(s_exact, [key, wild_key], how)))
 
 
+def wildcard_marker(target: DataFrame, staged: DataFrame, key: str, wild_key: str) -> DataFrame:
+    """``target`` with a boolean ``_hit``: whether ``wildcard_semi`` keeps
+    the row.  Each half is a left join against a distinct key set (so no
+    target row is duplicated) -- two joins for the whole test."""
+    s = staged.filter(F.col(wild_key).isNotNull())
+    any_key = s.select(key).distinct().withColumn("_hit", F.lit(True))
+    exact = s.select(key, wild_key).distinct().withColumn("_hit", F.lit(True))
+    t_null = target.filter(F.col(wild_key).isNull()).join(any_key, [key], "left")
+    t_set = target.filter(F.col(wild_key).isNotNull()).join(exact, [key, wild_key], "left")
+    cols = target.columns + ["_hit"]
+    return (t_null.select(*cols).unionByName(t_set.select(*cols))
+            .withColumn("_hit", F.coalesce(F.col("_hit"), F.lit(False))))
+
+
 def flag_wildcard(target: DataFrame, staged: DataFrame, key: str, wild_key: str,
                   flag_col: str, value, only_unflagged: bool, anti: bool,
                   mark: bool = False) -> DataFrame:
     """Set ``flag_col`` on the rows selected by ``wildcard_semi`` (or its
-    complement), optionally only where the flag is still NULL."""
+    complement with ``anti``), optionally only where the flag is still
+    NULL."""
     ftype = dict((f.name, f.dataType) for f in target.schema.fields)[flag_col]
-    base = target.filter(F.col(flag_col).isNull()) if only_unflagged else target
-    rest = target.filter(F.col(flag_col).isNotNull()) if only_unflagged else None
-    hit = wildcard_semi(base, staged, key, wild_key, anti=anti)
-    miss = wildcard_semi(base, staged, key, wild_key, anti=not anti)
-    hit = hit.withColumn(flag_col, F.lit(value).cast(ftype))
+    m = wildcard_marker(target, staged, key, wild_key)
+    sel = ~F.col("_hit") if anti else F.col("_hit")
+    if only_unflagged:
+        sel = sel & F.col(flag_col).isNull()
+    out = m.withColumn(flag_col, F.when(sel, F.lit(value).cast(ftype)).otherwise(F.col(flag_col)))
     if mark:
-        hit = hit.withColumn(ACTION, F.lit(UPDATED))
-        miss = miss.withColumn(ACTION, F.lit(KEPT))
-        rest = rest.withColumn(ACTION, F.lit(KEPT)) if rest is not None else None
-    out = hit.unionByName(miss)
-    return out.unionByName(rest) if rest is not None else out
+        out = out.withColumn(ACTION, F.when(sel, F.lit(UPDATED)).otherwise(F.lit(KEPT)))
+    return out.drop("_hit")
 
 
 def load_counts(staged: DataFrame, inserted: DataFrame, updated: DataFrame) -> dict:

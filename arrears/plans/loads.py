@@ -52,15 +52,23 @@ class TableLoad:
     dedup_key: Sequence[str] | None = None
     notes: str = ""
     columns: Sequence[str] = field(default_factory=tuple)
+    version_cols: Sequence[str] = ()      # several version columns (ProcAcordos)
+    null_safe: bool = False               # C2: truly NULL-safe version compare
+    watermark_job: str | None = None      # W3: the parent job whose log is read
+
+    @property
+    def versions(self) -> list[str]:
+        return list(self.version_cols) or ([self.version_col] if self.version_col else [])
 
     # -- plan --------------------------------------------------------------
     def staged(self, source: DataFrame, target: DataFrame, runs: DataFrame | None = None,
-               as_of=None, watermark=None) -> DataFrame:
-        """The extract (rows that may need writing)."""
+               as_of=None, watermark=None, inputs: dict | None = None) -> DataFrame:
+        """The extract (rows that may need writing).  ``inputs`` holds the
+        other source frames a custom extract reads (parents, children)."""
         if self.columns:
             source = source.select(*self.columns)
         if watermark is None and runs is not None and self.extract in (ID_OR_VERSION, ID_OR_DATE, CUSTOM):
-            watermark = inc.watermark_of(runs, self.job, self.watermark_form)
+            watermark = inc.watermark_of(runs, self.watermark_job or self.job, self.watermark_form)
         if self.extract == HIGH_WATER:
             return inc.extract_new(source, target, self.id_col, self.where() if self.where else None)
         if self.extract == ID_OR_VERSION:
@@ -71,19 +79,19 @@ class TableLoad:
         if self.extract == FULL_ABSENT:
             return source.distinct()
         if self.extract == CUSTOM:
-            return self.extract_fn(source, target, watermark=watermark, as_of=as_of)
+            return self.extract_fn(source, target, watermark=watermark, as_of=as_of, inputs=inputs or {})
         raise ValueError(self.extract)
 
     def plan(self, source: DataFrame, target: DataFrame, runs: DataFrame | None = None,
-             as_of=None, watermark=None) -> DataFrame:
+             as_of=None, watermark=None, inputs: dict | None = None) -> DataFrame:
         """New target state, each row marked I / U / N (``acao``)."""
-        staged = self.staged(source, target, runs, as_of, watermark)
+        staged = self.staged(source, target, runs, as_of, watermark, inputs)
         key = list(self.dedup_key or self.key)
         if self.maintain == INSERT_ONLY:
             return mg.append_absent(target, staged.select(*target.columns), key, mark=True)
         if self.maintain == UPSERT:
-            return mg.upsert(target, staged.select(*target.columns), key, [self.version_col],
-                             self.set_cols, mark=True)
+            return mg.upsert(target, staged.select(*target.columns), key, self.versions,
+                             self.set_cols, mark=True, null_safe=self.null_safe)
         if self.maintain == UPDATE_UNLESS_EQUAL:
             changed = mg.drop_unchanged(staged, target, key, [self.version_col])
             ins = mg.insert_absent(target, changed, key).select(*target.columns)
@@ -98,7 +106,7 @@ class TableLoad:
 
     # -- run ---------------------------------------------------------------
     def run(self, spark: SparkSession, source: DataFrame, target_path: str, runs: DataFrame,
-            log_paths: dict, as_of, finished_at=None) -> dict:
+            log_paths: dict, as_of, finished_at=None, inputs: dict | None = None) -> dict:
         """Open the run, write the new target (staged overwrite, D9), log
         volumes and close the run; on failure log the error and close as
         ``Erro``.  The watermark moves only on ``Concluida``."""
@@ -107,7 +115,7 @@ class TableLoad:
         stage = "Carga"
         try:
             target = spark.read.parquet(target_path)
-            new = self.plan(source, target, runs, as_of)
+            new = self.plan(source, target, runs, as_of, inputs=inputs)
             stage = "Persistencia"
             new = new.cache()
             counts = runlog.volumes_from_actions(new).first().asDict()
@@ -126,6 +134,58 @@ class TableLoad:
             raise
 
 
+# ---- custom extracts (H6-H10) ---------------------------------------------
+AGREEMENT_DATES = ["data_inclusao", "data_cancelamento", "data_aprovacao_proposta"]
+
+
+def _pay_date(watermark):
+    from arrears.functions.derive import previous_business_day
+    return previous_business_day(inc.as_watermark(watermark))
+
+
+def extract_parcelas(source, target, watermark=None, as_of=None, inputs=None):
+    """L9 (H9 + F11)."""
+    return inc.extract_instalments(source, target, ["id_parcela"], "data_atualizacao", "data_inclusao",
+                                   "id_situacao_parcela", "A", watermark)
+
+
+def extract_parcelas_info(source, target, watermark=None, as_of=None, inputs=None):
+    """L10 (H10 + J7): needs ``inputs["parcelas"]``, the instalment source."""
+    return inc.extract_by_parent_state(source, inputs["parcelas"], "id_parcela", "id_situacao_parcela", "A",
+                                       "data_atualizacao", watermark, not_null_col="data_reabertura")
+
+
+def extract_acordos(source, target, watermark=None, as_of=None, inputs=None):
+    """L11 (H6 U H7, U3, J9): needs ``inputs["parcelas_pagar"]``."""
+    b1 = mg.drop_unchanged(inc.extract_multi_date(source, AGREEMENT_DATES, watermark), target, ["id_acordo"],
+                           ["id_status_acordo", "data_cancelamento", "data_aprovacao_proposta"])
+    b2 = mg.drop_unchanged(
+        inc.extract_by_child_dates(source, inputs["parcelas_pagar"], "id_acordo", "data_pagamento",
+                                   "data_vencimento", watermark, _pay_date(watermark), as_of),
+        target, ["id_acordo"], ["id_status_acordo"])
+    return b1.unionByName(b2).distinct()
+
+
+def extract_parcelas_pagar(source, target, watermark=None, as_of=None, inputs=None):
+    """L12 (H8 + U2): needs ``inputs["acordos"]``, the agreement source."""
+    scope = inc.parents_in_scope(inputs["acordos"], "id_acordo", AGREEMENT_DATES, watermark)
+    return inc.extract_due_children(source, "id_acordo", scope, "data_pagamento", "data_vencimento",
+                                    watermark, _pay_date(watermark), as_of)
+
+
+def extract_agreement_children(source, target, watermark=None, as_of=None, inputs=None):
+    """L13 / L14 (H8 + U1 + J6): needs ``inputs["acordos"]`` and
+    ``inputs["parcelas_pagar"]``."""
+    from arrears.functions.derive import date_lit
+    from pyspark.sql import functions as F
+    by_parent = inc.parents_in_scope(inputs["acordos"], "id_acordo", AGREEMENT_DATES, watermark)
+    w = inc.as_watermark(watermark)
+    pagar = inputs["parcelas_pagar"]
+    by_child = pagar.filter((F.to_date("data_pagamento") == _pay_date(watermark))
+                            | F.to_date("data_vencimento").between(w, date_lit(as_of)))
+    return inc.extract_children(source, "id_acordo", [by_parent, by_child])
+
+
 # The 25 loads.  Column lists beyond the key / version / set columns are
 # the tables' own (declared in their schemas), so they are not repeated.
 LOADS: list[TableLoad] = [
@@ -159,24 +219,29 @@ LOADS: list[TableLoad] = [
     TableLoad("ProcParcelas", "cob.Parcelas", "Parcelas", ["id_parcela"], CUSTOM, UPSERT,
               id_col="id_parcela", version_col="data_atualizacao", watermark_form="forward",
               set_cols=["id_situacao_parcela", "valor_principal", "data_vencimento", "data_devolucao",
-                        "data_atualizacao"], notes="H9 via extract_instalments"),
+                        "data_atualizacao"], extract_fn=extract_parcelas, notes="H9"),
     TableLoad("ProcParcelasInformacoesComplementares", "cli.ParcelasInformacoesComplementares",
               "ParcelasInformacoesComplementares", ["id_parcela_informacao_complementar"], CUSTOM,
-              UPSERT, version_col="data_atualizacao", watermark_form="forward",
-              set_cols=["data_reabertura", "data_atualizacao"], notes="H10 via extract_by_parent_state"),
+              UPSERT, version_col="data_atualizacao", watermark_form="forward", null_safe=True,
+              set_cols=["data_reabertura", "data_atualizacao"], extract_fn=extract_parcelas_info,
+              notes="H10 + C2 (NULL-safe compare)"),
     TableLoad("ProcAcordos", "cob.Acordos", "Acordos", ["id_acordo"], CUSTOM, UPSERT,
-              version_col="id_status_acordo", watermark_form="forward",
+              version_cols=["id_status_acordo", "data_cancelamento", "data_aprovacao_proposta"],
+              watermark_form="forward", extract_fn=extract_acordos,
               set_cols=["id_status_acordo", "data_cancelamento", "id_usuario_cancelamento",
                         "data_aprovacao_proposta", "proposta"], notes="H6 U H7"),
     TableLoad("ProcAcordosParcelasPagar", "cob.AcordosParcelasPagar", "AcordosParcelasPagar",
               ["id_acordo_parcela_pagar"], CUSTOM, FILL_ONCE, version_col="data_pagamento",
-              watermark_form="penultimate", set_cols=["data_pagamento", "valor_pago"], notes="H8 + U2"),
+              watermark_form="penultimate", watermark_job="ProcAcordos", extract_fn=extract_parcelas_pagar,
+              set_cols=["data_pagamento", "valor_pago"], notes="H8 + U2"),
     TableLoad("AcordosParcelasNegociadas", "cob.AcordosParcelasNegociadas", "AcordosParcelasNegociadas",
               ["id_acordo_parcela_negociada"], CUSTOM, INSERT_ONLY, watermark_form="penultimate",
+              watermark_job="ProcAcordos", extract_fn=extract_agreement_children,
               dedup_key=["id_acordo"], notes="H8 + U1; D21 dedup by agreement"),
     TableLoad("AcordosInformacoesComplementares", "cli.AcordosInformacoesComplementares",
               "AcordosInformacoesComplementares", ["id_acordo"], CUSTOM, INSERT_ONLY,
-              watermark_form="penultimate", notes="H8 + U1"),
+              watermark_form="penultimate", watermark_job="ProcAcordos",
+              extract_fn=extract_agreement_children, notes="H8 + U1"),
     TableLoad("ProcEventos", "oco.Eventos", "Eventos", ["id_evento"], ID_OR_DATE, INSERT_ONLY,
               id_col="id_evento", date_col="data_evento", watermark_form="forward"),
     TableLoad("ProcOcorrencias", "oco.Ocorrencias", "Ocorrencias", ["id_ocorrencia"], ID_OR_DATE,

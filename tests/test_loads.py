@@ -67,3 +67,54 @@ def test_streaming_insert_only(spark, scratch):
     q.processAllAvailable()
     q.stop()
     assert sorted(r.id_titulo for r in spark.read.parquet(target).collect()) == [1, 2, 3]
+
+
+def _ts(s):
+    return dt.datetime.fromisoformat(s)
+
+
+def test_custom_specs_plan(spark):
+    W = dt.date(2026, 8, 17)          # a Monday: payment date is Friday 08-14
+    as_of = dt.datetime(2026, 8, 18, 9, 0)
+    # L9 instalments: first load takes open or changed rows; next load only changed / new not held
+    P = "id_parcela long, id_situacao_parcela string, data_inclusao timestamp_ntz, data_atualizacao timestamp_ntz"
+    src = spark.createDataFrame([(1, "A", _ts("2026-01-01"), _ts("2026-01-02")),
+                                 (2, "P", _ts("2026-01-01"), _ts("2026-08-17 10:00")),
+                                 (3, "P", _ts("2026-01-01"), _ts("2026-01-02"))], P)
+    spec = loads.LOADS_BY_JOB["ProcParcelas"]
+    first = spec.plan(src, src.limit(0), watermark=W)
+    assert sorted(r.id_parcela for r in first.collect()) == [1, 2]
+    held = src.filter("id_parcela in (1, 2)")
+    nxt = spec.plan(src, held, watermark=W)
+    assert {r.id_parcela: r.acao for r in nxt.collect()} == {1: "N", 2: "N"}
+    # L10 info rows by parent state, NULL-safe version compare
+    I_ = "id_parcela_informacao_complementar long, id_parcela long, data_reabertura date, data_atualizacao timestamp_ntz"
+    info = spark.createDataFrame([(10, 1, dt.date(2026, 8, 1), None), (11, 2, None, None),
+                                  (12, 3, dt.date(2026, 8, 1), None)], I_)
+    spec = loads.LOADS_BY_JOB["ProcParcelasInformacoesComplementares"]
+    out = spec.plan(info, info.limit(0), watermark=W, inputs={"parcelas": src})
+    assert sorted(r.id_parcela_informacao_complementar for r in out.collect()) == [10]
+    # L11 agreements: dates since the watermark, or a child paid from the payment date on
+    A = ("id_acordo long, id_status_acordo string, data_inclusao timestamp_ntz, data_cancelamento timestamp_ntz, "
+         "data_aprovacao_proposta timestamp_ntz")
+    acordos = spark.createDataFrame([(1, "O", _ts("2026-08-17 08:00"), None, None),
+                                     (2, "O", _ts("2026-01-01"), None, None),
+                                     (3, "O", _ts("2026-01-01"), None, None)], A)
+    C = "id_acordo long, numero_parcela int, data_vencimento date, data_pagamento date"
+    pagar = spark.createDataFrame([(2, 1, dt.date(2026, 9, 1), dt.date(2026, 8, 14)),
+                                   (3, 1, dt.date(2026, 9, 1), dt.date(2026, 8, 13))], C)
+    spec = loads.LOADS_BY_JOB["ProcAcordos"]
+    out = spec.plan(acordos, acordos.limit(0), watermark=W, as_of=as_of, inputs={"parcelas_pagar": pagar})
+    assert sorted((r.id_acordo, r.acao) for r in out.collect()) == [(1, "I"), (2, "I")]
+    # L12 payable instalments: children of in-scope parents plus those paid exactly on the payment date
+    spec = loads.LOADS_BY_JOB["ProcAcordosParcelasPagar"]
+    assert spec.watermark_job == "ProcAcordos"
+    st = spec.staged(pagar, pagar.limit(0), watermark=W, as_of=as_of, inputs={"acordos": acordos})
+    assert sorted(r.id_acordo for r in st.collect()) == [2]
+    # L13 negotiated instalments: union-all scope, then insert dedup by agreement
+    N = "id_acordo_parcela_negociada long, id_acordo long, id_titulo long"
+    neg = spark.createDataFrame([(100, 1, 7), (101, 1, 8), (102, 2, 9), (103, 3, 9)], N)
+    spec = loads.LOADS_BY_JOB["AcordosParcelasNegociadas"]
+    out = spec.plan(neg, neg.filter("id_acordo = 1").limit(1), watermark=W, as_of=as_of,
+                    inputs={"acordos": acordos, "parcelas_pagar": pagar})
+    assert sorted((r.id_acordo_parcela_negociada, r.acao) for r in out.collect()) == [(100, "N"), (102, "I")]
