@@ -156,7 +156,8 @@ def update_unless_equal(target: DataFrame, staged: DataFrame, keys, version_col:
 
 def upsert(target: DataFrame, staged: DataFrame, keys, version_cols: Sequence[str],
            set_cols: Sequence[str], mark: bool = False, null_safe: bool = False) -> DataFrame:
-    """C3 = C1 + A7 + K3 + K4 in one full outer join on the key.
+    """C3 = C1 + A7 + K3 + K4: drop unchanged, one row per key, then one
+    full outer join on the key.
 
     Staged rows the target holds with the same version (NULL = sentinel)
     are dropped; absent keys are inserted whole; matched keys take the
@@ -165,7 +166,9 @@ def upsert(target: DataFrame, staged: DataFrame, keys, version_cols: Sequence[st
     exchange of the target is reused.
     """
     keys = _keys(keys)
-    changed = drop_unchanged(staged.distinct(), target, keys, version_cols, null_safe=null_safe)
+    # A7 (distinct) is implied: one_per_key keeps one row per key anyway, so
+    # the staged rows are not shuffled a third time for a row-level distinct.
+    changed = drop_unchanged(staged, target, keys, version_cols, null_safe=null_safe)
     s_cols = [c for c in target.columns if c not in keys]
     if list(set_cols) == ["*"]:
         set_cols = s_cols
