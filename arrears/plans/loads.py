@@ -114,13 +114,15 @@ class TableLoad:
         io.append(opened, log_paths["runs"])
         stage = "Carga"
         try:
+            io.recover(spark, target_path)
             target = spark.read.parquet(target_path)
             new = self.plan(source, target, runs, as_of, inputs=inputs)
             stage = "Persistencia"
-            new = new.cache()
-            counts = runlog.volumes_from_actions(new).first().asDict()
-            io.replace(new.drop(mg.ACTION), target_path, reads_target=True)
-            new.unpersist()
+            # The marked new state is written once to the shared staging
+            # folder: the counts and the overwrite both read that copy.
+            staged = io.stage(new, target_path)
+            counts = runlog.volumes_from_actions(staged).first().asDict()
+            io.publish(staged, target_path)
             io.append(runlog.log_volume(spark, run_id, self.source, self.target, counts,
                                         finished_at or as_of), log_paths["volumes"])
             io.append(runlog.finish_run(spark, run_id, self.job, as_of, finished_at or as_of, ok=True),

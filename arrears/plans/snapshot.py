@@ -182,21 +182,20 @@ def today_snapshot(base360: DataFrame, as_of, cols=None) -> DataFrame:
 def run_base360(spark, base360_path: str, base: DataFrame, as_of) -> DataFrame:
     """M2 as a job: derive today's snapshot from ``Base``, apply it to the
     stored Base360 (partitioned by ``data``; only ``data >= today`` is
-    read, by partition pruning) and overwrite just those partitions.
-    Returns the volume counts (one row).  A first run on a missing table
-    inserts everything."""
+    read, by partition pruning) and overwrite just those partitions from a
+    staged copy.  Returns the volume counts (one row).  A first run on a
+    missing table inserts everything."""
     from arrears.plans.runlog import volumes_from_actions
     from arrears.sources import io
 
+    io.recover(spark, base360_path, ["data"], dynamic=True)
     staged = base360_derive(base, as_of)
     try:
         target = spark.read.parquet(base360_path)
     except Exception:  # noqa: BLE001 - first run: no table yet
         target = staged.limit(0)
     new = base360_apply(target.select(*staged.columns), staged, as_of, mark=True)
-    from arrears.session import cut_lineage
-    new = cut_lineage(new)
-    counts = volumes_from_actions(new, staged)
-    counts = cut_lineage(counts)
-    io.replace_partitions(new.drop("acao"), base360_path, ["data"])
-    return counts
+    new = io.stage(new, base360_path)
+    counts = volumes_from_actions(new, staged).collect()
+    io.publish(new, base360_path, ["data"], dynamic=True)
+    return spark.createDataFrame(counts)

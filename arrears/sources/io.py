@@ -2,19 +2,26 @@
 
 Parquet tables in Spark reject ``UPDATE`` / ``MERGE`` and overwriting a
 table the plan reads from, so a table update is: compute the new state
-lazily, cut its lineage with a reliable checkpoint in the cluster's shared
-checkpoint folder, then overwrite.  A lost executor during the write
-recomputes from the checkpoint, not from the table being replaced.
+lazily, write it as a staged table in the cluster's shared checkpoint
+folder (this cuts the lineage), then overwrite the target from the staged
+copy.  A lost executor during either write only re-runs its tasks from
+durable inputs; if the whole job dies during the overwrite, ``recover``
+restores the target from the complete staged copy.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from arrears.session import cut_lineage
+from arrears.session import checkpoint_dir
+
+# Bookkeeping columns a staged copy may carry that the table does not.
+STAGE_ONLY_COLS = ("acao",)
 
 
 def read_source(spark: SparkSession, path: str, schema: T.StructType | None = None,
@@ -55,23 +62,73 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] | None = None)
     w.parquet(path)
 
 
-def replace(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
-            reads_target: bool = True) -> None:
-    """Full replace.  When the new state is computed from the
-    table itself, its lineage is cut first (reliable checkpoint)."""
-    out = cut_lineage(df) if reads_target else df
-    w = out.write.mode("overwrite")
+def staged_path(spark: SparkSession, target_path: str) -> str:
+    """Deterministic staging location of a target, under the shared
+    checkpoint folder (so a later run can find it for recovery)."""
+    h = hashlib.sha1(target_path.rstrip("/").encode()).hexdigest()[:16]
+    return checkpoint_dir(spark).rstrip("/") + f"/staged/{h}"
+
+
+def _write(df: DataFrame, path: str, partition_by: Sequence[str] | None, dynamic: bool = False) -> None:
+    w = df.write.mode("overwrite")
+    if dynamic:
+        w = w.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
 
+def stage(df: DataFrame, target_path: str) -> DataFrame:
+    """Write the new state of a target whole to its staged location and
+    return a frame reading it back: the lineage is cut there, and the copy
+    is what ``recover`` restores from."""
+    spark = df.sparkSession
+    path = staged_path(spark, target_path)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def publish(staged: DataFrame, path: str, partition_by: Sequence[str] | None = None,
+            dynamic: bool = False) -> None:
+    """Overwrite the target from a staged copy (all partitions, or only
+    those present with ``dynamic``)."""
+    keep = [c for c in staged.columns if c not in STAGE_ONLY_COLS]
+    _write(staged.select(*keep), path, partition_by, dynamic=dynamic)
+
+
+def replace(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
+            reads_target: bool = True) -> None:
+    """Full replace.  When the new state is computed from the table
+    itself it is first staged whole, then published over the target."""
+    if not reads_target:
+        _write(df, path, partition_by)
+        return
+    publish(stage(df, path), path, partition_by)
+
+
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Snapshot update: overwrite only the partitions present in ``df``
-    (dynamic partition overwrite), after cutting its lineage."""
-    out = cut_lineage(df)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
+    (dynamic partition overwrite), from a staged copy."""
+    publish(stage(df, path), path, partition_by, dynamic=True)
+
+
+def recover(spark: SparkSession, path: str, partition_by: Sequence[str] | None = None,
+            dynamic: bool = False) -> bool:
+    """Re-publish the last staged state when the target is missing or
+    unreadable (a job died while overwriting it).  Returns True when it
+    restored the table."""
+    try:
+        spark.read.parquet(path).limit(1).collect()
+        return False
+    except Exception:  # noqa: BLE001 - target unreadable: try the staged copy
+        pass
+    try:
+        staged = spark.read.parquet(staged_path(spark, path))
+        staged.limit(1).collect()
+    except Exception:  # noqa: BLE001 - nothing staged
+        return False
+    publish(staged, path, partition_by, dynamic=dynamic)
+    return True
 
 
 def purge(spark: SparkSession, path: str, schema: T.StructType) -> None:

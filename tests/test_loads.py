@@ -118,3 +118,14 @@ def test_custom_specs_plan(spark):
     out = spec.plan(neg, neg.filter("id_acordo = 1").limit(1), watermark=W, as_of=as_of,
                     inputs={"acordos": acordos, "parcelas_pagar": pagar})
     assert sorted((r.id_acordo_parcela_negociada, r.acao) for r in out.collect()) == [(100, "N"), (102, "I")]
+
+
+def test_recover_after_interrupted_overwrite(spark, scratch):
+    path = f"{scratch}/tbl"
+    df = spark.createDataFrame([(1, 1, dt.datetime(2026, 8, 1))], SRC)
+    io.replace(df, path)                     # staged copy + target
+    import shutil
+    shutil.rmtree(path)                      # the job died while overwriting the target
+    assert io.recover(spark, path) is True
+    assert spark.read.parquet(path).count() == 1
+    assert io.recover(spark, path) is False  # healthy target: nothing to do
