@@ -558,7 +558,8 @@ SELECT *, 'I' AS acao FROM stg s WHERE NOT EXISTS (SELECT 1 FROM held h WHERE h.
     q["load_upsert"] = with_ctes(["titulos"], UPSERT_SQL, T_PAIR + [
         ("stg", f"""
   SELECT DISTINCT * FROM src
-  WHERE id_titulo > (SELECT coalesce(max(id_titulo), 0) FROM held) OR coalesce(data_atualizacao >= {WTS}, FALSE)"""),
+  WHERE id_titulo > (SELECT coalesce(max(id_titulo), 0) FROM held)
+     OR coalesce(data_atualizacao >= TIMESTAMP '1997-07-01 00:00:00', FALSE)"""),
         ("changed", CHANGED.replace("FROM src s", "FROM stg s"))])
     q["load_parent_scoped"] = with_ctes(["acordos", "pagar", "negociadas"], """
 SELECT *, 'N' AS acao FROM held
@@ -619,6 +620,50 @@ FROM mailing_target m""", [("reasons", reasons), ("held", "SELECT * FROM mailing
   SELECT h.id_carteira, h.id_devedor FROM held h
   WHERE EXISTS (SELECT 1 FROM reasons r WHERE r.id_carteira IS NULL AND r.id_devedor = h.id_devedor
                   AND (r.complemento IN ('Colchão', 'Remessa') OR r.complemento LIKE '%BAIXA PGTO DO / DT PGTO%'))""")])
+    flag_ctes = [("reasons", reasons), ("held", "SELECT * FROM mailing_target WHERE id_retirada IS NULL"),
+                 ("ret", """
+  SELECT r.id_carteira, r.id_devedor FROM reasons r
+  WHERE (r.complemento IN ('Colchão', 'Remessa') OR r.complemento LIKE '%BAIXA PGTO DO / DT PGTO%')
+    AND r.id_carteira IS NOT NULL AND EXISTS (SELECT 1 FROM held h WHERE h.id_carteira = r.id_carteira
+                                                AND h.id_devedor = r.id_devedor)
+  UNION ALL
+  SELECT h.id_carteira, h.id_devedor FROM held h
+  WHERE EXISTS (SELECT 1 FROM reasons r WHERE r.id_carteira IS NULL AND r.id_devedor = h.id_devedor
+                  AND (r.complemento IN ('Colchão', 'Remessa') OR r.complemento LIKE '%BAIXA PGTO DO / DT PGTO%'))"""),
+                 ("flagged", """
+  SELECT m.id_carteira, m.id_devedor,
+         CASE WHEN EXISTS (SELECT 1 FROM ret r WHERE coalesce(m.id_carteira, r.id_carteira) = r.id_carteira
+                           AND m.id_devedor = r.id_devedor) THEN 1
+              WHEN m.id_retirada IS NULL AND NOT EXISTS (
+                   SELECT 1 FROM mailing_source s WHERE coalesce(m.id_carteira, s.id_carteira) = s.id_carteira
+                     AND m.id_devedor = s.id_devedor) THEN 2
+              ELSE m.id_retirada END AS id_retirada
+  FROM mailing_target m"""),
+                 ("earlier", """
+  SELECT m.id_carteira, m.id_devedor, CAST(NULL AS INTEGER) AS id_retirada FROM mailing_target m
+  WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = m.id_devedor AND c.c_mktsegment = 'HOUSEHOLD')""")]
+
+    def attach(src):
+        return f"""
+  SELECT b.data, b.id_devedor, b.id_titulo, arg_min(m.id_retirada, m.id_carteira) AS id_retirada
+  FROM b360 b JOIN (SELECT m.*, c.codigo_referencia FROM {src} m
+                    JOIN carteiras c ON m.id_carteira = c.id_carteira) m
+    ON b.id_devedor = m.id_devedor AND b.codigo_referencia = m.codigo_referencia
+  WHERE b.data >= DATE '1998-09-01'
+  GROUP BY b.data, b.id_devedor, b.id_titulo, b.codigo_referencia"""
+    q["mailing_attach_apply"] = with_ctes(
+        SNAP_NAMES + ["ocorrencias_retorno", "titulos_carteira", "promessas", "mailing_target", "mailing_source"], """
+SELECT t.data, t.id_devedor, t.id_titulo,
+       CASE WHEN s.id_devedor IS NOT NULL AND coalesce(t.id_retirada, 0) <> coalesce(s.id_retirada, 0)
+            THEN s.id_retirada ELSE t.id_retirada END AS id_retirada,
+       CASE WHEN s.id_devedor IS NOT NULL AND coalesce(t.id_retirada, 0) <> coalesce(s.id_retirada, 0)
+            THEN 'U' ELSE 'N' END AS acao
+FROM tgt t LEFT JOIN stg s ON t.data = s.data AND t.id_devedor = s.id_devedor AND t.id_titulo = s.id_titulo
+UNION ALL
+SELECT s.*, 'I' FROM stg s
+WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.data = s.data AND t.id_devedor = s.id_devedor
+                  AND t.id_titulo = s.id_titulo)""",
+        _b360() + flag_ctes + [("tgt", attach("earlier")), ("stg", attach("flagged"))])
     q["mailing_run"] = with_ctes(["ocorrencias_retorno", "titulos_carteira", "promessas", "mailing_target",
                                   "mailing_source", "parcelas"], """
 SELECT m.id_carteira, m.id_devedor,

@@ -301,7 +301,8 @@ def q_load_upsert(spark, sf_dir):
     insert absent keys, update changed keys."""
     src, held = _titulos_pair(spark, sf_dir)
     spec = dataclasses.replace(loads.LOADS_BY_JOB["ProcTitulos"], set_cols=["plano", "data_atualizacao"])
-    return spec.plan(src, held, watermark=C_WATERMARK)
+    # Last successful load in mid-1997: versions since then are re-read.
+    return spec.plan(src, held, watermark=_dt.date(1997, 7, 1))
 
 
 def q_load_parent_scoped(spark, sf_dir):
@@ -324,6 +325,26 @@ def q_mailing_attach(spark, sf_dir):
         .drop("id_base")
 
 
+def q_mailing_attach_apply(spark, sf_dir):
+    """BaseMailing360 after today's run.  The earlier run saw the mailing
+    before today's flags and before the HOUSEHOLD debtors were added; today
+    the flagged mailing is attached again and applied."""
+    t = _t(spark, sf_dir)
+    base = cut_lineage(_base360(t, C_AS_OF))
+    household = t.customer.filter(F.col("c_mktsegment") == "HOUSEHOLD").select(
+        F.col("c_custkey").alias("id_devedor"))
+    earlier = (S.mailing_target(t).join(household, "id_devedor", "left_anti")
+               .withColumn("id_retirada", F.lit(None).cast("int")).select("id_carteira", "id_devedor", "id_retirada"))
+    mailing = S.mailing_target(t)
+    reasons = derived.return_reasons(S.ocorrencias_retorno(t), S.titulos_carteira(t), S.promessas(t), E_AS_OF)
+    flagged = derived.mailing_flags(mailing, S.mailing_source(t),
+                                    derived.returns_by_reason(reasons, mailing, null_portfolio_matches_any=True))
+    cols = ["id_base", "data", "id_devedor", "id_titulo", "id_retirada"]
+    target = marts.mailing_attach(base, earlier, S.carteiras(t), C_AS_OF).select(*cols)
+    staged = marts.mailing_attach(base, flagged, S.carteiras(t), C_AS_OF).select(*cols)
+    return marts.mailing_apply(target, staged, mark=True).drop("id_base")
+
+
 def q_mailing_returns(spark, sf_dir):
     t = _t(spark, sf_dir)
     return derived.returned_debtors(S.parcelas(t), S.titulos_carteira(t), S.mailing_target(t), C_AS_OF)
@@ -508,6 +529,7 @@ QUERIES = {
     "load_upsert": q_load_upsert,
     "load_parent_scoped": q_load_parent_scoped,
     "mailing_attach": q_mailing_attach,
+    "mailing_attach_apply": q_mailing_attach_apply,
     "mailing_returns": q_mailing_returns,
     "return_reasons": q_return_reasons,
     "mailing_flags": q_mailing_flags,

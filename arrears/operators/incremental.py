@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arrears.functions.derive import LATE_RUN_HOUR, date_lit, previous_business_day, ts_lit
+from arrears.operators.joins import key_set
 
 DONE = "Concluida"
 RUNNING = "Executando"
@@ -168,7 +169,7 @@ def extract_by_child_dates(parents: DataFrame, children: DataFrame, key: str | S
     p = as_watermark(pay_date)
     hit = children.filter((F.to_date(F.col(paid_col)) >= p)
                           | F.to_date(F.col(due_col)).between(w, date_lit(as_of)))
-    return parents.join(hit.select(key), key, "left_semi")
+    return parents.join(key_set(hit, key), key, "left_semi")
 
 
 def parents_in_scope(parents: DataFrame, key: str, date_cols: Sequence[str], watermark) -> DataFrame:
@@ -186,7 +187,7 @@ def extract_children(children: DataFrame, key: str, scope: DataFrame | Sequence[
     keys = scope[0].select(key)
     for s in scope[1:]:
         keys = keys.unionByName(s.select(key))
-    return children.join(keys, key, "left_semi")
+    return children.join(key_set(keys, key), key, "left_semi")
 
 
 def extract_due_children(children: DataFrame, key: str, scope: DataFrame,
@@ -196,7 +197,7 @@ def extract_due_children(children: DataFrame, key: str, scope: DataFrame,
     Both branches keep duplicates, as ``union all`` does (D23)."""
     w = as_watermark(watermark)
     p = as_watermark(pay_date)
-    in_scope = children.join(scope.select(key), key, "left_semi")
+    in_scope = children.join(key_set(scope, key), key, "left_semi")
     by_date = children.filter((F.to_date(F.col(paid_col)) == p)
                               | F.to_date(F.col(due_col)).between(w, date_lit(as_of)))
     return in_scope.unionByName(by_date)
@@ -236,7 +237,7 @@ def extract_by_parent_state(children: DataFrame, parents: DataFrame, key: str |
     if not_null_col:
         out = out.filter(F.col(not_null_col).isNotNull())
     keys = [key] if isinstance(key, str) else list(key)
-    return out.join(qualifying.select(*keys), keys, "left_semi")
+    return out.join(key_set(qualifying, keys), keys, "left_semi")
 
 
 def on_day_before(df: DataFrame, col: str, as_of) -> DataFrame:

@@ -35,12 +35,23 @@ def lookup_default(df: DataFrame, dim: DataFrame, key: str | Sequence[str], col:
     return out.withColumn(alias or col, F.coalesce(F.col("_lk"), F.lit(default))).drop("_lk")
 
 
+def key_set(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+    """Distinct key list for the right side of a semi / anti join.
+
+    The dedup is a partial aggregate (map-side), and its shuffle on the
+    keys is the one the join needs anyway; it bounds the rows a sort-merge
+    semi / anti join buffers per key to one, so a key repeated across a
+    third of the input never piles up in one task."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    return df.select(*keys).distinct()
+
+
 def reduce_by_keys(df: DataFrame, keys_df: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    """Keep the rows of a big table whose key is in a key list.  A semi
-    join needs no distinct key list, and Spark adds a runtime bloom filter
-    on the big side when the key list is selective."""
+    """Keep the rows of a big table whose key is in a key list (a semi
+    join against the distinct keys; Spark adds a runtime bloom filter on
+    the big side when the key list is selective)."""
     keys = [key] if isinstance(key, str) else list(key)
-    return df.join(keys_df.select(*keys), keys, "left_semi")
+    return df.join(key_set(keys_df, keys), keys, "left_semi")
 
 
 def attach_snapshot(facts: DataFrame, base: DataFrame, keys: Sequence[str],
@@ -57,7 +68,7 @@ def semi_where(df: DataFrame, other: DataFrame, key: str | Sequence[str], cond:
     """Semi join against the rows of ``other`` that satisfy an OR
     condition; the condition is applied to ``other`` first."""
     keys = [key] if isinstance(key, str) else list(key)
-    return df.join(other.filter(cond).select(*keys), keys, "left_semi")
+    return df.join(key_set(other.filter(cond), keys), keys, "left_semi")
 
 
 def snapshot_id(*cols) -> Column:

@@ -63,7 +63,7 @@ def insert_absent(target: DataFrame, staged: DataFrame, keys) -> DataFrame:
     """Staged rows whose key the target does not hold.  Duplicates
     inside one batch all go in (D22)."""
     keys = _keys(keys)
-    return staged.join(target.select(*keys), keys, "left_anti")
+    return staged.join(target.select(*keys).distinct(), keys, "left_anti")
 
 
 def append_absent(target: DataFrame, staged: DataFrame, keys, mark: bool = False) -> DataFrame:

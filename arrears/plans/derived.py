@@ -51,9 +51,11 @@ def returned_debtors(parcelas: DataFrame, titulos: DataFrame, mailing: DataFrame
     t = titulos.select("id_titulo", "id_carteira", "id_devedor")
     returned = (on_day_before(parcelas, "data_devolucao", as_of).select("id_titulo")
                 .join(t, "id_titulo").select("id_carteira", "id_devedor").distinct())
-    active = (parcelas.filter(F.col("id_situacao_parcela") == F.lit("A")).select("id_titulo")
-              .join(t, "id_titulo").select("id_carteira", "id_devedor"))
-    held = mailing.filter(F.col("id_retirada").isNull()).select("id_carteira", "id_devedor")
+    # Open instalments are first reduced to distinct contracts (partial
+    # aggregate), then to distinct (portfolio, debtor) pairs.
+    active = (parcelas.filter(F.col("id_situacao_parcela") == F.lit("A")).select("id_titulo").distinct()
+              .join(t, "id_titulo").select("id_carteira", "id_devedor").distinct())
+    held = mailing.filter(F.col("id_retirada").isNull()).select("id_carteira", "id_devedor").distinct()
     pair = ["id_carteira", "id_devedor"]
     return returned.join(active, pair, "left_anti").join(held, pair, "left_semi")
 
@@ -86,15 +88,17 @@ def returns_by_reason(reasons: DataFrame, mailing: DataFrame,
     r = reasons.filter(F.col("complemento").isin(RETURN_REASONS)
                        | F.col("complemento").like(PAYMENT_WRITE_OFF_PATTERN))
     held = mailing.filter(F.col("id_retirada").isNull()).select("id_carteira", "id_devedor")
+    held_keys = held.distinct()
     if null_portfolio_matches_any:
         # A NULL reason portfolio stands for every active portfolio of the
         # debtor: the active rows of debtors with such a reason (a semi
         # join, so no reason-by-row pairs are formed).
         exact = (r.filter(F.col("id_carteira").isNotNull())
-                 .join(held, ["id_carteira", "id_devedor"], "left_semi").select("id_carteira", "id_devedor"))
-        wild = held.join(r.filter(F.col("id_carteira").isNull()).select("id_devedor"), "id_devedor", "left_semi")
+                 .join(held_keys, ["id_carteira", "id_devedor"], "left_semi").select("id_carteira", "id_devedor"))
+        wild = held.join(r.filter(F.col("id_carteira").isNull()).select("id_devedor").distinct(), "id_devedor",
+                         "left_semi")
         return exact.unionByName(wild.select("id_carteira", "id_devedor"))
-    return r.join(held, ["id_carteira", "id_devedor"], "left_semi").select("id_carteira", "id_devedor")
+    return r.join(held_keys, ["id_carteira", "id_devedor"], "left_semi").select("id_carteira", "id_devedor")
 
 
 def mailing_new(source: DataFrame, mailing: DataFrame) -> DataFrame:

@@ -44,16 +44,18 @@ def mailing_attach(base360: DataFrame, mailing: DataFrame, carteiras: DataFrame,
     return first
 
 
-def mailing_apply(target: DataFrame, attached: DataFrame) -> DataFrame:
-    """Insert absent ``id_base`` and refresh the withdrawal flag of present
-    ones (J16).  Returns the new mart state."""
-    new = insert_absent(target, attached, ["id_base"]).select(*target.columns)
-    upd = attached.select("id_base", F.col("id_retirada").alias("_r"))
-    kept = (target.join(upd, "id_base", "left")
-            .withColumn("id_retirada", F.when(F.col("_r").isNotNull() | F.col("id_retirada").isNotNull(),
-                                              F.coalesce(F.col("_r"), F.col("id_retirada"))))
-            .select(*target.columns))
-    return kept.unionByName(new)
+def mailing_apply(target: DataFrame, attached: DataFrame, mark: bool = False) -> DataFrame:
+    """New BaseMailing360 state: insert absent ``id_base`` (K3), and for
+    present ones take the staged withdrawal flag whenever
+    ``isnull(old, 0) <> isnull(new, 0)`` -- including back to NULL (J16)."""
+    from arrears.operators.merge import ACTION, INSERTED, update_matched
+    cols = target.columns
+    new = insert_absent(target, attached, ["id_base"]).select(*cols)
+    upd = update_matched(target, attached.select("id_base", "id_retirada"), ["id_base"], ["id_retirada"],
+                         when=lambda old, new_: X.differs_num(old("id_retirada"), new_("id_retirada")), mark=mark)
+    if mark:
+        new = new.withColumn(ACTION, F.lit(INSERTED))
+    return upd.unionByName(new)
 
 
 # ---- M4 CRM360 -----------------------------------------------------------

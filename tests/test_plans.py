@@ -21,7 +21,11 @@ def test_no_python_no_cartesian(spark, name):
 
 
 def test_day_filter_and_pruning_reach_scan(spark):
-    df = E.queries()["crm_contacts"](spark, SF)
+    from arrears.plans import marts
+    from arrears.sources import standins as S
+    t = S.DriverTables(spark, SF)
+    df = marts.crm_contacts(S.ocorrencias(t), S.eventos(t), S.tipos_ocorrencias(t), S.tipos_eventos(t),
+                            S.ligacoes(t), S.usuarios(t), S.EVENT_AS_OF)
     p = _plan(df)
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts,2024-01-15T00:00)" in p or \
         "GreaterThanOrEqual(ts" in p
