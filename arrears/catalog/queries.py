@@ -429,10 +429,7 @@ def q_payments_mart(spark, sf_dir):
     """Payments not yet in Pagamentos360 (paid-off agreements were loaded)."""
     t = _t(spark, sf_dir)
     star = _star(t)
-    hist = _base360_history(t)
-    empty = hist.limit(0).select("id_base", F.lit(0).cast("bigint").alias("id_acordo"),
-                                 F.lit(0).alias("numero_parcela"))
-    staged = cut_lineage(marts.payments_mart(*star, hist, empty))
+    staged = cut_lineage(marts.payments_mart(*star, _base360_history(t)))
     target = staged.filter(F.col("status_acordo") == "Quitado")
     return mg.insert_absent(target, staged, marts.FACT_KEY).drop("id_base")
 
@@ -440,11 +437,7 @@ def q_payments_mart(spark, sf_dir):
 def q_due_mart(spark, sf_dir):
     t = _t(spark, sf_dir)
     star = _star(t)
-    base = _base360(t, C_AS_OF)
-    staged, _ = marts.due_mart(*star, base, base.limit(0).select("id_base", F.lit(0).cast("bigint")
-                                                                .alias("id_acordo"),
-                                                                F.lit(0).alias("numero_parcela")), C_AS_OF)
-    staged = cut_lineage(staged)
+    staged = cut_lineage(marts.due_mart(*star, _base360(t, C_AS_OF), C_AS_OF))
     target = staged.filter(F.col("status_acordo") == "Quitado")
     return mg.insert_absent(target, staged, marts.FACT_KEY).drop("id_base")
 

@@ -204,24 +204,27 @@ FACT_KEY = ["id_base", "id_acordo", "numero_parcela"]
 
 
 def payments_mart(acordos, tipos, negociadas, pagar, usuarios, status, origem,
-                  base360: DataFrame, target: DataFrame) -> DataFrame:
+                  base360: DataFrame, target: DataFrame | None = None) -> DataFrame:
     """M7: payments from the earliest payment date on (A4, a scalar
-    subquery), attached where the snapshot day equals the payment date,
-    rows absent from the mart (by snapshot id, agreement, instalment)."""
+    subquery), attached where the snapshot day equals the payment date;
+    with a ``target``, only the rows absent from the mart (by snapshot id,
+    agreement, instalment)."""
     first = pagar.agg(F.min("data_pagamento")).scalar()
     facts = agreement_facts(acordos, tipos, negociadas, pagar, usuarios, status, origem,
                             pagar_filter=F.col("data_pagamento") >= first, cols=PAYMENT_COLS)
     base = base360.filter(F.col("data") >= first).select("id_base", "id_devedor", "id_titulo",
                                                           F.col("data").alias("data_pagamento"))
     staged = facts.join(base, ["id_devedor", "id_titulo", "data_pagamento"], "inner")
-    return insert_absent(target, staged, FACT_KEY)
+    return staged if target is None else insert_absent(target, staged, FACT_KEY)
 
 
 def due_mart(acordos, tipos, negociadas, pagar, usuarios, status, origem,
-             base360: DataFrame, target: DataFrame, as_of) -> DataFrame:
+             base360: DataFrame, as_of, target: DataFrame | None = None) -> DataFrame:
     """M8: instalments due today or agreements cancelled today (F8, an OR
     across two joined tables, kept above the join), attached where the
-    snapshot day equals the due date (D20), rows absent from the mart."""
+    snapshot day equals the due date (D20); with a ``target``, only the
+    rows absent from the mart (``due_cancellations`` then fills the
+    cancellation date of present ones)."""
     day = X.date_lit(as_of)
     facts = agreement_facts(
         acordos, tipos, negociadas, pagar, usuarios, status, origem,
@@ -230,7 +233,7 @@ def due_mart(acordos, tipos, negociadas, pagar, usuarios, status, origem,
     base = today_snapshot(base360, as_of, ["id_base", "id_devedor", "id_titulo",
                                            F.col("data").alias("data_vencimento")])
     staged = facts.join(base, ["id_devedor", "id_titulo", "data_vencimento"], "inner")
-    return staged, insert_absent(target, staged, FACT_KEY)
+    return staged if target is None else insert_absent(target, staged, FACT_KEY)
 
 
 def due_cancellations(target: DataFrame, staged: DataFrame) -> DataFrame:

@@ -193,7 +193,7 @@ def run_base360(spark, base360_path: str, base: DataFrame, as_of) -> DataFrame:
     try:
         target = spark.read.parquet(base360_path)
     except Exception:  # noqa: BLE001 - first run: no table yet
-        target = staged.limit(0)
+        target = staged.filter(F.lit(False))
     new = base360_apply(target.select(*staged.columns), staged, as_of, mark=True)
     new = io.stage(new, base360_path)
     counts = volumes_from_actions(new, staged).collect()

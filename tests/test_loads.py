@@ -129,3 +129,18 @@ def test_recover_after_interrupted_overwrite(spark, scratch):
     assert io.recover(spark, path) is True
     assert spark.read.parquet(path).count() == 1
     assert io.recover(spark, path) is False  # healthy target: nothing to do
+
+
+def test_remote_read_pushdown_and_purge(spark, scratch):
+    from pyspark.sql import functions as F
+    path = f"{scratch}/remote"
+    spark.createDataFrame([(i, 1, dt.datetime(2026, 8, 1 + i % 20)) for i in range(100)], SRC).write.parquet(path)
+    df = io.read_remote(spark, {"format": "parquet", "path": path},
+                        where=F.col("data_atualizacao") >= F.lit("2026-08-15").cast("timestamp_ntz"),
+                        columns=["id_titulo"])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(data_atualizacao" in plan and "ReadSchema: struct<id_titulo:bigint" in plan
+    assert df.count() == 30
+    io.purge(spark, path, SRC)
+    p = spark.read.parquet(path)
+    assert p.count() == 0 and p.schema == SRC
