@@ -53,6 +53,7 @@ class TableLoad:
     notes: str = ""
     columns: Sequence[str] = field(default_factory=tuple)
     version_cols: Sequence[str] = ()      # several version columns (ProcAcordos)
+    range_width: int | None = None        # partition the target by key range of this width
     null_safe: bool = False               # C2: truly NULL-safe version compare
     watermark_job: str | None = None      # W3: the parent job whose log is read
 
@@ -83,9 +84,12 @@ class TableLoad:
         raise ValueError(self.extract)
 
     def plan(self, source: DataFrame, target: DataFrame, runs: DataFrame | None = None,
-             as_of=None, watermark=None, inputs: dict | None = None) -> DataFrame:
-        """New target state, each row marked I / U / N (``acao``)."""
-        staged = self.staged(source, target, runs, as_of, watermark, inputs)
+             as_of=None, watermark=None, inputs: dict | None = None,
+             staged: DataFrame | None = None) -> DataFrame:
+        """New target state, each row marked I / U / N (``acao``).  A
+        precomputed extract can be passed as ``staged``."""
+        if staged is None:
+            staged = self.staged(source, target, runs, as_of, watermark, inputs)
         key = list(self.dedup_key or self.key)
         if self.maintain == INSERT_ONLY:
             return mg.append_absent(target, staged.select(*target.columns), key, mark=True)
@@ -104,6 +108,24 @@ class TableLoad:
             return upd.unionByName(ins.withColumn(mg.ACTION, F.lit(mg.INSERTED)))
         raise ValueError(self.maintain)
 
+    def _run_partitioned(self, spark, source, target_path, runs, as_of, inputs) -> DataFrame:
+        """Range-partitioned target (``part`` = key range): the extract is
+        computed against the whole target (high-water ids and versions),
+        then only the partitions its rows fall in are read and rewritten.
+        The key must be a single numeric column."""
+        part = "part"
+        key = list(self.dedup_key or self.key)[0]
+        target = spark.read.parquet(target_path)
+        staged = self.staged(source, target.drop(part), runs, as_of, inputs=inputs)
+        staged = staged.withColumn(part, io.key_range(key, self.range_width))
+
+        def compute(t_slice, s):
+            new = self.plan(s.drop(part), t_slice.drop(part), watermark=None, as_of=as_of, inputs=inputs,
+                            staged=s.drop(part))
+            return new.withColumn(part, io.key_range(key, self.range_width))
+
+        return io.apply_to_partitions(spark, target_path, staged, part, compute)
+
     # -- run ---------------------------------------------------------------
     def run(self, spark: SparkSession, source: DataFrame, target_path: str, runs: DataFrame,
             log_paths: dict, as_of, finished_at=None, inputs: dict | None = None) -> dict:
@@ -114,15 +136,18 @@ class TableLoad:
         io.append(opened, log_paths["runs"])
         stage = "Carga"
         try:
-            io.recover(spark, target_path)
-            target = spark.read.parquet(target_path)
-            new = self.plan(source, target, runs, as_of, inputs=inputs)
-            stage = "Persistencia"
-            # The marked new state is written once to the shared staging
-            # folder: the counts and the overwrite both read that copy.
-            staged = io.stage(new, target_path)
+            if self.range_width:
+                staged = self._run_partitioned(spark, source, target_path, runs, as_of, inputs)
+            else:
+                io.recover(spark, target_path)
+                target = spark.read.parquet(target_path)
+                new = self.plan(source, target, runs, as_of, inputs=inputs)
+                stage = "Persistencia"
+                # The marked new state is written once to the shared staging
+                # folder: the counts and the overwrite both read that copy.
+                staged = io.stage(new, target_path)
+                io.publish(staged, target_path)
             counts = runlog.volumes_from_actions(staged).first().asDict()
-            io.publish(staged, target_path)
             io.append(runlog.log_volume(spark, run_id, self.source, self.target, counts,
                                         finished_at or as_of), log_paths["volumes"])
             io.append(runlog.finish_run(spark, run_id, self.job, as_of, finished_at or as_of, ok=True),
@@ -188,6 +213,10 @@ def extract_agreement_children(source, target, watermark=None, as_of=None, input
     return inc.extract_children(source, "id_acordo", [by_parent, by_child])
 
 
+# Contact tables grow by increasing ids: partition them by ranges of this
+# many ids, so a load rewrites only the newest ranges.
+CONTACT_RANGE = 10_000_000
+
 # The 25 loads.  Column lists beyond the key / version / set columns are
 # the tables' own (declared in their schemas), so they are not repeated.
 LOADS: list[TableLoad] = [
@@ -245,11 +274,13 @@ LOADS: list[TableLoad] = [
               watermark_form="penultimate", watermark_job="ProcAcordos",
               extract_fn=extract_agreement_children, notes="H8 + U1"),
     TableLoad("ProcEventos", "oco.Eventos", "Eventos", ["id_evento"], ID_OR_DATE, INSERT_ONLY,
-              id_col="id_evento", date_col="data_evento", watermark_form="forward"),
+              id_col="id_evento", date_col="data_evento", watermark_form="forward", range_width=CONTACT_RANGE),
     TableLoad("ProcOcorrencias", "oco.Ocorrencias", "Ocorrencias", ["id_ocorrencia"], ID_OR_DATE,
-              INSERT_ONLY, id_col="id_ocorrencia", date_col="data_ocorrencia", watermark_form="forward"),
+              INSERT_ONLY, id_col="id_ocorrencia", date_col="data_ocorrencia", watermark_form="forward",
+              range_width=CONTACT_RANGE),
     TableLoad("ProcLigacoes", "lig.Ligacoes", "Ligacoes", ["id_ligacao"], ID_OR_DATE, INSERT_ONLY,
-              id_col="id_ligacao", date_col="data_inicializacao", watermark_form="forward"),
+              id_col="id_ligacao", date_col="data_inicializacao", watermark_form="forward",
+              range_width=CONTACT_RANGE),
     TableLoad("Carteiras", "glo.Carteiras", "Carteiras", ["id_carteira"], HIGH_WATER, INSERT_ONLY,
               id_col="id_carteira", where=lambda: F.col("id_cliente") == F.lit(5)),
     TableLoad("ProcOrigens", "glo.Origens", "Origens", ["id_origem"], HIGH_WATER, INSERT_ONLY,

@@ -134,3 +134,33 @@ def recover(spark: SparkSession, path: str, partition_by: Sequence[str] | None =
 def purge(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """K6: empty a table, keeping its schema."""
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+
+
+def key_range(key: str, width: int) -> Column:
+    """Partition value of a numeric key: its range of ``width`` ids.  New
+    rows of an id-increasing table land in the newest ranges only."""
+    from pyspark.sql import functions as F
+    return F.floor(F.col(key) / F.lit(width)).cast("long")
+
+
+def touched_partitions(target: DataFrame, staged: DataFrame, part_col: str) -> DataFrame:
+    """The target rows in the partitions the staged rows fall in.  The
+    partition list is distinct (bounded by the partition count, not by the
+    data); the semi join on the partition column lets Spark prune the
+    target's partitions at run time (dynamic partition pruning)."""
+    return target.join(staged.select(part_col).distinct(), part_col, "left_semi")
+
+
+def apply_to_partitions(spark: SparkSession, target_path: str, staged: DataFrame, part_col: str,
+                        compute) -> DataFrame:
+    """Rewrite only the partitions of a partitioned table that ``staged``
+    touches: read those partitions, compute their new state with
+    ``compute(target_slice, staged)`` (it must keep ``part_col``), stage it
+    and publish it with dynamic partition overwrite.  Returns the staged
+    new state (with any bookkeeping columns, e.g. ``acao``)."""
+    recover(spark, target_path, [part_col], dynamic=True)
+    target = spark.read.parquet(target_path)
+    new = compute(touched_partitions(target, staged, part_col), staged)
+    new = stage(new, target_path)
+    publish(new, target_path, [part_col], dynamic=True)
+    return new

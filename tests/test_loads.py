@@ -144,3 +144,23 @@ def test_remote_read_pushdown_and_purge(spark, scratch):
     io.purge(spark, path, SRC)
     p = spark.read.parquet(path)
     assert p.count() == 0 and p.schema == SRC
+
+
+def test_partitioned_insert_only_rewrites_only_touched_ranges(spark, scratch):
+    import os
+    spec = loads.TableLoad("ProcEv", "oco.Ev", "Ev", ["id_titulo"], loads.HIGH_WATER, loads.INSERT_ONLY,
+                           id_col="id_titulo", range_width=100)
+    target = f"{scratch}/ev"
+    logs = {k: f"{scratch}/{k}" for k in ("runs", "volumes", "errors")}
+    from arrears.sources import io as io_
+    held = spark.createDataFrame([(i, 1, dt.datetime(2026, 8, 1)) for i in range(250)], SRC)
+    held.withColumn("part", io_.key_range("id_titulo", 100)).write.partitionBy("part").parquet(target)
+    before = {d: os.listdir(f"{target}/{d}") for d in os.listdir(target) if d.startswith("part=")}
+    src = spark.createDataFrame([(i, 2, dt.datetime(2026, 8, 2)) for i in range(240, 320)], SRC)
+    c = spec.run(spark, src, target, None, logs, AS_OF)
+    assert c["linhas_inseridas"] == 70                       # ids 250..319
+    t = spark.read.parquet(target)
+    assert t.count() == 320 and t.select("id_titulo").distinct().count() == 320
+    after = {d: os.listdir(f"{target}/{d}") for d in os.listdir(target) if d.startswith("part=")}
+    assert after["part=0"] == before["part=0"] and after["part=1"] == before["part=1"]   # untouched ranges
+    assert after["part=2"] != before["part=2"] and "part=3" in after
