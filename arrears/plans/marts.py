@@ -246,3 +246,23 @@ def due_cancellations(target: DataFrame, staged: DataFrame) -> DataFrame:
 __all__ = ["mailing_attach", "mailing_apply", "crm_contacts", "crm_final", "read_dialer", "read_digital",
            "attach_calls", "dialer_calls", "digital_calls", "agreement_facts", "payments_mart",
            "due_mart", "due_cancellations", "one_per_key"]
+
+
+def append_new(spark, mart_path: str, staged: DataFrame, keys: Sequence[str], partition_col: str,
+               scope=None) -> int:
+    """K1 + K3 as a job: append the staged rows whose key the mart does not
+    hold, partitioned by ``partition_col``.  Only the mart partitions in
+    ``scope`` (e.g. ``data >= today``) are read for the anti join.  Files
+    are committed at job end, so a failed run leaves nothing visible and a
+    re-run inserts exactly the missing rows.  Returns the rows appended."""
+    from arrears.sources import io
+    try:
+        target = spark.read.parquet(mart_path)
+        if scope is not None:
+            target = target.filter(scope)
+    except Exception:  # noqa: BLE001 - first run: empty mart
+        target = staged.filter(F.lit(False))
+    new = io.stage(insert_absent(target, staged, keys), mart_path + "#append")
+    n = new.count()
+    io.append(new, mart_path, [partition_col])
+    return n

@@ -72,3 +72,15 @@ def test_run_base360_writes_only_today(spark, scratch):
         (dt.date(2026, 8, 17), 2, D(50), 1)]
     assert t.select("id_base").distinct().count() == 3
     assert t.filter(F.col("data") >= F.lit("2026-08-17").cast("date")).count() == 2
+
+
+def test_mart_append_is_idempotent(spark, scratch):
+    from arrears.plans import marts
+    path = f"{scratch}/crm"
+    rows_ = [(1, dt.date(2026, 8, 17), T("2026-08-17 10:00"), "a"), (2, dt.date(2026, 8, 17), T("2026-08-17 10:00"), "b"),
+             (2, dt.date(2026, 8, 17), T("2026-08-17 10:00"), "b")]
+    staged = spark.createDataFrame(rows_, "id_base long, dia date, data timestamp_ntz, x string")
+    scope = F.col("dia") >= F.lit("2026-08-17").cast("date")
+    assert marts.append_new(spark, path, staged, ["id_base", "data"], "dia", scope) == 3   # D22: batch dups go in
+    assert marts.append_new(spark, path, staged, ["id_base", "data"], "dia", scope) == 0
+    assert spark.read.parquet(path).count() == 3
