@@ -233,9 +233,10 @@ def days_between(start, end) -> Column:
 
 
 def seconds_between(start, end) -> Column:
-    """``datediff(second, start, end)``, second boundaries."""
-    return (F.unix_timestamp(F.date_trunc("second", _col(end)).cast("timestamp"))
-            - F.unix_timestamp(F.date_trunc("second", _col(start)).cast("timestamp")))
+    """``datediff(second, start, end)`` -- second boundaries crossed,
+    computed on wall-clock (NTZ) values, so no session time zone or DST
+    change enters."""
+    return F.timestamp_diff("SECOND", F.date_trunc("second", _col(start)), F.date_trunc("second", _col(end)))
 
 
 def is_monday(d) -> Column:

@@ -16,8 +16,10 @@ JOB_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.sql.session.timeZone": "UTC",
 }
+# Results do not depend on the session time zone (all timestamps are
+# wall-clock TIMESTAMP_NTZ); local sessions pin UTC only for readable logs.
+LOCAL_CONF = {"spark.sql.session.timeZone": "UTC"}
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
@@ -28,7 +30,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                .config("spark.ui.enabled", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "8g"))
-    for k, v in {**JOB_CONF, **(extra or {})}.items():
+    for k, v in {**JOB_CONF, **LOCAL_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
