@@ -132,33 +132,23 @@ class TableLoad:
         """Open the run, write the new target (staged overwrite, D9), log
         volumes and close the run; on failure log the error and close as
         ``Erro``.  The watermark moves only on ``Concluida``."""
-        run_id, opened = runlog.start_run(spark, self.job, as_of)
-        io.append(opened, log_paths["runs"])
-        stage = "Carga"
-        try:
+        def body(set_stage):
             if self.range_width:
+                set_stage("Persistencia")
                 staged = self._run_partitioned(spark, source, target_path, runs, as_of, inputs)
             else:
                 io.recover(spark, target_path)
                 target = spark.read.parquet(target_path)
                 new = self.plan(source, target, runs, as_of, inputs=inputs)
-                stage = "Persistencia"
+                set_stage("Persistencia")
                 # The marked new state is written once to the shared staging
                 # folder: the counts and the overwrite both read that copy.
                 staged = io.stage(new, target_path)
                 io.publish(staged, target_path)
-            counts = runlog.volumes_from_actions(staged).first().asDict()
-            io.append(runlog.log_volume(spark, run_id, self.source, self.target, counts,
-                                        finished_at or as_of), log_paths["volumes"])
-            io.append(runlog.finish_run(spark, run_id, self.job, as_of, finished_at or as_of, ok=True),
-                      log_paths["runs"])
-            return counts
-        except Exception as exc:  # noqa: BLE001 - logged and re-raised
-            io.append(runlog.log_error(spark, run_id, self.job, stage, exc, finished_at or as_of),
-                      log_paths["errors"])
-            io.append(runlog.finish_run(spark, run_id, self.job, as_of, finished_at or as_of, ok=False),
-                      log_paths["runs"])
-            raise
+            return runlog.volumes_from_actions(staged).first().asDict()
+
+        return runlog.logged_run(spark, self.job, self.source, self.target, log_paths, as_of, body,
+                                 finished_at)
 
 
 # ---- custom extracts (H6-H10) ---------------------------------------------

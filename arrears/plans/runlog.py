@@ -150,3 +150,26 @@ def run_purge(spark: SparkSession, config: DataFrame, done: DataFrame, as_of, pu
         purge_fn(r["nome_tabela"])
         rows.append((int(r["id_tabela_expurgo"]), r["nome_tabela"], _ts(as_of)))
     return spark.createDataFrame(rows, PURGE_SCHEMA)
+
+
+def logged_run(spark: SparkSession, job: str, source: str, target: str, log_paths: dict, as_of,
+               body, finished_at=None) -> dict:
+    """R1-R3 around any job: open the run (``Executando``), run
+    ``body(stage_setter)`` -- it returns the counts dict and may name its
+    current stage -- then append the volume row and close the run as
+    ``Concluida``; on an exception append the error row with the stage
+    name, close as ``Erro`` and re-raise."""
+    from arrears.sources import io
+    run_id, opened = start_run(spark, job, as_of)
+    io.append(opened, log_paths["runs"])
+    stage = {"name": "Carga"}
+    end = finished_at or as_of
+    try:
+        counts = body(lambda name: stage.__setitem__("name", name)) or {}
+        io.append(log_volume(spark, run_id, source, target, counts, end), log_paths["volumes"])
+        io.append(finish_run(spark, run_id, job, as_of, end, ok=True), log_paths["runs"])
+        return counts
+    except Exception as exc:  # noqa: BLE001 - logged and re-raised
+        io.append(log_error(spark, run_id, job, stage["name"], exc, end), log_paths["errors"])
+        io.append(finish_run(spark, run_id, job, as_of, end, ok=False), log_paths["runs"])
+        raise

@@ -47,3 +47,32 @@ def test_error_row(spark):
     except ValueError as e:
         r = runlog.log_error(spark, "r", "ProcX", "Carga", e, AS_OF).first()
     assert r.etapa_erro == "Carga" and "boom" in r.mensagem_erro
+
+
+def test_logged_run_around_a_mart(spark, scratch):
+    from arrears.plans import marts
+    logs = {k: f"{scratch}/{k}" for k in ("runs", "volumes", "errors")}
+    staged = spark.createDataFrame([(1, dt.date(2026, 8, 17), "a")], "id_base long, dia date, x string")
+
+    def body(set_stage):
+        set_stage("Persistencia final")
+        return {"linhas_origem": staged.count(),
+                "linhas_inseridas": marts.append_new(spark, f"{scratch}/mart", staged, ["id_base"], "dia")}
+
+    c = runlog.logged_run(spark, "ProcCRM360", "misitau", "CRM360", logs, AS_OF, body)
+    assert c["linhas_inseridas"] == 1
+    v = spark.read.parquet(logs["volumes"]).first()
+    assert (v.linhas_origem, v.linhas_inseridas, v.linhas_totais_destino) == (1, 1, 1)
+
+    def failing(set_stage):
+        set_stage("Atualizacao de dados")
+        raise RuntimeError("disk full")
+
+    try:
+        runlog.logged_run(spark, "ProcCRM360", "misitau", "CRM360", logs, AS_OF, failing)
+    except RuntimeError:
+        pass
+    e = spark.read.parquet(logs["errors"]).first()
+    assert e.etapa_erro == "Atualizacao de dados" and "disk full" in e.mensagem_erro
+    st = sorted(r.status_execucao for r in runlog.run_status(spark.read.parquet(logs["runs"])).collect())
+    assert st == ["Concluida", "Erro"]
