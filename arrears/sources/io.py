@@ -25,14 +25,28 @@ STAGE_ONLY_COLS = ("acao",)
 
 
 def read_source(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                columns: Sequence[str] | None = None, fmt: str = "parquet") -> DataFrame:
+                columns: Sequence[str] | None = None, fmt: str = "parquet",
+                char_cols: Sequence[str] = ()) -> DataFrame:
     """Scan with a declared schema and an explicit column list;
-    only the listed columns reach the Parquet ``ReadSchema``."""
+    only the listed columns reach the Parquet ``ReadSchema``.  ``char_cols``
+    are fixed-width ``char(n)`` columns: their trailing blanks are trimmed
+    on read, since the source ignores them in comparisons and Spark does
+    not (D8; comparisons stay case-sensitive)."""
     r = spark.read.format(fmt)
     if schema is not None:
         r = r.schema(schema)
     df = r.load(path)
-    return df.select(*columns) if columns else df
+    if columns:
+        df = df.select(*columns)
+    return trim_char_columns(df, char_cols)
+
+
+def trim_char_columns(df: DataFrame, char_cols: Sequence[str]) -> DataFrame:
+    """``rtrim`` of fixed-width text columns."""
+    from pyspark.sql import functions as F
+    if not char_cols:
+        return df
+    return df.withColumns({c: F.rtrim(F.col(c)) for c in char_cols})
 
 
 def read_table(spark: SparkSession, name: str, columns: Sequence[str] | None = None) -> DataFrame:

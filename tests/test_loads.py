@@ -164,3 +164,12 @@ def test_partitioned_insert_only_rewrites_only_touched_ranges(spark, scratch):
     after = {d: os.listdir(f"{target}/{d}") for d in os.listdir(target) if d.startswith("part=")}
     assert after["part=0"] == before["part=0"] and after["part=1"] == before["part=1"]   # untouched ranges
     assert after["part=2"] != before["part=2"] and "part=3" in after
+
+
+def test_char_columns_trimmed_on_read(spark, scratch):
+    path = f"{scratch}/dev"
+    spark.createDataFrame([(1, "123  ", "Ab "), (2, "123", "ab")], "id long, cpf string, nome string") \
+        .write.parquet(path)
+    df = io.read_source(spark, path, columns=["id", "cpf", "nome"], char_cols=["cpf", "nome"])
+    assert df.filter("cpf = '123'").count() == 2          # trailing blanks ignored
+    assert df.filter("nome = 'ab'").count() == 1          # still case-sensitive
