@@ -173,3 +173,13 @@ def test_char_columns_trimmed_on_read(spark, scratch):
     df = io.read_source(spark, path, columns=["id", "cpf", "nome"], char_cols=["cpf", "nome"])
     assert df.filter("cpf = '123'").count() == 2          # trailing blanks ignored
     assert df.filter("nome = 'ab'").count() == 1          # still case-sensitive
+
+
+def test_declared_schemas_parse_and_read(spark, scratch):
+    from arrears.sources import schemas
+    for name in schemas.DDL:
+        assert len(schemas.schema(name).fields) > 1
+    path = f"{scratch}/devedores"
+    spark.createDataFrame([], schemas.schema("devedores")).write.parquet(path)
+    df = schemas.read(spark, "devedores", path, columns=["id_devedor", "cnpj_cpf"])
+    assert df.columns == ["id_devedor", "cnpj_cpf"] and df.count() == 0
