@@ -44,9 +44,10 @@ def read_source(spark: SparkSession, path: str, schema: T.StructType | None = No
 def trim_char_columns(df: DataFrame, char_cols: Sequence[str]) -> DataFrame:
     """``rtrim`` of fixed-width text columns."""
     from pyspark.sql import functions as F
-    if not char_cols:
+    present = [c for c in char_cols if c in df.columns]
+    if not present:
         return df
-    return df.withColumns({c: F.rtrim(F.col(c)) for c in char_cols})
+    return df.withColumns({c: F.rtrim(F.col(c)) for c in present})
 
 
 def read_table(spark: SparkSession, name: str, columns: Sequence[str] | None = None) -> DataFrame:
