@@ -92,7 +92,10 @@ def watermark_of(runs: DataFrame, job: str, form: str = "forward") -> Column:
 
 
 def as_watermark(w) -> Column:
-    """Accept a literal date, a string or a scalar ``Column``."""
+    """Accept a literal date, a string, a scalar ``Column``, or None (no
+    successful run yet: a NULL date)."""
+    if w is None:
+        return F.lit(None).cast("date")
     return w if isinstance(w, Column) else date_lit(w)
 
 

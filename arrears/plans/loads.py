@@ -54,6 +54,7 @@ class TableLoad:
     columns: Sequence[str] = field(default_factory=tuple)
     version_cols: Sequence[str] = ()      # several version columns (ProcAcordos)
     range_width: int | None = None        # partition the target by key range of this width
+    target_schema: object = None          # StructType / DDL of the stored target (read even when empty)
     null_safe: bool = False               # C2: truly NULL-safe version compare
     watermark_job: str | None = None      # W3: the parent job whose log is read
 
@@ -108,6 +109,12 @@ class TableLoad:
             return upd.unionByName(ins.withColumn(mg.ACTION, F.lit(mg.INSERTED)))
         raise ValueError(self.maintain)
 
+    def _read_target(self, spark: SparkSession, path: str) -> DataFrame:
+        r = spark.read
+        if self.target_schema is not None:
+            r = r.schema(self.target_schema)
+        return r.parquet(path)
+
     def _run_partitioned(self, spark, source, target_path, runs, as_of, inputs) -> DataFrame:
         """Range-partitioned target (``part`` = key range): the extract is
         computed against the whole target (high-water ids and versions),
@@ -115,7 +122,7 @@ class TableLoad:
         The key must be a single numeric column."""
         part = "part"
         key = list(self.dedup_key or self.key)[0]
-        target = spark.read.parquet(target_path)
+        target = self._read_target(spark, target_path)
         staged = self.staged(source, target.drop(part), runs, as_of, inputs=inputs)
         staged = staged.withColumn(part, io.key_range(key, self.range_width))
 
@@ -124,7 +131,7 @@ class TableLoad:
                             staged=s.drop(part))
             return new.withColumn(part, io.key_range(key, self.range_width))
 
-        return io.apply_to_partitions(spark, target_path, staged, part, compute)
+        return io.apply_to_partitions(spark, target_path, staged, part, compute, self.target_schema)
 
     # -- run ---------------------------------------------------------------
     def run(self, spark: SparkSession, source: DataFrame, target_path: str, runs: DataFrame,
@@ -138,7 +145,7 @@ class TableLoad:
                 staged = self._run_partitioned(spark, source, target_path, runs, as_of, inputs)
             else:
                 io.recover(spark, target_path)
-                target = spark.read.parquet(target_path)
+                target = self._read_target(spark, target_path)
                 new = self.plan(source, target, runs, as_of, inputs=inputs)
                 set_stage("Persistencia")
                 # The marked new state is written once to the shared staging

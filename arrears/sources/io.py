@@ -167,14 +167,15 @@ def touched_partitions(target: DataFrame, staged: DataFrame, part_col: str) -> D
 
 
 def apply_to_partitions(spark: SparkSession, target_path: str, staged: DataFrame, part_col: str,
-                        compute) -> DataFrame:
+                        compute, target_schema=None) -> DataFrame:
     """Rewrite only the partitions of a partitioned table that ``staged``
     touches: read those partitions, compute their new state with
     ``compute(target_slice, staged)`` (it must keep ``part_col``), stage it
     and publish it with dynamic partition overwrite.  Returns the staged
     new state (with any bookkeeping columns, e.g. ``acao``)."""
     recover(spark, target_path, [part_col], dynamic=True)
-    target = spark.read.parquet(target_path)
+    reader = spark.read if target_schema is None else spark.read.schema(target_schema)
+    target = reader.parquet(target_path)
     new = compute(touched_partitions(target, staged, part_col), staged)
     new = stage(new, target_path)
     publish(new, target_path, [part_col], dynamic=True)
