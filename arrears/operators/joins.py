@@ -26,12 +26,30 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> D
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
 
+def left_lookup(df: DataFrame, dim: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """Left join of lookup columns where the fact key may be NULL.
+
+    Rows with a NULL key can never match, but a shuffle join would still
+    send all of them to the one partition NULL hashes to -- the hottest
+    "key" of a mostly-unmatched lookup.  They bypass the join instead (NULL
+    lookup columns) and are unioned back; only keyed rows are shuffled."""
+    keys = [key] if isinstance(key, str) else list(key)
+    has_key = None
+    for k in keys:
+        c = F.col(k).isNotNull()
+        has_key = c if has_key is None else has_key & c
+    extra = [f for f in dim.schema.fields if f.name not in keys]
+    keyed = df.filter(has_key).join(dim, keys, "left")
+    unkeyed = df.filter(~has_key).withColumns({f.name: F.lit(None).cast(f.dataType) for f in extra})
+    return keyed.unionByName(unkeyed.select(*keyed.columns))
+
+
 def lookup_default(df: DataFrame, dim: DataFrame, key: str | Sequence[str], col: str,
                    default, alias: str | None = None) -> DataFrame:
     """Left join a lookup column, with a default for a miss (``isnull``)."""
     keys = [key] if isinstance(key, str) else list(key)
     d = dim.select(*keys, F.col(col).alias("_lk"))
-    out = df.join(d, keys, "left")
+    out = left_lookup(df, d, keys)
     return out.withColumn(alias or col, F.coalesce(F.col("_lk"), F.lit(default))).drop("_lk")
 
 

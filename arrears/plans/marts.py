@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arrears.functions import derive as X
-from arrears.operators.joins import attach_snapshot, broadcast_if_bounded
+from arrears.operators.joins import attach_snapshot, broadcast_if_bounded, left_lookup
 from arrears.operators.merge import insert_absent, one_per_key
 from arrears.plans.snapshot import today_snapshot
 
@@ -74,16 +74,14 @@ def crm_contacts(ocorrencias: DataFrame, eventos: DataFrame, tipos_ocorrencias:
                             F.col("numero_ligacao").alias("numero"), "chave")
     users = usuarios.select(F.col("id_usuario").alias("id_usuario_inclusao"), "referencia")
     oc = (ocorrencias.filter(X.since_midnight("data_ocorrencia", as_of))
-          .join(broadcast_if_bounded(tipos_ocorrencias), "id_tipo_ocorrencia", "inner")
-          .join(calls, "id_ligacao", "left")
-          .join(users, "id_usuario_inclusao", "left")
+          .join(broadcast_if_bounded(tipos_ocorrencias), "id_tipo_ocorrencia", "inner"))
+    oc = (left_lookup(left_lookup(oc, calls, "id_ligacao"), users, "id_usuario_inclusao")
           .select(F.col("data_ocorrencia").alias("data"), "id_devedor", "id_titulo",
                   "codigo_ocorrencia", "tipo_ocorrencia", "id_ligacao", "id_origem_ligacao", "ddd",
                   "numero", "chave", "id_acordo", "referencia", "id_origem", "id_classificacao"))
     ev = (eventos.filter(X.since_midnight("data_evento", as_of))
-          .join(broadcast_if_bounded(tipos_eventos), "id_tipo_evento", "inner")
-          .join(calls, "id_ligacao", "left")
-          .join(users, "id_usuario_inclusao", "left")
+          .join(broadcast_if_bounded(tipos_eventos), "id_tipo_evento", "inner"))
+    ev = (left_lookup(left_lookup(ev, calls, "id_ligacao"), users, "id_usuario_inclusao")
           .select(F.col("data_evento").alias("data"), "id_devedor", "id_titulo",
                   F.col("codigo_evento").alias("codigo_ocorrencia"),
                   F.col("tipo_evento").alias("tipo_ocorrencia"), "id_ligacao", "id_origem_ligacao",

@@ -98,3 +98,17 @@ def test_wildcard_hot_debtor(spark, skew_conf):
     exp = sorted((-1 if pd.isna(r.c) else int(r.c), int(r.d)) for r in t.itertuples()
                  if ((s.d == r.d) & ((s.c == r.c) if not pd.isna(r.c) else True)).any())
     assert got == exp
+
+
+def test_null_keys_bypass_lookup(spark):
+    """Two thirds of the facts have no call: they must not be shuffled into
+    one partition, and every fact row must come back once."""
+    from arrears.operators.joins import left_lookup
+    facts = spark.createDataFrame([(i, i if i % 3 == 0 else None) for i in range(N)], "id long, id_ligacao long")
+    calls = spark.createDataFrame([(i, "A") for i in range(0, N, 6)], "id_ligacao long, origem string")
+    out = left_lookup(facts, calls, "id_ligacao")
+    got = {r.id: r.origem for r in out.collect()}
+    assert len(got) == N and out.count() == N
+    assert sum(1 for v in got.values() if v == "A") == N // 6
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "isnotnull(id_ligacao" in plan.replace(" ", "").lower() or "isnotnull(id_ligacao" in plan
