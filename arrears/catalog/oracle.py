@@ -722,6 +722,16 @@ SELECT s.* FROM staged s WHERE NOT EXISTS (
   SELECT f.* FROM facts f JOIN b360 b ON f.id_devedor = b.id_devedor AND f.id_titulo = b.id_titulo
     AND f.data_vencimento = b.data
   WHERE b.data >= {C_DAY}""")])
+    due_ctes = _b360() + [("facts", STAR.format(
+        cols=DUE_COLS, where=f"d.data_vencimento = {C_DAY} OR CAST(a.data_cancelamento AS DATE) = {C_DAY}")),
+        ("staged", f"""
+  SELECT f.* FROM facts f JOIN b360 b ON f.id_devedor = b.id_devedor AND f.id_titulo = b.id_titulo
+    AND f.data_vencimento = b.data
+  WHERE b.data >= {C_DAY}""")]
+    q["due_cancellations"] = with_ctes(SNAP_NAMES + STAR_NAMES, """
+SELECT s.* REPLACE (CASE WHEN s.data_cancelamento IS NOT NULL THEN s.data_cancelamento END AS data_cancelamento),
+       CASE WHEN s.data_cancelamento IS NOT NULL THEN 'U' ELSE 'N' END AS acao
+FROM staged s""", due_ctes)
     chan = """
   SELECT oc.id_acordo, arg_min(coalesce(l.id_origem_ligacao, 'H'), oc.id_ocorrencia) AS id_origem_acordo
   FROM ocorrencias oc LEFT JOIN ligacoes l ON oc.id_ligacao = l.id_ligacao

@@ -442,6 +442,15 @@ def q_due_mart(spark, sf_dir):
     return mg.insert_absent(target, staged, marts.FACT_KEY).drop("id_base")
 
 
+def q_due_cancellations(spark, sf_dir):
+    """M8 update: Vencimentos360 as loaded before the cancellations were
+    known (cancellation dates empty) gets each date filled once (C5)."""
+    t = _t(spark, sf_dir)
+    staged = cut_lineage(marts.due_mart(*_star(t), _base360(t, C_AS_OF), C_AS_OF))
+    target = staged.withColumn("data_cancelamento", F.lit(None).cast("timestamp_ntz"))
+    return marts.due_cancellations(target, staged).drop("id_base")
+
+
 def q_agreement_channel(spark, sf_dir):
     t = _t(spark, sf_dir)
     oc = S.ocorrencias(t)
@@ -532,6 +541,7 @@ QUERIES = {
     "digital_calls": q_digital_calls,
     "payments_mart": q_payments_mart,
     "due_mart": q_due_mart,
+    "due_cancellations": q_due_cancellations,
     "agreement_channel": q_agreement_channel,
     "run_status": q_run_status,
     "purge_due": q_purge_due,
