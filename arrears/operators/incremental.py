@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arrears.functions.derive import LATE_RUN_HOUR, date_lit, previous_business_day, ts_lit
+from arrears.functions.derive import LATE_RUN_HOUR, date_lit, previous_business_day
 from arrears.operators.joins import key_set
 
 DONE = "Concluida"
@@ -252,5 +252,3 @@ def since(df: DataFrame, col: str, as_of) -> DataFrame:
     """F7 as a frame filter."""
     return df.filter(F.col(col) >= date_lit(as_of).cast("timestamp_ntz"))
 
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["ts_lit"]
