@@ -84,3 +84,13 @@ def test_mart_append_is_idempotent(spark, scratch):
     assert marts.append_new(spark, path, staged, ["id_base", "data"], "dia", scope) == 3   # D22: batch dups go in
     assert marts.append_new(spark, path, staged, ["id_base", "data"], "dia", scope) == 0
     assert spark.read.parquet(path).count() == 3
+
+
+def test_today_slice_is_a_partition_filter(spark, scratch):
+    path = f"{scratch}/b360"
+    snapshot.run_base360(spark, path, _base(spark, [_row(1, 100)]), AS_OF - dt.timedelta(days=1))
+    snapshot.run_base360(spark, path, _base(spark, [_row(1, 100)]), AS_OF)
+    today = snapshot.today_snapshot(spark.read.parquet(path), AS_OF, ["id_base", "id_devedor"])
+    plan = today._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(data" in plan and "(data#" in plan
+    assert today.count() == 1
