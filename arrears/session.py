@@ -47,8 +47,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
-    current setting).  Only when neither is set -- a test or a laptop --
-    a private folder is created and registered.
+    current setting).  Only when neither is set and the master is local --
+    a test or a laptop -- a private folder is created and registered; on a
+    cluster a missing setting is an error, never a machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -61,6 +62,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key
             configured = None
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: a cluster job needs a shared checkpoint folder")
+        # local runs and tests only: a private folder on this machine
         configured = tempfile.mkdtemp(prefix="arrears-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
