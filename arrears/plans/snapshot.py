@@ -179,6 +179,16 @@ def today_snapshot(base360: DataFrame, as_of, cols=None) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
+def run_base(spark, base_path: str, base: DataFrame) -> dict:
+    """M1 as a job: full replace of ``Base`` (K2).  The new state does not
+    read the table itself, so it is written straight over it; Spark's
+    commit protocol makes the new files visible only at job end."""
+    from arrears.sources import io
+    io.replace(base, base_path, reads_target=False)
+    n = spark.read.parquet(base_path).count()
+    return {"linhas_origem": n, "linhas_inseridas": n}
+
+
 def run_base360(spark, base360_path: str, base: DataFrame, as_of) -> DataFrame:
     """M2 as a job: derive today's snapshot from ``Base``, apply it to the
     stored Base360 (partitioned by ``data``; only ``data >= today`` is

@@ -49,13 +49,20 @@ def run_day(spark, sf_dir: str, wh: str, as_of: dt.datetime) -> dict:
     base = snapshot.base_snapshot(
         snapshot.open_instalments(S.parcelas(t), as_of), S.titulos(t), S.devedores(t), S.carteiras(t),
         titulos_info=S.titulos_info(t), escob=S.escob(t), propensao=S.propensao(t))
-    b360 = f"{wh}/base360"
+    base_path, b360 = f"{wh}/base", f"{wh}/base360"
 
     def base_job(set_stage):
         set_stage("Persistencia final")
-        return snapshot.run_base360(spark, b360, base, as_of).first().asDict()
+        return snapshot.run_base(spark, base_path, base)
 
-    out["base360"] = runlog.logged_run(spark, "ProcBase360", "misitau.dbo.Base", "Base360", logs, as_of, base_job)
+    out["base"] = runlog.logged_run(spark, "ProcBase", "misitau.dbo.Parcelas", "Base", logs, as_of, base_job)
+
+    def base360_job(set_stage):
+        set_stage("Persistencia final")
+        return snapshot.run_base360(spark, b360, spark.read.parquet(base_path), as_of).first().asDict()
+
+    out["base360"] = runlog.logged_run(spark, "ProcBase360", "misitau.dbo.Base", "Base360", logs, as_of,
+                                       base360_job)
 
     # M4: contacts of the day attached to today's snapshot, appended when absent.
     ocorrencias = spark.read.schema(spec.target_schema).parquet(occ_path).drop("part")
