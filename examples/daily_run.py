@@ -55,13 +55,13 @@ def run_day(spark, sf_dir: str, wh: str, as_of: dt.datetime) -> dict:
         set_stage("Persistencia final")
         return snapshot.run_base(spark, base_path, base)
 
-    out["base"] = runlog.logged_run(spark, "ProcBase", "misitau.dbo.Parcelas", "Base", logs, as_of, base_job)
+    out["base"] = runlog.logged_run(spark, "ProcBase", "ods.Parcelas", "Base", logs, as_of, base_job)
 
     def base360_job(set_stage):
         set_stage("Persistencia final")
         return snapshot.run_base360(spark, b360, spark.read.parquet(base_path), as_of).first().asDict()
 
-    out["base360"] = runlog.logged_run(spark, "ProcBase360", "misitau.dbo.Base", "Base360", logs, as_of,
+    out["base360"] = runlog.logged_run(spark, "ProcBase360", "ods.Base", "Base360", logs, as_of,
                                        base360_job)
 
     # M4: contacts of the day attached to today's snapshot, appended when absent.

@@ -59,7 +59,7 @@ def test_logged_run_around_a_mart(spark, scratch):
         return {"linhas_origem": staged.count(),
                 "linhas_inseridas": marts.append_new(spark, f"{scratch}/mart", staged, ["id_base"], "dia")}
 
-    c = runlog.logged_run(spark, "ProcCRM360", "misitau", "CRM360", logs, AS_OF, body)
+    c = runlog.logged_run(spark, "ProcCRM360", "ods.Ocorrencias", "CRM360", logs, AS_OF, body)
     assert c["linhas_inseridas"] == 1
     v = spark.read.parquet(logs["volumes"]).first()
     assert (v.linhas_origem, v.linhas_inseridas, v.linhas_totais_destino) == (1, 1, 1)
@@ -69,7 +69,7 @@ def test_logged_run_around_a_mart(spark, scratch):
         raise RuntimeError("disk full")
 
     try:
-        runlog.logged_run(spark, "ProcCRM360", "misitau", "CRM360", logs, AS_OF, failing)
+        runlog.logged_run(spark, "ProcCRM360", "ods.Ocorrencias", "CRM360", logs, AS_OF, failing)
     except RuntimeError:
         pass
     e = spark.read.parquet(logs["errors"]).first()
