@@ -156,28 +156,35 @@ def update_unless_equal(target: DataFrame, staged: DataFrame, keys, version_col:
 
 def upsert(target: DataFrame, staged: DataFrame, keys, version_cols: Sequence[str],
            set_cols: Sequence[str], mark: bool = False, null_safe: bool = False) -> DataFrame:
-    """C3 = C1 + A7 + K3 + K4: drop unchanged, one row per key, then one
-    full outer join on the key.
-
-    Staged rows the target holds with the same version (NULL = sentinel)
-    are dropped; absent keys are inserted whole; matched keys take the
-    staged ``set_cols``; target-only keys are kept.  The full outer join
-    and the drop-unchanged anti join shuffle on the same key, so the
-    exchange of the target is reused.
+    """C3 = C1 + A7 + K3 + K4 in one full outer join on the key.
+
+    Staged rows are reduced to one per key (a partial aggregate, which also
+    covers A7), then joined once with the target: keys only in the staged
+    rows are inserted whole; keys in both take the staged ``set_cols`` when
+    a version differs (NULL = sentinel, or NULL-safe with ``null_safe``,
+    C2); everything else is kept.  The staged side is shuffled once (its
+    aggregate's partitioning serves the join) and the target once.  Source
+    keys are unique in practice; if not, the largest row per key is used.
     """
     keys = _keys(keys)
-    # A7 (distinct) is implied: one_per_key keeps one row per key anyway, so
-    # the staged rows are not shuffled a third time for a row-level distinct.
-    changed = drop_unchanged(staged, target, keys, version_cols, null_safe=null_safe)
     s_cols = [c for c in target.columns if c not in keys]
     if list(set_cols) == ["*"]:
         set_cols = s_cols
-    s = one_per_key(changed.select(*target.columns), keys, s_cols)
+    s = one_per_key(staged.select(*target.columns), keys, s_cols)
     s = s.select(*keys, *[F.col(c).alias(f"_n_{c}") for c in s_cols], F.lit(True).alias("_hit"))
     t = target.withColumn("_old", F.lit(True))
     j = t.join(s, keys, "full_outer")
+    types = dict((f.name, f.dataType) for f in target.schema.fields)
+    changed = None
+    for v in version_cols:
+        if null_safe:
+            d = ~F.col(v).eqNullSafe(F.col(f"_n_{v}"))
+        else:
+            sent = sentinel_for(types[v])
+            d = F.coalesce(F.col(v), sent) != F.coalesce(F.col(f"_n_{v}"), sent)
+        changed = d if changed is None else (changed | d)
     is_new = F.col("_old").isNull()
-    is_upd = F.col("_old").isNotNull() & F.col("_hit").isNotNull()
+    is_upd = F.col("_old").isNotNull() & F.col("_hit").isNotNull() & changed
     out = list(keys)
     for c in s_cols:
         if c in set_cols:
