@@ -236,16 +236,18 @@ def wildcard_semi(target: DataFrame, staged: DataFrame, key: str, wild_key: str,
 
 def wildcard_marker(target: DataFrame, staged: DataFrame, key: str, wild_key: str) -> DataFrame:
     """``target`` with a boolean ``_hit``: whether ``wildcard_semi`` keeps
-    the row.  Each half is a left join against a distinct key set (so no
-    target row is duplicated) -- two joins for the whole test."""
-    s = staged.filter(F.col(wild_key).isNotNull())
-    any_key = s.select(key).distinct().withColumn("_hit", F.lit(True))
-    exact = s.select(key, wild_key).distinct().withColumn("_hit", F.lit(True))
-    t_null = target.filter(F.col(wild_key).isNull()).join(any_key, [key], "left")
-    t_set = target.filter(F.col(wild_key).isNotNull()).join(exact, [key, wild_key], "left")
-    cols = target.columns + ["_hit"]
-    return (t_null.select(*cols).unionByName(t_set.select(*cols))
-            .withColumn("_hit", F.coalesce(F.col("_hit"), F.lit(False))))
+    the row.  Two left joins in sequence against distinct key sets --
+    (key, wild_key) for set wildcards, key alone for NULL ones -- so the
+    target flows through one linear plan, no row is duplicated, and no
+    condition runs over the pairs of a key."""
+    pairs = staged.filter(F.col(wild_key).isNotNull()).select(key, wild_key).distinct()
+    exact = pairs.withColumn("_hit_exact", F.lit(True))
+    # derived from the distinct pairs, so the staged side is computed once
+    # (the pairs' exchange is reused) and the key set is small already
+    any_key = pairs.select(key).distinct().withColumn("_hit_any", F.lit(True))
+    j = target.join(exact, [key, wild_key], "left").join(any_key, [key], "left")
+    hit = F.when(F.col(wild_key).isNull(), F.col("_hit_any").isNotNull()).otherwise(F.col("_hit_exact").isNotNull())
+    return j.select(*target.columns, hit.alias("_hit"))
 
 
 def flag_wildcard(target: DataFrame, staged: DataFrame, key: str, wild_key: str,
