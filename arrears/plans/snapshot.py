@@ -128,7 +128,8 @@ def base360_derive(base: DataFrame, as_of) -> DataFrame:
                      F.lit(None).cast("int").alias("id_retirada"))
 
 
-def base360_apply(target: DataFrame, staged: DataFrame, as_of, mark: bool = True) -> DataFrame:
+def base360_apply(target: DataFrame, staged: DataFrame, as_of, mark: bool = True,
+                  source_flag: bool = False) -> DataFrame:
     """M2 maintenance on the partitions ``data >= as_of's day`` (the only
     ones a run can change): K3 insert absent, K4 update the ten columns
     where any of the six compared ones differ (X8: NULL compares as 0 /
@@ -169,6 +170,9 @@ def base360_apply(target: DataFrame, staged: DataFrame, as_of, mark: bool = True
     if mark:
         out.append(F.when(is_new, F.lit("I")).when(is_upd, F.lit("U"))
                    .when(is_gone, F.lit("R")).otherwise(F.lit("N")).alias("acao"))
+    if source_flag:
+        # row present in today's snapshot: the run's source row count
+        out.append(F.col("_new").isNotNull().alias("na_origem"))
     return j.select(*out)
 
 
@@ -204,8 +208,8 @@ def run_base360(spark, base360_path: str, base: DataFrame, as_of) -> DataFrame:
         target = spark.read.parquet(base360_path)
     except Exception:  # noqa: BLE001 - first run: no table yet
         target = staged.filter(F.lit(False))
-    new = base360_apply(target.select(*staged.columns), staged, as_of, mark=True)
+    new = base360_apply(target.select(*staged.columns), staged, as_of, mark=True, source_flag=True)
     new = io.stage(new, base360_path)
-    counts = volumes_from_actions(new, staged).collect()
+    counts = volumes_from_actions(new, new.filter(F.col("na_origem"))).collect()
     io.publish(new, base360_path, ["data"], dynamic=True)
     return spark.createDataFrame(counts)

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from arrears.session import checkpoint_dir
 
 # Bookkeeping columns a staged copy may carry that the table does not.
-STAGE_ONLY_COLS = ("acao",)
+STAGE_ONLY_COLS = ("acao", "na_origem")
 
 
 def read_source(spark: SparkSession, path: str, schema: T.StructType | None = None,
