@@ -124,14 +124,14 @@ class TableLoad:
         key = list(self.dedup_key or self.key)[0]
         target = self._read_target(spark, target_path)
         staged = self.staged(source, target.drop(part), runs, as_of, inputs=inputs)
-        staged = staged.withColumn(part, io.key_range(key, self.range_width))
+        staged = io.stage(staged.withColumn(part, io.key_range(key, self.range_width)), target_path + "#extract")
 
         def compute(t_slice, s):
             new = self.plan(s.drop(part), t_slice.drop(part), watermark=None, as_of=as_of, inputs=inputs,
                             staged=s.drop(part))
             return new.withColumn(part, io.key_range(key, self.range_width))
 
-        return io.apply_to_partitions(spark, target_path, staged, part, compute, self.target_schema)
+        return io.apply_to_partitions(spark, target_path, staged, part, compute, self.target_schema), staged
 
     # -- run ---------------------------------------------------------------
     def run(self, spark: SparkSession, source: DataFrame, target_path: str, runs: DataFrame,
@@ -142,17 +142,21 @@ class TableLoad:
         def body(set_stage):
             if self.range_width:
                 set_stage("Persistencia")
-                staged = self._run_partitioned(spark, source, target_path, runs, as_of, inputs)
+                staged, extract = self._run_partitioned(spark, source, target_path, runs, as_of, inputs)
             else:
                 io.recover(spark, target_path)
                 target = self._read_target(spark, target_path)
-                new = self.plan(source, target, runs, as_of, inputs=inputs)
+                # The extract (incremental, small) is staged once: it is
+                # counted as the run's source rows and planned from.
+                extract = io.stage(self.staged(source, target, runs, as_of, inputs=inputs),
+                                   target_path + "#extract")
+                new = self.plan(source, target, runs, as_of, inputs=inputs, staged=extract)
                 set_stage("Persistencia")
                 # The marked new state is written once to the shared staging
                 # folder: the counts and the overwrite both read that copy.
                 staged = io.stage(new, target_path)
                 io.publish(staged, target_path)
-            return runlog.volumes_from_actions(staged).first().asDict()
+            return runlog.volumes_from_actions(staged, extract).first().asDict()
 
         return runlog.logged_run(spark, self.job, self.source, self.target, log_paths, as_of, body,
                                  finished_at)

@@ -28,6 +28,7 @@ def test_table_load_upsert_twice(spark, scratch):
     runs = runlog.run_status(spark.read.parquet(logs["runs"]))
     c = spec.run(spark, src, target, runs, logs, AS_OF)
     assert (c["linhas_inseridas"], c["linhas_atualizadas"]) == (1, 1)
+    assert c["linhas_origem"] == 2          # ids 2 (changed version) and 3 (new); id 1 is not extracted
     got = sorted((r.id_titulo, r.plano) for r in spark.read.parquet(target).collect())
     assert got == [(1, 1), (2, 5), (3, 7)]
     runs = runlog.run_status(spark.read.parquet(logs["runs"]))
