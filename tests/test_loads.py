@@ -184,3 +184,22 @@ def test_declared_schemas_parse_and_read(spark, scratch):
     spark.createDataFrame([], schemas.schema("devedores")).write.parquet(path)
     df = schemas.read(spark, "devedores", path, columns=["id_devedor", "cnpj_cpf"])
     assert df.columns == ["id_devedor", "cnpj_cpf"] and df.count() == 0
+
+
+def test_streaming_restart_from_checkpoint(spark, scratch):
+    """A restarted stream resumes from its checkpoint: files already read are
+    not re-read, and a batch replayed after a crash inserts nothing twice
+    (insert-if-absent against the target)."""
+    from arrears.streaming.feed import insert_only_stream
+    landing, target, ckpt = f"{scratch}/landing", f"{scratch}/target", f"{scratch}/ckpt"
+    spark.createDataFrame([(1, 1, dt.datetime(2026, 8, 1))], SRC).write.parquet(landing + "/b1")
+    q = insert_only_stream(spark, landing + "/*", SRC, target, ["id_titulo"], "restart_a", checkpoint=ckpt)
+    q.processAllAvailable()
+    q.stop()
+    spark.createDataFrame([(1, 1, dt.datetime(2026, 8, 1)), (2, 1, dt.datetime(2026, 8, 2))], SRC) \
+        .write.parquet(landing + "/b2")
+    q = insert_only_stream(spark, landing + "/*", SRC, target, ["id_titulo"], "restart_b", checkpoint=ckpt)
+    q.processAllAvailable()
+    q.stop()
+    ids = sorted(r.id_titulo for r in spark.read.parquet(target).collect())
+    assert ids == [1, 2]
