@@ -6,12 +6,25 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Largest side (in rows) ever broadcast by ``broadcast_if_bounded``.  The
-# row cap is checked on the data, not assumed: anything larger joins by
-# shuffle, and AQE may still broadcast it at run time under its own byte
-# threshold.
+# Largest side ever broadcast by ``broadcast_if_bounded``: a row cap checked
+# on the data (not assumed), and a byte cap on rows x estimated row width.
+# Anything larger joins by shuffle, and AQE may still broadcast it at run
+# time under its own byte threshold.
 BROADCAST_MAX_ROWS = 200_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+
+# Width estimates per column type (strings and other variable-width types
+# are given a generous average).
+_WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
+          T.LongType: 8, T.FloatType: 4, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8,
+          T.DecimalType: 16}
+_VARIABLE_WIDTH = 64
+
+
+def estimated_row_bytes(df: DataFrame) -> int:
+    return sum(_WIDTH.get(type(f.dataType), _VARIABLE_WIDTH) for f in df.schema.fields) + 16
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -20,10 +33,13 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a checked size bound; otherwise the plain
+def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                         max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast hint only behind a checked size bound (rows counted on the
+    data, bytes bounded by rows x estimated width); otherwise the plain
     frame (shuffle join, or AQE's runtime choice)."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+    rows_cap = min(max_rows, max(1, max_bytes // estimated_row_bytes(df)))
+    return F.broadcast(df) if row_count_at_most(df, rows_cap) else df
 
 
 def left_lookup(df: DataFrame, dim: DataFrame, key: str | Sequence[str]) -> DataFrame:
