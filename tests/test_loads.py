@@ -203,3 +203,9 @@ def test_streaming_restart_from_checkpoint(spark, scratch):
     q.stop()
     ids = sorted(r.id_titulo for r in spark.read.parquet(target).collect())
     assert ids == [1, 2]
+
+
+def test_read_table_by_catalog_name(spark):
+    spark.createDataFrame([(1, 2, dt.datetime(2026, 8, 1))], SRC).createOrReplaceTempView("ods_titulos")
+    df = io.read_table(spark, "ods_titulos", ["id_titulo"])
+    assert df.columns == ["id_titulo"] and df.first().id_titulo == 1
