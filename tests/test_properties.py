@@ -64,3 +64,76 @@ def test_wildcard_matches_model(spark, target, staged):
     assert got == exp
     marked = {((-1 if r.c is None else r.c), r.d, r._hit) for r in mg.wildcard_marker(t, s, "d", "c").collect()}
     assert {(c, d) for c, d, h in marked if h} == set(exp)
+
+
+runs_st = st.lists(st.tuples(st.integers(0, 3), st.integers(0, 47), st.sampled_from(["Concluida", "Erro", "Executando"])),
+                   min_size=0, max_size=12)
+
+
+@SETTINGS
+@given(runs=runs_st)
+def test_watermarks_match_model(spark, runs):
+    from arrears.operators import incremental as inc
+    base = dt.datetime(2026, 8, 14)
+    data = [(i, f"J{j}", base + dt.timedelta(hours=h), s) for i, (j, h, s) in enumerate(runs)]
+    df = spark.createDataFrame(data, "id_execucao long, nome_procedure string, data_hora_inicio timestamp_ntz, "
+                                     "status_execucao string")
+    fwd = {r.nome_procedure: r.watermark for r in inc.watermark_forward(df).collect()}
+    bwd = {r.nome_procedure: r.watermark for r in inc.watermark_backward(df).collect()}
+    pen = {r.nome_procedure: r.watermark for r in inc.watermark_penultimate(df).collect()}
+    done = {}
+    for i, j, ts, s in data:
+        if s == "Concluida":
+            done.setdefault(j, []).append((i, ts))
+
+    def fwd_of(ts):
+        return ts.date() + dt.timedelta(days=1 if ts.hour >= 22 else 0)
+
+    assert fwd == {j: fwd_of(max(t for _, t in v)) for j, v in done.items()}
+    assert bwd == {j: max(t for _, t in v).date() - dt.timedelta(days=2 if max(t for _, t in v).hour >= 22 else 1)
+                   for j, v in done.items()}
+    exp_pen = {}
+    for j, v in done.items():
+        top = max(i for i, _ in v)
+        earlier = [t for i, t in v if i < top]
+        if earlier:
+            exp_pen[j] = fwd_of(max(earlier))
+    assert pen == exp_pen
+
+
+snap_rows = st.dictionaries(st.integers(0, 8), st.tuples(st.integers(0, 3), st.sampled_from([None, 1, 2])),
+                            max_size=8)
+
+
+@SETTINGS
+@given(today=snap_rows, staged=snap_rows, flagged=st.sets(st.integers(0, 8)))
+def test_base360_apply_matches_model(spark, today, staged, flagged):
+    """Base360 rules: insert absent, update when a compared column differs
+    (NULL counts as 0), flag today's rows missing from the snapshot."""
+    from decimal import Decimal as Dec
+
+    from arrears.plans import snapshot
+    day = dt.date(2026, 8, 17)
+    cols = ("id_base long, data date, id_devedor long, id_titulo long, plano int, numero_parcela int, "
+            "data_inclusao timestamp_ntz, dias_em_atraso int, risco decimal(19,4), saldo_vencido decimal(19,4), "
+            "valor_regularizacao decimal(19,4), id_retirada int")
+
+    def row(k, num, risco, ret=None):
+        return (k, day, 1, k, 1, num, None, 0, None if risco is None else Dec(risco), None, None, ret)
+
+    t = spark.createDataFrame([row(k, n, r, 1 if k in flagged else None) for k, (n, r) in today.items()], cols)
+    s = spark.createDataFrame([row(k, n, r) for k, (n, r) in staged.items()], cols)
+    got = {r.id_titulo: (r.acao, r.numero_parcela, r.id_retirada)
+           for r in snapshot.base360_apply(t, s.drop("id_retirada"), dt.datetime(2026, 8, 17, 9)).collect()}
+    exp = {}
+    for k in set(today) | set(staged):
+        ret = 1 if k in flagged else None
+        if k not in today:
+            exp[k] = ("I", staged[k][0], None)
+        elif k not in staged:
+            exp[k] = ("R", today[k][0], 1) if ret is None else ("N", today[k][0], ret)
+        elif (today[k][0] or 0) != (staged[k][0] or 0) or (today[k][1] or 0) != (staged[k][1] or 0):
+            exp[k] = ("U", staged[k][0], ret)
+        else:
+            exp[k] = ("N", today[k][0], ret)
+    assert got == exp
