@@ -47,15 +47,14 @@ def mailing_attach(base360: DataFrame, mailing: DataFrame, carteiras: DataFrame,
 def mailing_apply(target: DataFrame, attached: DataFrame, mark: bool = False) -> DataFrame:
     """New BaseMailing360 state: insert absent ``id_base`` (K3), and for
     present ones take the staged withdrawal flag whenever
-    ``isnull(old, 0) <> isnull(new, 0)`` -- including back to NULL (J16)."""
-    from arrears.operators.merge import ACTION, INSERTED, update_matched
-    cols = target.columns
-    new = insert_absent(target, attached, ["id_base"]).select(*cols)
-    upd = update_matched(target, attached.select("id_base", "id_retirada"), ["id_base"], ["id_retirada"],
-                         when=lambda old, new_: X.differs_num(old("id_retirada"), new_("id_retirada")), mark=mark)
-    if mark:
-        new = new.withColumn(ACTION, F.lit(INSERTED))
-    return upd.unionByName(new)
+    ``isnull(old, 0) <> isnull(new, 0)`` -- including back to NULL (J16).
+
+    That is the upsert rule with the flag as its own version column (the
+    integer sentinel is 0), so it runs as one full outer join on
+    ``id_base`` and the attached rows are read once."""
+    from arrears.operators.merge import upsert
+    return upsert(target, attached.select(*target.columns), ["id_base"], ["id_retirada"], ["id_retirada"],
+                  mark=mark)
 
 
 # ---- M4 CRM360 -----------------------------------------------------------
