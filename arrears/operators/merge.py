@@ -155,14 +155,16 @@ def update_unless_equal(target: DataFrame, staged: DataFrame, keys, version_col:
 
 
 def upsert(target: DataFrame, staged: DataFrame, keys, version_cols: Sequence[str],
-           set_cols: Sequence[str], mark: bool = False, null_safe: bool = False) -> DataFrame:
+           set_cols: Sequence[str], mark: bool = False, null_safe: bool = False,
+           fill_only: bool = False) -> DataFrame:
     """C3 = C1 + A7 + K3 + K4 in one full outer join on the key.
 
     Staged rows are reduced to one per key (a partial aggregate, which also
     covers A7), then joined once with the target: keys only in the staged
     rows are inserted whole; keys in both take the staged ``set_cols`` when
     a version differs (NULL = sentinel, or NULL-safe with ``null_safe``,
-    C2); everything else is kept.  The staged side is shuffled once (its
+    C2); everything else is kept.  ``fill_only`` turns the update into
+    C5 (set a column only where the target has NULL).  The staged side is shuffled once (its
     aggregate's partitioning serves the join) and the target once.  Source
     keys are unique in practice; if not, the largest row per key is used.
     """
@@ -185,9 +187,19 @@ def upsert(target: DataFrame, staged: DataFrame, keys, version_cols: Sequence[st
         changed = d if changed is None else (changed | d)
     is_new = F.col("_old").isNull()
     is_upd = F.col("_old").isNotNull() & F.col("_hit").isNotNull() & changed
+    if fill_only:
+        # C1 + C5: a changed row only fills set columns still NULL in the target
+        fills = [F.col(c).isNull() & F.col(f"_n_{c}").isNotNull() for c in set_cols]
+        any_fill = fills[0]
+        for f in fills[1:]:
+            any_fill = any_fill | f
+        is_upd = is_upd & any_fill
     out = list(keys)
     for c in s_cols:
-        if c in set_cols:
+        if c in set_cols and fill_only:
+            fill = is_upd & F.col(c).isNull() & F.col(f"_n_{c}").isNotNull()
+            out.append(F.when(is_new | fill, F.col(f"_n_{c}")).otherwise(F.col(c)).alias(c))
+        elif c in set_cols:
             out.append(F.when(is_new | is_upd, F.col(f"_n_{c}")).otherwise(F.col(c)).alias(c))
         else:
             out.append(F.when(is_new, F.col(f"_n_{c}")).otherwise(F.col(c)).alias(c))

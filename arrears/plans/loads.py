@@ -98,15 +98,15 @@ class TableLoad:
             return mg.upsert(target, staged.select(*target.columns), key, self.versions,
                              self.set_cols, mark=True, null_safe=self.null_safe)
         if self.maintain == UPDATE_UNLESS_EQUAL:
-            changed = mg.drop_unchanged(staged, target, key, [self.version_col])
-            ins = mg.insert_absent(target, changed, key).select(*target.columns)
-            upd = mg.update_unless_equal(target, changed, key, self.version_col, self.set_cols, mark=True)
-            return upd.unionByName(ins.withColumn(mg.ACTION, F.lit(mg.INSERTED)))
+            # C1 then C6: the rows C1 keeps always differ by the sentinel
+            # compare, which already implies "not equal and both non-NULL",
+            # so the pair is the upsert rule -- one full outer join.
+            return mg.upsert(target, staged.select(*target.columns), key, [self.version_col], self.set_cols,
+                             mark=True)
         if self.maintain == FILL_ONCE:
-            changed = mg.drop_unchanged(staged, target, key, [self.version_col])
-            ins = mg.insert_absent(target, changed, key).select(*target.columns)
-            upd = mg.fill_null_once(target, changed, key, self.set_cols, mark=True)
-            return upd.unionByName(ins.withColumn(mg.ACTION, F.lit(mg.INSERTED)))
+            # C1 then K3 + C5 in the same single join
+            return mg.upsert(target, staged.select(*target.columns), key, [self.version_col], self.set_cols,
+                             mark=True, fill_only=True)
         raise ValueError(self.maintain)
 
     def _read_target(self, spark: SparkSession, path: str) -> DataFrame:

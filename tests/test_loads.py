@@ -209,3 +209,25 @@ def test_read_table_by_catalog_name(spark):
     spark.createDataFrame([(1, 2, dt.datetime(2026, 8, 1))], SRC).createOrReplaceTempView("ods_titulos")
     df = io.read_table(spark, "ods_titulos", ["id_titulo"])
     assert df.columns == ["id_titulo"] and df.first().id_titulo == 1
+
+
+def test_fill_once_and_unless_equal_specs(spark):
+    """L8 (C1 + K3 + C6) and L12 (C1 + K3 + C5) through their specs."""
+    P = "id long, data_atualizacao timestamp_ntz, pontuacao int"
+    tgt = spark.createDataFrame([(1, None, 1), (2, dt.datetime(1900, 1, 1), 1), (3, dt.datetime(2026, 8, 1), 1),
+                                 (4, dt.datetime(2026, 8, 1), 1)], P)
+    src = spark.createDataFrame([(1, None, 9), (2, None, 9), (3, dt.datetime(2026, 8, 2), 9),
+                                 (4, dt.datetime(2026, 8, 1), 9), (5, None, 9)], P)
+    spec = loads.TableLoad("ProcTel", "cob.T", "T", ["id"], loads.FULL_ABSENT, loads.UPDATE_UNLESS_EQUAL,
+                           version_col="data_atualizacao", set_cols=["data_atualizacao", "pontuacao"])
+    got = {r.id: (r.pontuacao, r.acao) for r in spec.plan(src, tgt).collect()}
+    assert got == {1: (1, "N"), 2: (1, "N"), 3: (9, "U"), 4: (1, "N"), 5: (9, "I")}
+    Q = "id long, data_pagamento date, valor_pago int"
+    tgt = spark.createDataFrame([(1, None, None), (2, dt.date(2026, 8, 1), 5), (3, None, None)], Q)
+    src = spark.createDataFrame([(1, dt.date(2026, 8, 3), 7), (2, dt.date(2026, 8, 9), 8), (3, None, None),
+                                 (4, dt.date(2026, 8, 3), 1)], Q)
+    spec = loads.TableLoad("ProcPagar", "cob.P", "P", ["id"], loads.FULL_ABSENT, loads.FILL_ONCE,
+                           version_col="data_pagamento", set_cols=["data_pagamento", "valor_pago"])
+    got = {r.id: (r.data_pagamento, r.valor_pago, r.acao) for r in spec.plan(src, tgt).collect()}
+    assert got == {1: (dt.date(2026, 8, 3), 7, "U"), 2: (dt.date(2026, 8, 1), 5, "N"), 3: (None, None, "N"),
+                   4: (dt.date(2026, 8, 3), 1, "I")}
