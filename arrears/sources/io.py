@@ -158,12 +158,26 @@ def key_range(key: str, width: int) -> Column:
     return F.floor(F.col(key) / F.lit(width)).cast("long")
 
 
+# Most partition values ever turned into a static partition filter.
+MAX_LISTED_PARTITIONS = 10_000
+
+
 def touched_partitions(target: DataFrame, staged: DataFrame, part_col: str) -> DataFrame:
-    """The target rows in the partitions the staged rows fall in.  The
-    partition list is distinct (bounded by the partition count, not by the
-    data); the semi join on the partition column lets Spark prune the
-    target's partitions at run time (dynamic partition pruning)."""
-    return target.join(staged.select(part_col).distinct(), part_col, "left_semi")
+    """The target rows in the partitions the staged rows fall in.
+
+    The distinct partition values are metadata: they are bounded by the
+    partition count, not by the data. Up to ``MAX_LISTED_PARTITIONS`` of
+    them are read (a limit makes the bound certain) and applied as a
+    partition filter, so untouched partitions are never listed or read.
+    Above that, a semi join on the partition column is used, and Spark may
+    still prune at run time.
+    """
+    from pyspark.sql import functions as F
+    parts = staged.select(part_col).distinct()
+    values = [r[0] for r in parts.limit(MAX_LISTED_PARTITIONS + 1).collect()]
+    if len(values) <= MAX_LISTED_PARTITIONS:
+        return target.filter(F.col(part_col).isin(values))
+    return target.join(parts, part_col, "left_semi")
 
 
 def apply_to_partitions(spark: SparkSession, target_path: str, staged: DataFrame, part_col: str,

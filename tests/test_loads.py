@@ -231,3 +231,14 @@ def test_fill_once_and_unless_equal_specs(spark):
     got = {r.id: (r.data_pagamento, r.valor_pago, r.acao) for r in spec.plan(src, tgt).collect()}
     assert got == {1: (dt.date(2026, 8, 3), 7, "U"), 2: (dt.date(2026, 8, 1), 5, "N"), 3: (None, None, "N"),
                    4: (dt.date(2026, 8, 3), 1, "I")}
+
+
+def test_touched_partitions_prunes(spark, scratch):
+    from arrears.sources import io as io_
+    path = f"{scratch}/parts"
+    spark.range(1000).withColumn("part", io_.key_range("id", 100)).write.partitionBy("part").parquet(path)
+    staged = spark.range(950, 1010).withColumn("part", io_.key_range("id", 100))
+    df = io_.touched_partitions(spark.read.parquet(path), staged, "part")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [part#" in plan and "IN (9,10)" in plan
+    assert df.count() == 100
