@@ -43,16 +43,24 @@ def test_every_query_has_sql():
     assert set(E.queries()) == set(E.oracle_sql())
 
 
+def _arrow_types(schema):
+    return {f.name: str(f.type).replace("large_string", "string") for f in schema}
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
-    srows = [tuple(r) for r in df.collect()]
-    res = con.execute(E.oracle_sql()[name])
-    ocols = [d[0] for d in res.description]
-    orows = res.fetchall()
-    assert sorted(df.columns) == sorted(ocols)
+    tbl = df.toArrow()
+    scols = tbl.column_names
+    srows = [tuple(r[c] for c in scols) for r in tbl.to_pylist()]
+    rel = con.sql(E.oracle_sql()[name])
+    otbl = rel.to_arrow_table()
+    ocols = otbl.column_names
+    orows = [tuple(r[c] for c in ocols) for r in otbl.to_pylist()]
+    assert sorted(scols) == sorted(ocols)
+    assert _arrow_types(tbl.schema) == _arrow_types(otbl.schema)      # same column types
     assert len(srows) == len(orows)
-    assert _digest(df.columns, srows) == _digest(ocols, orows)
+    assert _digest(scols, srows) == _digest(ocols, orows)
 
 
 def test_entry_smoke(spark):
