@@ -49,8 +49,16 @@ def drop_unchanged(staged: DataFrame, target: DataFrame, keys, version_cols: Seq
     is the truly NULL-safe form (C2)."""
     keys = _keys(keys)
     if null_safe:
-        t = target.select(*keys, *[F.col(v).alias(f"_t_{v}") for v in version_cols])
-        cond = [staged[k] == t[k] for k in keys] + [staged[v].eqNullSafe(t[f"_t_{v}"]) for v in version_cols]
+        # target columns renamed so the condition never refers to a column
+        # both sides share (staged and target may come from one lineage)
+        t = target.select(*[F.col(k).alias(f"_tk_{k}") for k in keys],
+                          *[F.col(v).alias(f"_t_{v}") for v in version_cols])
+        cond = None
+        for k in keys:
+            c = F.col(k) == F.col(f"_tk_{k}")
+            cond = c if cond is None else cond & c
+        for v in version_cols:
+            cond = cond & F.col(v).eqNullSafe(F.col(f"_t_{v}"))
         return staged.join(t, cond, "left_anti")
     s = _sentinel_cols(staged, version_cols, "_v_")
     t = _sentinel_cols(target.select(*keys, *version_cols), version_cols, "_v_").select(

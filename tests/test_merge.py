@@ -80,3 +80,10 @@ def test_insert_absent_keeps_batch_duplicates(spark):
     tgt = spark.createDataFrame([(1, None, "a")], S)
     stg = spark.createDataFrame([(1, None, "a"), (2, None, "b"), (2, None, "b")], S)
     assert mg.insert_absent(tgt, stg, "k").count() == 2
+
+
+def test_null_safe_drop_unchanged_on_one_lineage(spark):
+    src = spark.createDataFrame([(1, None, "a"), (2, T0, "b"), (3, D1, "c")], S)
+    held = src.filter("k <> 3").withColumn("v", F.lit(None).cast("timestamp_ntz"))
+    assert rows(mg.drop_unchanged(src, held, "k", ["v"], null_safe=True), "k") == [(2,), (3,)]
+    assert rows(mg.drop_unchanged(src, held, "k", ["v"]), "k") == [(3,)]
