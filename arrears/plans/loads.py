@@ -143,6 +143,18 @@ class TableLoad:
             if self.range_width:
                 set_stage("Persistencia")
                 staged, extract = self._run_partitioned(spark, source, target_path, runs, as_of, inputs)
+            elif self.maintain == INSERT_ONLY:
+                # Pure inserts: only the absent rows are staged and appended;
+                # the table is never rewritten.  A re-run after a failure
+                # finds them present and appends nothing twice.
+                target = self._read_target(spark, target_path)
+                extract = io.stage(self.staged(source, target, runs, as_of, inputs=inputs),
+                                   target_path + "#extract")
+                key = list(self.dedup_key or self.key)
+                new = mg.insert_absent(target, extract.select(*target.columns), key)
+                set_stage("Persistencia")
+                staged = io.stage(new.withColumn(mg.ACTION, F.lit(mg.INSERTED)), target_path + "#append")
+                io.append(staged.drop(mg.ACTION), target_path)
             else:
                 io.recover(spark, target_path)
                 target = self._read_target(spark, target_path)

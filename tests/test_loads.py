@@ -242,3 +242,19 @@ def test_touched_partitions_prunes(spark, scratch):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [part#" in plan and "IN (9,10)" in plan
     assert df.count() == 100
+
+
+def test_insert_only_load_appends_without_rewrite(spark, scratch):
+    import os
+    spec = loads.TableLoad("ProcOrigens", "glo.Origens", "Origens", ["id_titulo"], loads.HIGH_WATER,
+                           loads.INSERT_ONLY, id_col="id_titulo")
+    target = f"{scratch}/orig"
+    logs = {k: f"{scratch}/{k}" for k in ("runs", "volumes", "errors")}
+    spark.createDataFrame([(1, 1, dt.datetime(2026, 8, 1))], SRC).write.parquet(target)
+    before = set(f for f in os.listdir(target) if f.endswith(".parquet"))
+    src = spark.createDataFrame([(1, 1, dt.datetime(2026, 8, 1)), (2, 1, dt.datetime(2026, 8, 2))], SRC)
+    c = spec.run(spark, src, target, None, logs, AS_OF)
+    after = set(f for f in os.listdir(target) if f.endswith(".parquet"))
+    assert c["linhas_inseridas"] == 1 and before <= after          # old files untouched, new file added
+    assert spec.run(spark, src, target, None, logs, AS_OF)["linhas_inseridas"] == 0
+    assert sorted(r.id_titulo for r in spark.read.parquet(target).collect()) == [1, 2]
