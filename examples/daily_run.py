@@ -77,6 +77,20 @@ def run_day(spark, sf_dir: str, wh: str, as_of: dt.datetime) -> dict:
         return {"linhas_inseridas": n}
 
     out["crm360"] = runlog.logged_run(spark, "ProcCRM360", "Ocorrencias/Eventos", "CRM360", logs, as_of, crm_job)
+
+    # M5: the dialer's calls of the day (remote extract, S3) on today's snapshot.
+    calls = marts.attach_calls(marts.read_dialer(S.dialer_source(t).filter(
+        F.col("inicio_discagem") <= X.ts_lit(as_of)), as_of), spark.read.parquet(b360), as_of,
+        marts.DIALER_DURATIONS).withColumn("dia", F.to_date("data"))
+
+    def dialer_job(set_stage):
+        set_stage("Persistencia final")
+        n = marts.append_new(spark, f"{wh}/discador360", calls, marts.CALL_KEY, "dia",
+                             scope=F.col("dia") >= X.date_lit(as_of))
+        return {"linhas_inseridas": n}
+
+    out["discador360"] = runlog.logged_run(spark, "ProcDiscador360", "remote.CallDialer", "Discador360", logs,
+                                           as_of, dialer_job)
     return out
 
 

@@ -27,6 +27,7 @@ def test_two_days_and_rerun(spark, scratch):
     occ = spark.read.parquet(f"{scratch}/ocorrencias")
     assert occ.select("id_ocorrencia").distinct().count() == occ.count()
     st = [r.status_execucao for r in runlog.run_status(spark.read.parquet(f"{scratch}/log/runs")).collect()]
-    assert len(st) == 12 and set(st) == {"Concluida"}
-    assert spark.read.parquet(f"{scratch}/log/volumes").count() == 12
+    assert len(st) == 15 and set(st) == {"Concluida"}
+    assert spark.read.parquet(f"{scratch}/log/volumes").count() == 15
+    assert again["discador360"]["linhas_inseridas"] == 0
     assert again["base"]["linhas_inseridas"] == spark.read.parquet(f"{scratch}/base").count() > 0
