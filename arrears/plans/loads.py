@@ -140,21 +140,28 @@ class TableLoad:
         volumes and close the run; on failure log the error and close as
         ``Erro``.  The watermark moves only on ``Concluida``."""
         def body(set_stage):
-            if self.range_width:
-                set_stage("Persistencia")
-                staged, extract = self._run_partitioned(spark, source, target_path, runs, as_of, inputs)
-            elif self.maintain == INSERT_ONLY:
+            if self.maintain == INSERT_ONLY:
                 # Pure inserts: only the absent rows are staged and appended;
                 # the table is never rewritten.  A re-run after a failure
-                # finds them present and appends nothing twice.
+                # finds them present and appends nothing twice.  With
+                # ``range_width`` the anti join reads only the id ranges the
+                # extract falls in (a partition filter).
                 target = self._read_target(spark, target_path)
-                extract = io.stage(self.staged(source, target, runs, as_of, inputs=inputs),
-                                   target_path + "#extract")
+                part = "part" if self.range_width else None
                 key = list(self.dedup_key or self.key)
-                new = mg.insert_absent(target, extract.select(*target.columns), key)
+                plain = target.drop(part) if part else target
+                extract = self.staged(source, plain, runs, as_of, inputs=inputs)
+                if part:
+                    extract = extract.withColumn(part, io.key_range(key[0], self.range_width))
+                extract = io.stage(extract, target_path + "#extract")
+                held = io.touched_partitions(target, extract, part) if part else target
+                new = mg.insert_absent(held, extract.select(*target.columns), key)
                 set_stage("Persistencia")
                 staged = io.stage(new.withColumn(mg.ACTION, F.lit(mg.INSERTED)), target_path + "#append")
-                io.append(staged.drop(mg.ACTION), target_path)
+                io.append(staged.drop(mg.ACTION), target_path, [part] if part else None)
+            elif self.range_width:
+                set_stage("Persistencia")
+                staged, extract = self._run_partitioned(spark, source, target_path, runs, as_of, inputs)
             else:
                 io.recover(spark, target_path)
                 target = self._read_target(spark, target_path)

@@ -147,7 +147,7 @@ def test_remote_read_pushdown_and_purge(spark, scratch):
     assert p.count() == 0 and p.schema == SRC
 
 
-def test_partitioned_insert_only_rewrites_only_touched_ranges(spark, scratch):
+def test_partitioned_insert_only_touches_only_new_ranges(spark, scratch):
     import os
     spec = loads.TableLoad("ProcEv", "oco.Ev", "Ev", ["id_titulo"], loads.HIGH_WATER, loads.INSERT_ONLY,
                            id_col="id_titulo", range_width=100)
