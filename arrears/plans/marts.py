@@ -255,7 +255,10 @@ def append_new(spark, mart_path: str, staged: DataFrame, keys: Sequence[str], pa
             target = target.filter(scope)
     except Exception:  # noqa: BLE001 - first run: empty mart
         target = staged.filter(F.lit(False))
+    from pyspark.sql import Observation
     new = io.stage(insert_absent(target, staged, keys), mart_path + "#append")
-    n = new.count()
-    io.append(new, mart_path, [partition_col])
-    return n
+    # A10 with ``observe``: the row count is gathered by the append itself
+    # (from successful tasks only), not by a separate counting job.
+    obs = Observation("appended")
+    io.append(new.observe(obs, F.count(F.lit(1)).alias("n")), mart_path, [partition_col])
+    return int(obs.get["n"])
