@@ -137,3 +137,36 @@ def test_base360_apply_matches_model(spark, today, staged, flagged):
         else:
             exp[k] = ("N", today[k][0], ret)
     assert got == exp
+
+
+pay = st.dictionaries(st.integers(0, 10), st.tuples(st.sampled_from([None, dt.date(2026, 8, 1), dt.date(2026, 8, 2)]),
+                                                    st.sampled_from([None, 5, 7])), max_size=8)
+
+
+@SETTINGS
+@given(target=pay, staged=pay)
+def test_fill_once_load_matches_model(spark, target, staged):
+    """C1 (sentinel version compare) + K3 + C5 (fill only NULL columns)."""
+    schema = "k long, d date, v int"
+    t = spark.createDataFrame([(k, d, v) for k, (d, v) in target.items()], schema)
+    s = spark.createDataFrame([(k, d, v) for k, (d, v) in staged.items()], schema)
+    got = {r.k: (r.d, r.v, r.acao) for r in mg.upsert(t, s, "k", ["d"], ["d", "v"], mark=True,
+                                                       fill_only=True).collect()}
+    sent = dt.date(1900, 1, 1)
+    exp = {}
+    for k in set(target) | set(staged):
+        if k not in target:
+            exp[k] = (*staged[k], "I")
+            continue
+        (td, tv), row = target[k], list(target[k])
+        if k in staged and (td or sent) != (staged[k][0] or sent):
+            sd, sv = staged[k]
+            filled = False
+            if td is None and sd is not None:
+                row[0], filled = sd, True
+            if tv is None and sv is not None:
+                row[1], filled = sv, True
+            exp[k] = (row[0], row[1], "U" if filled else "N")
+        else:
+            exp[k] = (td, tv, "N")
+    assert got == exp
