@@ -157,8 +157,16 @@ class TableLoad:
                 held = io.touched_partitions(target, extract, part) if part else target
                 new = mg.insert_absent(held, extract.select(*target.columns), key)
                 set_stage("Persistencia")
-                staged = io.stage(new.withColumn(mg.ACTION, F.lit(mg.INSERTED)), target_path + "#append")
-                io.append(staged.drop(mg.ACTION), target_path, [part] if part else None)
+                staged = io.stage(new, target_path + "#append")
+                # counts gathered by the append itself and by the extract's
+                # staged copy -- no extra pass over the appended rows
+                from pyspark.sql import Observation
+                obs = Observation("inserted")
+                io.append(staged.observe(obs, F.count(F.lit(1)).alias("n")), target_path,
+                          [part] if part else None)
+                inserted = int(obs.get["n"])
+                return {"linhas_origem": extract.count(), "linhas_inseridas": inserted,
+                        "linhas_atualizadas": 0, "linhas_totais_destino": inserted}
             elif self.range_width:
                 set_stage("Persistencia")
                 staged, extract = self._run_partitioned(spark, source, target_path, runs, as_of, inputs)
