@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arrears.llm import block_naming
+from arrears.llm import block_naming, hamming_join
 from arrears.llm.common import Scratch, documents
 
 
+def op3_hamming_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = hamming_join.near_duplicates(documents(spark, sf_dir), Scratch(spark, "op3"), shingle_words=2, percent=80)
+    return near.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op10_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_naming.exact_groups(documents(spark, sf_dir), Scratch(spark, "op10"))
 
 
-QUERIES = {f.__name__: f for f in (op10_block_naming,)}
+QUERIES = {f.__name__: f for f in (op3_hamming_join, op10_block_naming)}
 
 #: DuckDB SQL of the queries that SQL can express; the others are tested
 #: against brute force in tests/llm.
