@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arrears.llm import block_naming, hamming_join
+from arrears.llm import block_naming, hamming_join, packing, records
 from arrears.llm.common import Scratch, documents
+from arrears.llm.tokens import tokenizer_path
 
 
 def op3_hamming_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,11 +14,20 @@ def op3_hamming_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op6_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = records.write_records(documents(spark, sf_dir), Scratch(spark, "op6"), tokenizer_path("byte_bpe_50k.json"), end_id=0)
+    return records.read_records(files)
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), end_id=1)
+
+
 def op10_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_naming.exact_groups(documents(spark, sf_dir), Scratch(spark, "op10"))
 
 
-QUERIES = {f.__name__: f for f in (op3_hamming_join, op10_block_naming)}
+QUERIES = {f.__name__: f for f in (op3_hamming_join, op6_records, op8_packing, op10_block_naming)}
 
 #: DuckDB SQL of the queries that SQL can express; the others are tested
 #: against brute force in tests/llm.
