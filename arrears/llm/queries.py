@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears.llm import block_naming, hamming_join, packing, records, rule_ensemble
+from arrears.llm import block_naming, hamming_join, packing, pii, records, rule_ensemble
 from arrears.llm.common import Scratch, documents
 from arrears.llm.tokens import tokenizer_path
 
@@ -32,11 +32,16 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), end_id=1)
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return pii.found(docs, pii.fit(docs))
+
+
 def op10_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_naming.exact_groups(documents(spark, sf_dir), Scratch(spark, "op10"))
 
 
-QUERIES = {f.__name__: f for f in (op3_hamming_join, op4_rule_ensemble, op6_records, op8_packing, op10_block_naming)}
+QUERIES = {f.__name__: f for f in (op3_hamming_join, op4_rule_ensemble, op6_records, op8_packing, op9_pii, op10_block_naming)}
 
 #: DuckDB SQL of the queries that SQL can express; the others are tested
 #: against brute force in tests/llm.
