@@ -91,10 +91,10 @@ def base_spans(text: str) -> list[Span]:
 GENERATORS = (
     ("email", re.compile(r"[\[({]\s?(?:at|@)\s?[\])}]|\sat\s[^\n]{1,80}\sdot\s|\s@\s", re.I),
      re.compile(r"[A-Za-z0-9._%+-]+\s?(?:[\[({]\s?(?:at|@)\s?[\])}]|\sat\s|\s@\s|@)\s?[A-Za-z0-9-]+(?:\s?(?:[\[({]\s?dot\s?[\])}]|\sdot\s|\.)\s?[A-Za-z0-9-]+)+", re.I)),
-    ("ip", re.compile(r"[0-9]\s?(?:[\[({]\s?(?:\.|dot)\s?[\])}]|\sdot\s|-)\s?[0-9]", re.I),
-     re.compile(r"(?<![0-9.])[0-9]{1,3}(?:\s?(?:[\[({]\s?(?:\.|dot)\s?[\])}]|\sdot\s|[.-])\s?[0-9]{1,3}){3}(?![0-9])", re.I)),
-    ("card", re.compile(r"[0-9]{4}"), re.compile(r"(?<![0-9])[0-9]{4}(?:[\x20./_-]{0,2}[0-9]{2,6}){2,5}(?![0-9])")),
-    ("phone", re.compile(r"[0-9]{3}"), re.compile(r"(?<![0-9+])(?:00[0-9]{1,3}[\x20.-]?)?\(?[0-9]{2,4}\)?[\x20./-]{1,2}[0-9]{3,4}[\x20./-][0-9]{3,4}(?![0-9])")),
+    ("ip", re.compile(r"[0-9]\s?(?:[\[({]\s?(?:\.|dot)\s?[\])}]|\sdot\s)\s?[0-9]", re.I),
+     re.compile(r"(?<![\w.])[0-9]{1,3}(?:\s?(?:[\[({]\s?(?:\.|dot)\s?[\])}]|\sdot\s|\.)\s?[0-9]{1,3}){3}(?!\w)", re.I)),
+    ("card", re.compile(r"[0-9]{4}"), re.compile(r"(?<!\w)[0-9]{4}(?:[\x20./_-]{0,2}[0-9]{2,6}){2,5}(?!\w)")),
+    ("phone", re.compile(r"[0-9]{3}"), re.compile(r"(?<![\w+])(?:00[0-9]{1,3}[\x20.-]?)?\(?[0-9]{2,4}\)?[\x20./-]{1,2}[0-9]{3,4}[\x20./-][0-9]{3,4}(?!\w)")),
 )
 _HINTS = {
     "email": re.compile(r"e-?mail|contact|write|reach|address|correo|courriel", re.I),
