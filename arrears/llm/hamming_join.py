@@ -9,16 +9,18 @@ is lost.  A pair of Jaccard similarity 0.8 differs in 12.8 symbols on average
 (sd 3.2), 24 or more in fewer than one case in a thousand.  Candidates are
 then confirmed on the full shingle sets.
 
-Equal sets are one class from the start.  In a bucket (documents of one key)
-links to its smallest class are confirmed first, with those the components
-are found, and only pairs that are still in different components are compared
-further: a bucket of thousands of near copies costs one link each, and no
-link between components is lost.
+Equal sets are one class from the start.  Every class is first compared with
+its home, the lowest class that heads one of its buckets (documents of one
+key); only pairs still in different components are compared further.  So
+thousands of near copies cost one link each, and no link between components
+is lost: classes of one home are compared block by block within a task, which
+gives out no more links than rows, and those of different homes as pairs.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +32,9 @@ from arrears.llm.common import Scratch, connected_components
 from arrears.llm.shingles import Words, mix, pieces, shingle_sets
 
 SYMBOLS, CHUNKS, MOST_ERRORS = 64, 12, 23
+#: Classes compared at a time within a home, and shingles.
+BLOCK, COLUMNS = 256, 4096
+PLANES = tuple(f"q{i}" for i in range(6))
 _EDGES = np.linspace(0, SYMBOLS, CHUNKS + 1).round().astype(int)
 _A = mix(np.arange(1, SYMBOLS + 1, dtype=np.uint64)).astype(np.uint32) | np.uint32(1)
 _B = mix(np.arange(1001, SYMBOLS + 1001, dtype=np.uint64)).astype(np.uint32)
@@ -102,25 +107,78 @@ def _confirm(percent: int):
     return run
 
 
+def linked(sets: list[np.ndarray], part: np.ndarray, comp: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links that join different components, no more than a forest of them:
+    between the rows of two parts, or among those of one."""
+    n, size = len(sets), np.array([len(s) for s in sets])
+    shared = np.zeros((n, n), np.float32)
+    token, row = np.unique(np.concatenate(sets), return_inverse=True)[1], np.repeat(np.arange(n), size)
+    often = np.bincount(token)
+    rank = np.cumsum(often > 1) - 1  # shingles of one row only are shared with none
+    token, row = rank[token[often[token] > 1]], row[often[token] > 1]
+    order = np.argsort(token, kind="stable")
+    token, row = token[order], row[order]
+    for lo in range(0, int(token[-1]) + 1 if len(token) else 0, COLUMNS):
+        x, y = np.searchsorted(token, (lo, lo + COLUMNS))
+        m = np.zeros((n, COLUMNS), np.float32)
+        m[row[x:y], token[x:y] - lo] = 1
+        shared += m @ m.T
+    near = 100 * shared >= percent * (size[:, None] + size[None, :] - shared)
+    if part.min() != part.max():
+        near &= part[:, None] != part[None, :]
+    root = {int(c): int(c) for c in comp}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+    out = []
+    for a, b in np.argwhere(np.triu(near, 1) & (comp[:, None] != comp[None, :])).tolist():
+        if (x := find(int(comp[a]))) != (y := find(int(comp[b]))):
+            root[x] = y
+            out.append((a, b))
+    return out
+
+
+def _blocks(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, rows = None, []
+        for key, row in itertools.chain(_keyed(batches), [(None, None)]):
+            if key != at and rows:
+                cid, comp, part = (np.array([r[k] for r in rows]) for k in range(3))
+                links = linked([np.frombuffer(r[3], np.uint64) for r in rows], part, comp, percent)
+                yield pa.RecordBatch.from_arrays([pa.array([int(cid[x[k]]) for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
+                rows = []
+            at = key
+            rows.append(row)
+    return run
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, tuple]]:
+    for b in batches:
+        yield from zip(zip(*(b.column(c).to_pylist() for c in ("home", "i", "j"))), zip(*(b.column(c).to_pylist() for c in ("cid", "comp", "part", "shingles"))))
+
+
 def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs whose sizes allow the similarity and whose signatures, seen
-    through two bits of each symbol, differ in no more than MOST_ERRORS."""
-    side = lambda s: classes.select(F.col("cid").alias(s), *(F.col(c).alias(f"{s}_{c}") for c in ("n", "q0", "q1")))
+    through some bits of each symbol, differ in no more than MOST_ERRORS."""
+    side = lambda s: classes.select(F.col("cid").alias(s), *(F.col(c).alias(f"{s}_{c}") for c in ("n", *PLANES)))
     return pairs.join(side("a"), "a").join(side("b"), "b").where(_close("a_", "b_", percent)).select("a", "b")
 
 
 def _close(p: str, q: str, percent: int):
-    apart = F.bit_count(F.expr(f"({p}q0 ^ {q}q0) | ({p}q1 ^ {q}q1)"))
+    apart = F.bit_count(F.expr(" | ".join(f"({p}{x} ^ {q}{x})" for x in PLANES)))
     least, most = F.least(f"{p}n", f"{q}n"), F.greatest(f"{p}n", f"{q}n")
     return (100 * least >= percent * most) & (apart <= MOST_ERRORS)
 
 
 def _planes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the two lowest bits of every symbol as two 64-bit words."""
+    """Adds the lowest bits of every symbol as 64-bit words, a word for each bit."""
     for b in batches:
         sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), np.uint16).reshape(-1, SYMBOLS) if b.num_rows else np.zeros((0, SYMBOLS), np.uint16)
-        bits = [np.packbits((sig >> i & 1).astype(np.uint8), axis=1).view(np.int64).ravel() for i in (0, 1)]
-        yield pa.RecordBatch.from_arrays([*b.columns, *map(pa.array, bits)], [*b.schema.names, "q0", "q1"])
+        bits = [np.packbits((sig >> i & 1).astype(np.uint8), axis=1).view(np.int64).ravel() for i in range(len(PLANES))]
+        yield pa.RecordBatch.from_arrays([*b.columns, *map(pa.array, bits)], [*b.schema.names, *PLANES])
 
 
 def near_duplicates(docs: DataFrame, scratch: Scratch, shingle_words: int = 5, percent: int = 80,
@@ -144,7 +202,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, shingle_words: int = 5, p
     # one row for each different set; the row that stands for it has the smallest id
     classes = (rows.where("n > 0").groupBy("cls", "n").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
                .withColumn("cid", F.monotonically_increasing_id()))
-    classes = scratch.table(classes.mapInArrow(_planes, "cls binary, n bigint, rep bigint, sig binary, cid bigint, q0 bigint, q1 bigint"), "classes")
+    classes = scratch.table(classes.mapInArrow(_planes, "cls binary, n bigint, rep bigint, sig binary, cid bigint, " + ", ".join(f"{x} bigint" for x in PLANES)), "classes")
     keys = classes.select("cid", "sig").mapInArrow(_index, "key bigint, cid bigint")
     shared = scratch.table(keys.groupBy("key").agg(F.count("*").alias("m"), F.min("cid").alias("low")).where("m > 1").select("key", "low"), "shared")
     buckets = scratch.table(keys.join(shared, "key"), "buckets")
@@ -159,20 +217,33 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, shingle_words: int = 5, p
         x = x.join(sets.select(F.col("cid").alias("a"), F.col("shingles").alias("x")), "a").select("a", "b", "x", "y")
         return scratch.table(x.mapInArrow(_confirm(percent), "a bigint, b bigint, ok boolean"), label)
 
-    stars = buckets.where("cid <> low").select(F.col("low").alias("a"), F.col("cid").alias("b")).distinct()
-    first = confirmed(_near(stars, slim, percent), "links-1")
-    comp = connected_components(first.where("ok"), scratch, "cc-1")
-    # what is left: pairs of a bucket that are still in different components
-    member = buckets.select("key", "cid").join(comp.withColumnRenamed("node", "cid"), "cid", "left").select("key", "cid", F.coalesce("component", "cid").alias("comp"))
-    open_ = member.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    member = scratch.table(member.join(scratch.table(open_, "open"), "key").join(slim.select("cid", "n", "q0", "q1"), "cid"), "members")
-    a, b = (member.select("key", *(F.col(c).alias(f"{s}_{c}") for c in ("cid", "comp", "n", "q0", "q1"))) for s in "ab")
-    rest = a.join(b, "key").where((F.col("a_comp") < F.col("b_comp")) & _close("a_", "b_", percent))
-    rest = rest.select(F.least("a_cid", "b_cid").alias("a"), F.greatest("a_cid", "b_cid").alias("b")).distinct()
-    second = confirmed(rest.join(first.select("a", "b"), ["a", "b"], "left_anti"), "links-2")
-    links = first.where("ok").unionByName(second.where("ok"))
+    # a class's home is the lowest class that heads one of its buckets
+    homes = scratch.table(buckets.groupBy("cid").agg(F.min("low").alias("home")), "homes")
+    first = confirmed(_near(homes.where("cid <> home").select(F.col("home").alias("a"), F.col("cid").alias("b")), slim, percent), "links-1")
+    comp = connected_components(first.where("ok"), scratch, "cc-1").withColumnRenamed("node", "cid")
+    homes = homes.join(comp, "cid", "left").select("cid", "home", F.coalesce("component", "cid").alias("comp"))
+    # what is left: pairs that are still in different components, of one home ...
+    sizes = homes.groupBy("home").agg(F.count("*").alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+    parts = F.ceil(F.col("m") / BLOCK).cast("int")
+    mine = homes.join(sizes, "home").select("cid", "comp", "home", parts.alias("parts"), F.pmod(F.xxhash64("cid"), parts).cast("int").alias("part"))
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    mine = mine.select("*", other.alias("other")).select("cid", "comp", "home", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
+    mine = mine.join(sets, "cid").repartition("home", "i", "j").sortWithinPartitions("home", "i", "j", "cid")
+    second = scratch.table(mine.mapInArrow(_blocks(percent), "a bigint, b bigint"), "links-2")
+    # ... and of one bucket but different homes
+    member = buckets.select("key", "cid").join(homes, "cid")
+    open_ = member.groupBy("key").agg(F.min("home").alias("h"), F.max("home").alias("h2"), F.min("comp").alias("c"), F.max("comp").alias("c2")).where("h <> h2 and c <> c2").select("key")
+    member = scratch.table(member.join(scratch.table(open_, "open"), "key"), "open-buckets")
+    shape = slim.select("cid", "n", *PLANES).join(member.groupBy("cid").agg(F.collect_list("key").alias("keys")), "cid")
+    member = scratch.table(member.join(shape, "cid"), "members")
+    a, b = (member.select("key", *(F.col(c).alias(f"{s}_{c}") for c in ("cid", "home", "comp", "n", "keys", *PLANES))) for s in "ab")
+    # a pair that shares several keys is made in the bucket of the lowest only
+    rest = a.join(b, "key").where((F.col("a_comp") < F.col("b_comp")) & (F.col("a_home") != F.col("b_home")) & _close("a_", "b_", percent)
+                                  & (F.col("key") == F.array_min(F.array_intersect("a_keys", "b_keys"))))
+    third = confirmed(rest.select(F.col("a_cid").alias("a"), F.col("b_cid").alias("b")), "links-3")
+    links = first.where("ok").drop("ok").unionByName(second).unionByName(third.where("ok").drop("ok"))
     comp = connected_components(links, scratch, "cc-2")
-    for name in ("shared", "buckets", "sets", "members", "open"):
+    for name in ("shared", "buckets", "homes", "sets", "members", "open", "open-buckets"):
         scratch.drop(name)
     # back to rows: the smallest id of each component, then of each set
     of = slim.join(comp.withColumnRenamed("node", "cid"), "cid", "left").select("cls", "n", "rep", F.coalesce("component", "cid").alias("comp"))
