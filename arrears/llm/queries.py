@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears.llm import block_naming, hamming_join, imatch, packing, pii, records, rule_ensemble
+from arrears.llm import block_naming, fuzzy_lines, hamming_join, imatch, packing, pii, records, rule_ensemble
 from arrears.llm.common import Scratch, documents
 from arrears.llm.tokens import tokenizer_path
 
@@ -27,6 +27,12 @@ def op4_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
+def op5_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    left = fuzzy_lines.without_repeated_lines(docs, Scratch(spark, "op5"), lines_col="n_lines", dropped_col="n_dropped")
+    return left.select("doc_id", "n_lines", "n_dropped", F.length("text").cast("bigint").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
 def op6_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = records.write_records(documents(spark, sf_dir), Scratch(spark, "op6"), tokenizer_path("byte_bpe_50k.json"), end_id=0)
     return records.read_records(files)
@@ -45,7 +51,7 @@ def op10_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_naming.exact_groups(documents(spark, sf_dir), Scratch(spark, "op10"))
 
 
-QUERIES = {f.__name__: f for f in (op1_imatch, op3_hamming_join, op4_rule_ensemble, op6_records, op8_packing, op9_pii, op10_block_naming)}
+QUERIES = {f.__name__: f for f in (op1_imatch, op3_hamming_join, op4_rule_ensemble, op5_fuzzy_lines, op6_records, op8_packing, op9_pii, op10_block_naming)}
 
 #: DuckDB SQL of the queries that SQL can express; the others are tested
 #: against brute force in tests/llm.
