@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arrears.llm.common import Scratch, connected_components
@@ -254,3 +254,17 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, shingle_words: int = 5, p
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         ((F.col("n") == 0) | F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept"),
         ((F.col("n") == 0) | (F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("cls") == F.col("best")))).alias("leader"))
+
+
+def without_near_duplicates(docs: DataFrame, scratch: Scratch, shingle_words: int = 5, percent: int = 80,
+                            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stand for their component: the one of the
+    smallest id, once if it is repeated.  Null and wordless texts all stay.
+    Columns pass through, whatever their names."""
+    near = near_duplicates(docs, scratch, shingle_words, percent, id_col, text_col)
+    no_id = F.lit(-(2**63))
+    stay = near.where("leader").select(F.coalesce("doc_id", no_id).alias("__id"), F.col("thash").alias("__hash"), (F.col("n_shingles") == 0).alias("__empty")).distinct()
+    d = docs.select(F.struct("*").alias("__row"), F.coalesce(F.col(id_col).cast("bigint"), no_id).alias("__id"), F.xxhash64(text_col).alias("__hash"))
+    first = F.row_number().over(Window.partitionBy("__id", "__hash").orderBy("__id"))
+    return (d.join(stay, ["__id", "__hash"]).withColumn("__n", first).where("__empty or __n = 1")
+            .select(*(F.col("__row")[c].alias(c) for c in docs.columns)))
