@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears.llm import block_naming, fuzzy_lines, hamming_join, imatch, packing, pii, records, rule_ensemble
+from arrears.llm import block_naming, fuzzy_lines, hamming_join, imatch, packing, pii, pseudo_likelihood, records, rule_ensemble
 from arrears.llm.common import Scratch, documents
 from arrears.llm.tokens import tokenizer_path
 
@@ -14,6 +14,11 @@ def op1_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.fingerprints(documents(spark, sf_dir), Scratch(spark, "op1"))
 
 
+def op2_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return pseudo_likelihood.scored(docs, pseudo_likelihood.fit(docs, Scratch(spark, "op2")))
+
+
 def op3_hamming_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = hamming_join.near_duplicates(documents(spark, sf_dir), Scratch(spark, "op3"), shingle_words=2, percent=80)
     return near.select("doc_id", "n_shingles", "component_id", "kept")
@@ -51,7 +56,7 @@ def op10_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_naming.exact_groups(documents(spark, sf_dir), Scratch(spark, "op10"))
 
 
-QUERIES = {f.__name__: f for f in (op1_imatch, op3_hamming_join, op4_rule_ensemble, op5_fuzzy_lines, op6_records, op8_packing, op9_pii, op10_block_naming)}
+QUERIES = {f.__name__: f for f in (op1_imatch, op2_pseudo_likelihood, op3_hamming_join, op4_rule_ensemble, op5_fuzzy_lines, op6_records, op8_packing, op9_pii, op10_block_naming)}
 
 #: DuckDB SQL of the queries that SQL can express; the others are tested
 #: against brute force in tests/llm.
