@@ -76,11 +76,16 @@ def lexicon(docs: DataFrame, text_col: str) -> DataFrame:
     return words.groupBy(F.xxhash64("term").alias("h")).agg(F.count("*").alias("df")).where(F.col("df") >= LEAST_DOCS)
 
 
+def _in_slots(h: Column, level: Column) -> Column:
+    return F.filter(h, lambda x: _class(x, level) < SLOTS)
+
+
 def _slots(h: Column, level: Column) -> Column:
-    def slot(j: Column) -> Column:
-        own = F.filter(h, lambda x: _class(x, level) == j)
+    def slot(own: Column) -> Column:
         return F.when(F.size(own) > 0, F.lower(F.right(F.lpad(F.hex(F.xxhash64(own)), 16, "0"), F.lit(6)))).otherwise(F.lit(EMPTY))
-    return F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), slot)
+    # the lambda over one array makes the filter run once for each slot
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)),
+                                 lambda j: F.transform(F.array(F.filter(h, lambda x: _class(x, level) == j)), slot)))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -96,11 +101,10 @@ def likeness(a: Column, b: Column) -> Column:
             .when(a.level == b.level + 1, share(up.same, up.all)).when(a.level == b.level - 1, share(down.same, down.all)).otherwise(F.lit(0.0)))
 
 
-def _fingerprint(h: Column, level: Column, whole: Column) -> Column:
-    lo, hi = _slots(h, level), _slots(h, level + 1)
+def _fingerprint(h: Column, lo: Column, hi: Column, level: Column, whole: Column) -> Column:
     text = F.concat(F.lit("b"), level.cast("string"), F.lit(":"), F.array_join(lo, ""), F.lit("|"), F.array_join(hi, ""))
     return F.struct(lo.alias("lo"), hi.alias("hi"), level.alias("level"),
-                    F.when(F.exists(lo, lambda s: s != EMPTY), text).otherwise(F.concat(F.lit("w:"), F.lower(F.hex(whole)))).alias("text"))
+                    F.when(F.size(h) > 0, text).otherwise(F.concat(F.lit("w:"), F.lower(F.hex(whole)))).alias("text"))
 
 
 def fingerprints(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -126,7 +130,7 @@ def fingerprints(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text
     d = d.select("rid", "next_rid", "doc_id", n.cast("bigint").alias("n_chars"), "text",
                  F.concat(F.left("text", n - cut), F.left("next_text", cut)).alias("edited"))
     d = d.withColumn("a", terms(F.col("text"))).withColumn("b", terms(F.col("edited")))
-    used = lambda c: F.filter(F.transform(c, lambda x: F.xxhash64(x)), lambda h: _class(h, _level(F.size(c))) < SLOTS)
+    used = lambda c: _in_slots(F.transform(c, lambda x: F.xxhash64(x)), _level(F.size(c)))
     rare = (lambda c: F.array_except(c, F.array(*map(F.lit, common)))) if common else (lambda c: c)
     d = d.select("rid", "next_rid", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
                  *(e.alias(f"{s}_{k}") for s in "ab" for k, e in (("h", rare(used(F.col(s)))), ("level", _level(F.size(s))), ("all", F.xxhash64(F.array_sort(s))))))
@@ -138,9 +142,13 @@ def fingerprints(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text
     of = lambda bit: F.sort_array(F.collect_list(F.when(F.col("f").bitwiseAND(F.lit(bit)) > 0, F.col("h"))))
     kept = kept.groupBy("rid").agg(of(1).alias("a"), of(2).alias("b"))
     none = F.array().cast("array<bigint>")
-    d = d.drop("a_h", "b_h").join(kept, "rid", "left")
-    f = d.select("rid", "next_rid", "doc_id", "n_chars", "edited_sha256",
-                 *(_fingerprint(F.coalesce(s, none), F.col(f"{s}_level"), F.col(f"{s}_all")).alias(s) for s in "ab"))
+    d = d.drop("a_h", "b_h").join(kept, "rid", "left").withColumns({s: F.coalesce(s, none) for s in "ab"})
+    # of the sparser level's subsets, the slots hold about half of the terms
+    d = d.withColumns({f"{s}_half": _in_slots(F.col(s), F.col(f"{s}_level") + 1) for s in "ab"})
+    d = d.withColumns({f"{s}_lo": _slots(F.col(s), F.col(f"{s}_level")) for s in "ab"} | {
+        f"{s}_hi": _slots(F.col(f"{s}_half"), F.col(f"{s}_level") + 1) for s in "ab"})
+    f = d.select("rid", "next_rid", "doc_id", "n_chars", "edited_sha256", *(
+        _fingerprint(*(F.col(f"{s}{x}") for x in ("", "_lo", "_hi", "_level", "_all"))).alias(s) for s in "ab"))
     f = scratch.table(f, "fingerprints")
     nxt = f.select(F.col("rid").alias("next_rid"), F.col("a").alias("c"))
     return f.join(nxt, "next_rid").select(
