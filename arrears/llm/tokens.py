@@ -18,7 +18,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-MOST_CHUNKS = 400_000
+MOST_CHUNKS = 700_000
 #: Longer chunks are encoded but not kept.
 LONGEST_KEPT = 64
 _ODD_SPACE = re.compile(r" (?!\S)")
@@ -44,10 +44,12 @@ class Encoder:
         # byte-level: a space belongs to the word after it; word-level: white space is dropped
         self.spaced = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
         self.words = any(x.get("behavior") == "Removed" and "\\s" in str(x.get("pattern")) for x in before.get("pretokenizers", []))
+        self.lower = any(x.get("type") == "Lowercase" for x in (made.get("normalizer") or {}).get("normalizers", [])) and not any(
+            t["content"].lower() != t["content"] for t in made.get("added_tokens", []))
         # first chunks and later ones; what an older store had moves over when it is seen again
         self.young: list[dict[str, bytes]] = [{}, {}]
         self.old: list[dict[str, bytes]] = [{}, {}]
-        self.long: list[str] = []
+        self.long: list[tuple[int, str]] = []
 
     @classmethod
     def at(cls, path: str) -> Encoder:
@@ -58,19 +60,20 @@ class Encoder:
 
     def _chunks(self, text: str) -> tuple[str, list[str]]:
         if self.words:
-            return "", text.replace("\n", " ").split(" ")
+            text = text.replace("\n", " ")
+            # the tokenizer lower-cases anyway; outside ASCII its rules are not Python's
+            return "", (text.lower() if self.lower and text.isascii() else text).split(" ")
         if self.spaced:
             parts = _INNER_SPACE.split(text) if _ODD_SPACE.search(text) else text.split(" ")
             return parts[0], parts[1:]
         return text, []
 
-    def _known(self, kind: int, chunks: set[str], prefix: str) -> dict[str, bytes]:
-        """A store that holds all of ``chunks``."""
+    def _learn(self, kind: int, chunks: set[str], prefix: str) -> None:
         young, old = self.young[kind], self.old[kind]
         if len(young) > MOST_CHUNKS:
-            young, old = {}, young
+            self.young[kind], self.old[kind] = young, old = {}, young
         new = []
-        for x in chunks.difference(young):
+        for x in chunks:
             if (ids := old.get(x)) is None:
                 new.append(x)
             else:
@@ -78,17 +81,22 @@ class Encoder:
         for x, e in zip(new, self.tokenizer.encode_batch_fast([prefix + x for x in new], add_special_tokens=False)):
             young[x] = array(self.dtype.char, e.ids).tobytes()
             if len(x) > LONGEST_KEPT:
-                self.long.append(x)
-        self.young[kind], self.old[kind] = young, old
-        return young
+                self.long.append((kind, x))
+
+    def _joined(self, kind: int, lists: list[list[str]], prefix: str) -> list[bytes]:
+        got = [list(map(self.young[kind].get, r)) for r in lists]
+        new = {x for r, g in zip(lists, got) if None in g for x, ids in zip(r, g) if ids is None}
+        if new:
+            self._learn(kind, new, prefix)
+            store = self.young[kind]
+            got = [[store[x] if ids is None else ids for x, ids in zip(r, g)] if None in g else g for r, g in zip(lists, got)]
+        return [b"".join(g) for g in got]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self._chunks(t) for t in texts]
-        head = self._known(0, {h for h, _ in cut}, "")
-        rest = self._known(1, set().union(*(r for _, r in cut)), " " if self.spaced else "")
-        out = [head[h] + b"".join(map(rest.__getitem__, r)) for h, r in cut]
-        for x in self.long:
-            head.pop(x, None)
-            rest.pop(x, None)
+        head = self._joined(0, [[h] for h, _ in cut], "")
+        rest = self._joined(1, [r for _, r in cut], " " if self.spaced else "")
+        for kind, x in self.long:
+            self.young[kind].pop(x, None)
         self.long.clear()
-        return out
+        return [a + b for a, b in zip(head, rest)]
