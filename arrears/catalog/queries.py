@@ -22,7 +22,6 @@ from arrears.plans import derived, loads, marts, runlog, snapshot
 from arrears.sources import standins as S
 from arrears.sources.standins import CONTRACT_AS_OF as C_AS_OF
 from arrears.sources.standins import EVENT_AS_OF as E_AS_OF
-from arrears.session import cut_lineage
 
 # Load clock of the contract world: last successful load on Monday
 # 1998-08-31 (so the payment date is Friday 1998-08-28).
@@ -330,7 +329,7 @@ def q_mailing_attach_apply(spark, sf_dir):
     before today's flags and before the HOUSEHOLD debtors were added; today
     the flagged mailing is attached again and applied."""
     t = _t(spark, sf_dir)
-    base = cut_lineage(_base360(t, C_AS_OF))
+    base = _base360(t, C_AS_OF)
     household = t.customer.filter(F.col("c_mktsegment") == "HOUSEHOLD").select(
         F.col("c_custkey").alias("id_devedor"))
     earlier = (S.mailing_target(t).join(household, "id_devedor", "left_anti")
@@ -384,7 +383,7 @@ def q_crm_contacts(spark, sf_dir):
     run loaded (the same job over the contacts before 12:00 -- the contact
     filter commutes with the joins, so it is taken from the staged rows)."""
     t = _t(spark, sf_dir)
-    staged = cut_lineage(_crm(t, E_AS_OF))
+    staged = _crm(t, E_AS_OF)
     target = staged.filter(F.col("data") < X.ts_lit(E_AS_OF))
     return mg.insert_absent(target, staged, ["id_base", "data"]).drop("id_base")
 
@@ -395,7 +394,7 @@ def q_dialer_calls(spark, sf_dir):
     """Calls not yet in Discador360; the mart holds the calls the 12:00
     run loaded (derived from the same materialised snapshot slice)."""
     t = _t(spark, sf_dir)
-    base = cut_lineage(_base360(t, E_AS_OF))
+    base = _base360(t, E_AS_OF)
     target = marts.attach_calls(marts.read_dialer(S.dialer_source(t), E_AS_OF), base, E_AS_OF,
                                 marts.DIALER_DURATIONS).filter(F.col("data") < X.ts_lit(E_AS_OF))
     return marts.dialer_calls(S.dialer_source(t), base, target, E_AS_OF).drop("id_base")
@@ -403,7 +402,7 @@ def q_dialer_calls(spark, sf_dir):
 
 def q_digital_calls(spark, sf_dir):
     t = _t(spark, sf_dir)
-    base = cut_lineage(_base360(t, E_AS_OF))
+    base = _base360(t, E_AS_OF)
     target = marts.attach_calls(marts.read_digital(S.digital_source(t), E_AS_OF), base, E_AS_OF,
                                 marts.DIGITAL_DURATIONS).filter(F.col("data") < X.ts_lit(E_AS_OF))
     return marts.digital_calls(S.digital_source(t), base, target, E_AS_OF).drop("id_base")
@@ -429,7 +428,7 @@ def q_payments_mart(spark, sf_dir):
     """Payments not yet in Pagamentos360 (paid-off agreements were loaded)."""
     t = _t(spark, sf_dir)
     star = _star(t)
-    staged = cut_lineage(marts.payments_mart(*star, _base360_history(t)))
+    staged = marts.payments_mart(*star, _base360_history(t))
     target = staged.filter(F.col("status_acordo") == "Quitado")
     return mg.insert_absent(target, staged, marts.FACT_KEY).drop("id_base")
 
@@ -437,7 +436,7 @@ def q_payments_mart(spark, sf_dir):
 def q_due_mart(spark, sf_dir):
     t = _t(spark, sf_dir)
     star = _star(t)
-    staged = cut_lineage(marts.due_mart(*star, _base360(t, C_AS_OF), C_AS_OF))
+    staged = marts.due_mart(*star, _base360(t, C_AS_OF), C_AS_OF)
     target = staged.filter(F.col("status_acordo") == "Quitado")
     return mg.insert_absent(target, staged, marts.FACT_KEY).drop("id_base")
 
@@ -446,7 +445,7 @@ def q_due_cancellations(spark, sf_dir):
     """M8 update: Vencimentos360 as loaded before the cancellations were
     known (cancellation dates empty) gets each date filled once (C5)."""
     t = _t(spark, sf_dir)
-    staged = cut_lineage(marts.due_mart(*_star(t), _base360(t, C_AS_OF), C_AS_OF))
+    staged = marts.due_mart(*_star(t), _base360(t, C_AS_OF), C_AS_OF)
     target = staged.withColumn("data_cancelamento", F.lit(None).cast("timestamp_ntz"))
     return marts.due_cancellations(target, staged).drop("id_base")
 

@@ -64,18 +64,19 @@ def watermark_backward(runs: DataFrame, jobs: Sequence[str] | None = None) -> Da
 
 def watermark_penultimate(runs: DataFrame, jobs: Sequence[str] | None = None) -> DataFrame:
     """W3 + J13 per (parent) job: the forward form over the successful runs
-    whose id is below the job's latest successful run id.
+    before the job's latest successful run.  Runs are ordered by their start
+    (then id): the ids of the run log are random.
 
     The per-job maximum is a partial aggregate; joining it back is an equi
     join on the job name whose small side has one row per job (AQE
     broadcasts it at run time), followed by a second partial aggregate, so
     no job's runs are ever gathered in one task.
     """
-    ok = _done(runs, jobs).select(JOB, RUN_ID, START)
-    latest = ok.groupBy(JOB).agg(F.max(RUN_ID).alias("_max_id"))
+    ok = _done(runs, jobs).select(JOB, F.struct(START, RUN_ID).alias("_run"))
+    latest = ok.groupBy(JOB).agg(F.max("_run").alias("_latest"))
     earlier = (ok.join(latest, JOB, "inner")
-               .filter(F.col(RUN_ID) < F.col("_max_id"))
-               .groupBy(JOB).agg(F.max(START).alias("ultima_execucao")))
+               .filter(F.col("_run") < F.col("_latest"))
+               .groupBy(JOB).agg(F.max(f"_run.{START}").alias("ultima_execucao")))
     return earlier.withColumn("watermark", _forward(F.col("ultima_execucao")))
 
 
@@ -121,6 +122,17 @@ def _version_ts(watermark) -> Column:
     return w.cast("timestamp_ntz")
 
 
+def _value(df: DataFrame, scalar: Column):
+    """The one value of a scalar, read before the plan is built: the filter
+    on the source is then a plain comparison with a literal, which reaches
+    its scan."""
+    return df.sparkSession.range(1).select(scalar.alias("v")).first()["v"]
+
+
+def _at_or_after(col: str, w) -> Column:
+    return F.col(col) >= F.lit(w).cast("timestamp_ntz")
+
+
 def extract_new_or_changed(source: DataFrame, target: DataFrame, id_col: str,
                            version_col: str, watermark, inclusive: bool = False,
                            on_null_watermark: str = "all") -> DataFrame:
@@ -130,28 +142,26 @@ def extract_new_or_changed(source: DataFrame, target: DataFrame, id_col: str,
     ``on_null_watermark="all"`` and none of the version branch with
     ``"none"`` -- the reference's behaviour (D3).
     """
-    hw = high_water(target, id_col)
-    by_id = F.col(id_col) >= hw if inclusive else F.col(id_col) > hw
-    w = _version_ts(watermark)
-    by_version = F.col(version_col) >= w
-    if on_null_watermark == "all":
-        by_version = by_version | w.isNull()
-    return source.filter(by_id | F.coalesce(by_version, F.lit(False))).distinct()
+    w = _value(source, _version_ts(watermark))
+    if w is None and on_null_watermark == "all":
+        return source.distinct()
+    hw = F.lit(_value(source, high_water(target, id_col)))
+    cond = F.col(id_col) >= hw if inclusive else F.col(id_col) > hw
+    return source.filter(cond if w is None else cond | _at_or_after(version_col, w)).distinct()
 
 
 def extract_id_or_date(source: DataFrame, target: DataFrame, id_col: str,
                        date_col: str, watermark,
                        on_null_watermark: str = "all") -> DataFrame:
     """By id above the target's maximum when the target has rows,
-    else by date from the watermark.  The branch is an expression on the
-    scalar maximum, decided inside the plan."""
-    m = target.agg(F.max(id_col).alias("m")).scalar()
-    w = _version_ts(watermark)
-    by_date = F.col(date_col) >= w
-    if on_null_watermark == "all":
-        by_date = by_date | w.isNull()
-    cond = F.when(m.isNotNull(), F.col(id_col) > m).otherwise(by_date)
-    return source.filter(F.coalesce(cond, F.lit(False)))
+    else by date from the watermark."""
+    m = _value(source, target.agg(F.max(id_col).alias("m")).scalar())
+    if m is not None:
+        return source.filter(F.col(id_col) > F.lit(m))
+    w = _value(source, _version_ts(watermark))
+    if w is None:
+        return source if on_null_watermark == "all" else source.filter(F.lit(False))
+    return source.filter(_at_or_after(date_col, w))
 
 
 def extract_multi_date(source: DataFrame, date_cols: Sequence[str], watermark) -> DataFrame:
@@ -217,12 +227,11 @@ def extract_instalments(source: DataFrame, target: DataFrame, keys: Sequence[str
     """H9 + F11: on the first load (empty target) open rows or rows changed
     since the watermark; afterwards rows changed or included since the
     watermark that the target does not hold with the same version."""
-    w = _version_ts(watermark)
+    w = _value(source, _version_ts(watermark))
     if target_is_empty(target):
-        return source.filter((F.col(state_col) == F.lit(open_value))
-                             | F.coalesce(F.col(version_col) >= w, F.lit(False)))
-    changed = source.filter(F.coalesce((F.col(version_col) >= w) | (F.col(inclusion_col) >= w),
-                                       F.lit(False)))
+        open_ = F.col(state_col) == F.lit(open_value)
+        return source.filter(open_ if w is None else open_ | _at_or_after(version_col, w))
+    changed = source.filter(F.lit(False) if w is None else _at_or_after(version_col, w) | _at_or_after(inclusion_col, w))
     from arrears.operators.merge import drop_unchanged
     return drop_unchanged(changed, target, keys, [version_col])
 

@@ -8,38 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Largest side ever broadcast by ``broadcast_if_bounded``: a row cap checked
-# on the data (not assumed), and a byte cap on rows x estimated row width.
-# Anything larger joins by shuffle, and AQE may still broadcast it at run
-# time under its own byte threshold.
-BROADCAST_MAX_ROWS = 200_000
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-
-# Width estimates per column type (strings and other variable-width types
-# are given a generous average).
-_WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
-          T.LongType: 8, T.FloatType: 4, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8,
-          T.DecimalType: 16}
-_VARIABLE_WIDTH = 64
-
-
-def estimated_row_bytes(df: DataFrame) -> int:
-    return sum(_WIDTH.get(type(f.dataType), _VARIABLE_WIDTH) for f in df.schema.fields) + 16
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.  Reads no more than
-    ``max_rows + 1`` rows (a limit, then a count)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                         max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Broadcast hint only behind a checked size bound (rows counted on the
-    data, bytes bounded by rows x estimated width); otherwise the plain
-    frame (shuffle join, or AQE's runtime choice)."""
-    rows_cap = min(max_rows, max(1, max_bytes // estimated_row_bytes(df)))
-    return F.broadcast(df) if row_count_at_most(df, rows_cap) else df
+#: Partitions that rows with a NULL key spread over.
+_SALTS = 64
 
 
 def left_lookup(df: DataFrame, dim: DataFrame, key: str | Sequence[str]) -> DataFrame:
@@ -47,17 +17,25 @@ def left_lookup(df: DataFrame, dim: DataFrame, key: str | Sequence[str]) -> Data
 
     Rows with a NULL key can never match, but a shuffle join would still
     send all of them to the one partition NULL hashes to -- the hottest
-    "key" of a mostly-unmatched lookup.  They bypass the join instead (NULL
-    lookup columns) and are unioned back; only keyed rows are shuffled."""
+    "key" of a mostly-unmatched lookup.  They get a salt that no row of the
+    lookup has, which spreads them over the partitions; the input is read
+    once."""
     keys = [key] if isinstance(key, str) else list(key)
     has_key = None
     for k in keys:
         c = F.col(k).isNotNull()
         has_key = c if has_key is None else has_key & c
-    extra = [f for f in dim.schema.fields if f.name not in keys]
-    keyed = df.filter(has_key).join(dim, keys, "left")
-    unkeyed = df.filter(~has_key).withColumns({f.name: F.lit(None).cast(f.dataType) for f in extra})
-    return keyed.unionByName(unkeyed.select(*keyed.columns))
+    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    salt = F.when(has_key, F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(*plain), F.lit(_SALTS)).cast("int"))
+    left = df.withColumn("_salt", salt)
+    right = dim.withColumn("_salt", F.lit(0)).withColumnsRenamed({k: f"_dim_{k}" for k in keys})
+    zero = {f.name: F.lit("").cast(f.dataType) if isinstance(f.dataType, T.StringType) else F.lit(0).cast("int").cast(f.dataType)
+            for f in df.schema.fields if f.name in keys and isinstance(f.dataType, (T.StringType, T.NumericType))}
+    on = left["_salt"] == right["_salt"]
+    for k in keys:
+        on = on & ((F.coalesce(left[k], zero[k]) if k in zero else left[k]) == right[f"_dim_{k}"])
+    extra = [c for c in dim.columns if c not in keys]
+    return left.join(right, on, "left").select(*(left[c] for c in df.columns), *(right[c] for c in extra))
 
 
 def lookup_default(df: DataFrame, dim: DataFrame, key: str | Sequence[str], col: str,

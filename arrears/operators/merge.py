@@ -71,7 +71,7 @@ def insert_absent(target: DataFrame, staged: DataFrame, keys) -> DataFrame:
     """Staged rows whose key the target does not hold.  Duplicates
     inside one batch all go in (D22)."""
     keys = _keys(keys)
-    return staged.join(target.select(*keys).distinct(), keys, "left_anti")
+    return staged.join(target.select(*keys), keys, "left_anti")
 
 
 def append_absent(target: DataFrame, staged: DataFrame, keys, mark: bool = False) -> DataFrame:
@@ -94,6 +94,23 @@ def one_per_key(df: DataFrame, keys, cols: Sequence[str]) -> DataFrame:
             .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in cols]))
 
 
+def require_unique(staged: DataFrame, keys) -> None:
+    """Fail when two different staged rows have the same key, as a primary
+    key would: which of them to keep is not the load's to choose.  A count
+    over the keys of the (small, staged) extract; equal rows are one row."""
+    keys = _keys(keys)
+    twice = staged.distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    bad = twice.select(*keys).first()
+    if bad is not None:
+        raise ValueError(f"different rows for key {tuple(bad)}")
+
+
+def _require_columns(target: DataFrame, cols: Sequence[str]) -> None:
+    missing = [c for c in cols if c not in target.columns]
+    if missing:
+        raise ValueError(f"the target has no column {', '.join(missing)}")
+
+
 def _apply(target: DataFrame, staged: DataFrame, keys, set_cols: Sequence[str],
            when: Callable[[Callable[[str], Column], Callable[[str], Column]], Column] | None,
            per_col: Callable[[str, Column, Column], Column] | None,
@@ -135,22 +152,13 @@ def update_matched(target: DataFrame, staged: DataFrame, keys, set_cols: Sequenc
 
 
 def fill_null_once(target: DataFrame, staged: DataFrame, keys, cols: Sequence[str],
-                   mark: bool = False) -> DataFrame:
-    """Set each column only where the target has NULL and the staged
-    value is not NULL; a value once set is kept."""
-    keys = _keys(keys)
-
-    def when(old, new):
-        cond = None
-        for c in cols:
-            c_ = old(c).isNull() & new(c).isNotNull()
-            cond = c_ if cond is None else (cond | c_)
-        return cond
-
-    def per_col(c, o, n):
-        return F.when(o.isNull() & n.isNotNull(), n).otherwise(o)
-
-    return _apply(target, staged, keys, cols, when, per_col, mark)
+                   mark: bool = False, trigger: str | None = None) -> DataFrame:
+    """Where the target's ``trigger`` column (the first of ``cols``) is
+    NULL and the staged one is not, take all of ``cols``; a row whose
+    trigger is set keeps them all."""
+    trigger = trigger or cols[0]
+    _require_columns(target, [trigger, *cols])
+    return _apply(target, staged, keys, cols, lambda old, new: old(trigger).isNull() & new(trigger).isNotNull(), None, mark)
 
 
 def update_unless_equal(target: DataFrame, staged: DataFrame, keys, version_col: str,
@@ -172,7 +180,8 @@ def upsert(target: DataFrame, staged: DataFrame, keys, version_cols: Sequence[st
     rows are inserted whole; keys in both take the staged ``set_cols`` when
     a version differs (NULL = sentinel, or NULL-safe with ``null_safe``,
     C2); everything else is kept.  ``fill_only`` turns the update into
-    C5 (set a column only where the target has NULL).  The staged side is shuffled once (its
+    C5 (only where the first set column is NULL in the target and not in
+    the staged row).  The staged side is shuffled once (its
     aggregate's partitioning serves the join) and the target once.  Source
     keys are unique in practice; if not, the largest row per key is used.
     """
@@ -180,6 +189,7 @@ def upsert(target: DataFrame, staged: DataFrame, keys, version_cols: Sequence[st
     s_cols = [c for c in target.columns if c not in keys]
     if list(set_cols) == ["*"]:
         set_cols = s_cols
+    _require_columns(target, [*set_cols, *version_cols])
     s = one_per_key(staged.select(*target.columns), keys, s_cols)
     s = s.select(*keys, *[F.col(c).alias(f"_n_{c}") for c in s_cols], F.lit(True).alias("_hit"))
     t = target.withColumn("_old", F.lit(True))
@@ -196,18 +206,11 @@ def upsert(target: DataFrame, staged: DataFrame, keys, version_cols: Sequence[st
     is_new = F.col("_old").isNull()
     is_upd = F.col("_old").isNotNull() & F.col("_hit").isNotNull() & changed
     if fill_only:
-        # C1 + C5: a changed row only fills set columns still NULL in the target
-        fills = [F.col(c).isNull() & F.col(f"_n_{c}").isNotNull() for c in set_cols]
-        any_fill = fills[0]
-        for f in fills[1:]:
-            any_fill = any_fill | f
-        is_upd = is_upd & any_fill
+        # C1 + C5: a changed row fills only while the trigger is still NULL
+        is_upd = is_upd & F.col(set_cols[0]).isNull() & F.col(f"_n_{set_cols[0]}").isNotNull()
     out = list(keys)
     for c in s_cols:
-        if c in set_cols and fill_only:
-            fill = is_upd & F.col(c).isNull() & F.col(f"_n_{c}").isNotNull()
-            out.append(F.when(is_new | fill, F.col(f"_n_{c}")).otherwise(F.col(c)).alias(c))
-        elif c in set_cols:
+        if c in set_cols:
             out.append(F.when(is_new | is_upd, F.col(f"_n_{c}")).otherwise(F.col(c)).alias(c))
         else:
             out.append(F.when(is_new, F.col(f"_n_{c}")).otherwise(F.col(c)).alias(c))

@@ -9,7 +9,6 @@ from arrears.functions import derive as X
 from arrears.operators.incremental import on_day_before
 from arrears.operators.joins import lookup_default
 from arrears.operators.merge import flag_wildcard, insert_absent
-from arrears.session import cut_lineage
 
 # Fixed values of the mailing return rules.
 RETURN_OCCURRENCE_TYPE = 350
@@ -118,7 +117,7 @@ def mailing_flags(mailing: DataFrame, source: DataFrame, returns: DataFrame) ->
     # The returns list is small but derived from large sources (instalments,
     # occurrences, promises) and read by two joins; it is materialised once
     # in the shared checkpoint folder instead of being derived twice.
-    returns = cut_lineage(returns.select("id_carteira", "id_devedor").distinct())
+    returns = returns.select("id_carteira", "id_devedor").distinct()
     step1 = flag_wildcard(m, returns, "id_devedor", "id_carteira", "id_retirada", RETURNED,
                           only_unflagged=False, anti=False)
     return flag_wildcard(step1, source, "id_devedor", "id_carteira", "id_retirada", LEFT_LIST,

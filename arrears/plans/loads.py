@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from arrears.operators import incremental as inc
 from arrears.operators import merge as mg
 from arrears.plans import runlog
-from arrears.sources import io
+from arrears.sources import io, schemas
 
 # Extract shapes.
 HIGH_WATER = "high_water"              # H1 / H2
@@ -110,6 +110,15 @@ class TableLoad:
         raise ValueError(self.maintain)
 
     def _read_target(self, spark: SparkSession, path: str) -> DataFrame:
+        """The stored target with its declared schema; a table that does not
+        exist yet is an empty one (first run)."""
+        schema = self.target_schema
+        if schema is None and self.target in schemas.TABLES and not io.exists(spark, path):
+            schema = schemas.schema(schemas.TABLES[self.target])
+            if self.range_width:
+                schema = schema.add("part", "bigint")
+        if not io.exists(spark, path) and schema is not None:
+            return spark.createDataFrame([], schema)
         r = spark.read
         if self.target_schema is not None:
             r = r.schema(self.target_schema)
@@ -177,6 +186,7 @@ class TableLoad:
                 # counted as the run's source rows and planned from.
                 extract = io.stage(self.staged(source, target, runs, as_of, inputs=inputs),
                                    target_path + "#extract")
+                mg.require_unique(extract, list(self.dedup_key or self.key))
                 new = self.plan(source, target, runs, as_of, inputs=inputs, staged=extract)
                 set_stage("Persistencia")
                 # The marked new state is written once to the shared staging
@@ -250,12 +260,12 @@ CONTACT_RANGE = 10_000_000
 LOADS: list[TableLoad] = [
     TableLoad("ProcTitulos", "cob.Titulos", "Titulos", ["id_titulo"], ID_OR_VERSION, UPSERT,
               id_col="id_titulo", version_col="data_atualizacao",
-              set_cols=["id_carteira", "id_produto", "plano", "data_atualizacao",
+              set_cols=["id_carteira", "plano", "percentual_juros_remuneratorios", "data_atualizacao",
                         "id_usuario_atualizacao", "data_exclusao", "id_usuario_exclusao"]),
     TableLoad("ProcDevedores", "cob.Devedores", "Devedores", ["id_devedor"], ID_OR_VERSION, UPSERT,
               id_col="id_devedor", version_col="data_atualizacao", inclusive=True,
-              set_cols=["cnpj_cpf", "rg", "razao_social_nome", "data_atualizacao", "data_exclusao",
-                        "apelido"]),
+              set_cols=["data_atualizacao", "id_usuario_atualizacao", "data_exclusao", "id_usuario_exclusao",
+                        "id_ultimo_enriquecimento", "apelido"]),
     TableLoad("ProcDevedoresInformacoesComplementares", "cli.DevedoresInformacoesComplementares",
               "DevedoresInformacoesComplementares", ["id_devedor_informacao_complementar"],
               ID_OR_VERSION, UPSERT, id_col="id_devedor_informacao_complementar",
@@ -277,18 +287,19 @@ LOADS: list[TableLoad] = [
               set_cols=["data_atualizacao", "pontuacao"]),
     TableLoad("ProcParcelas", "cob.Parcelas", "Parcelas", ["id_parcela"], CUSTOM, UPSERT,
               id_col="id_parcela", version_col="data_atualizacao", watermark_form="forward",
-              set_cols=["id_situacao_parcela", "valor_principal", "data_vencimento", "data_devolucao",
-                        "data_atualizacao"], extract_fn=extract_parcelas, notes="H9"),
+              set_cols=["id_origem", "tipo", "id_situacao_parcela", "data_previsao_devolucao", "data_devolucao",
+                        "id_motivo_devolucao", "data_atualizacao", "id_usuario_atualizacao", "data_exclusao",
+                        "id_usuario_exclusao", "valido_de", "valido_ate"], extract_fn=extract_parcelas, notes="H9"),
     TableLoad("ProcParcelasInformacoesComplementares", "cli.ParcelasInformacoesComplementares",
               "ParcelasInformacoesComplementares", ["id_parcela_informacao_complementar"], CUSTOM,
-              UPSERT, version_col="data_atualizacao", watermark_form="forward", null_safe=True,
-              set_cols=["data_reabertura", "data_atualizacao"], extract_fn=extract_parcelas_info,
-              notes="H10 + C2 (NULL-safe compare)"),
+              UPSERT, version_col="data_atualizacao", watermark_form="forward",
+              set_cols=["data_atualizacao", "id_usuario_atualizacao", "data_reabertura", "valido_de", "valido_ate"],
+              extract_fn=extract_parcelas_info, notes="H10; C2 in the extract, C1 in the update"),
     TableLoad("ProcAcordos", "cob.Acordos", "Acordos", ["id_acordo"], CUSTOM, UPSERT,
               version_cols=["id_status_acordo", "data_cancelamento", "data_aprovacao_proposta"],
               watermark_form="forward", extract_fn=extract_acordos,
-              set_cols=["id_status_acordo", "data_cancelamento", "id_usuario_cancelamento",
-                        "data_aprovacao_proposta", "proposta"], notes="H6 U H7"),
+              set_cols=["data_aprovacao_proposta", "id_status_acordo", "codigo_acordo_cliente",
+                        "data_cancelamento", "id_usuario_cancelamento"], notes="H6 U H7"),
     TableLoad("ProcAcordosParcelasPagar", "cob.AcordosParcelasPagar", "AcordosParcelasPagar",
               ["id_acordo_parcela_pagar"], CUSTOM, FILL_ONCE, version_col="data_pagamento",
               watermark_form="penultimate", watermark_job="ProcAcordos", extract_fn=extract_parcelas_pagar,

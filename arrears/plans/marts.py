@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arrears.functions import derive as X
-from arrears.operators.joins import attach_snapshot, broadcast_if_bounded, left_lookup
+from arrears.operators.joins import attach_snapshot, left_lookup
 from arrears.operators.merge import insert_absent
 from arrears.plans.snapshot import today_snapshot
 
@@ -32,7 +32,7 @@ def mailing_attach(base360: DataFrame, mailing: DataFrame, carteiras: DataFrame,
     window, so a hot snapshot row cannot overload one task)."""
     base = today_snapshot(base360, as_of, ["id_base", "data", "id_devedor", "id_titulo",
                                            "codigo_referencia"])
-    m = mailing.join(broadcast_if_bounded(carteiras.select("id_carteira", "codigo_referencia")),
+    m = mailing.join(carteiras.select("id_carteira", "codigo_referencia"),
                      "id_carteira", "inner")
     j = base.join(m.select("id_devedor", "codigo_referencia", "id_carteira", "id_retirada"),
                   ["id_devedor", "codigo_referencia"], "inner")
@@ -73,13 +73,13 @@ def crm_contacts(ocorrencias: DataFrame, eventos: DataFrame, tipos_ocorrencias:
                             F.col("numero_ligacao").alias("numero"), "chave")
     users = usuarios.select(F.col("id_usuario").alias("id_usuario_inclusao"), "referencia")
     oc = (ocorrencias.filter(X.since_midnight("data_ocorrencia", as_of))
-          .join(broadcast_if_bounded(tipos_ocorrencias), "id_tipo_ocorrencia", "inner"))
+          .join(tipos_ocorrencias, "id_tipo_ocorrencia", "inner"))
     oc = (left_lookup(left_lookup(oc, calls, "id_ligacao"), users, "id_usuario_inclusao")
           .select(F.col("data_ocorrencia").alias("data"), "id_devedor", "id_titulo",
                   "codigo_ocorrencia", "tipo_ocorrencia", "id_ligacao", "id_origem_ligacao", "ddd",
                   "numero", "chave", "id_acordo", "referencia", "id_origem", "id_classificacao"))
     ev = (eventos.filter(X.since_midnight("data_evento", as_of))
-          .join(broadcast_if_bounded(tipos_eventos), "id_tipo_evento", "inner"))
+          .join(tipos_eventos, "id_tipo_evento", "inner"))
     ev = (left_lookup(left_lookup(ev, calls, "id_ligacao"), users, "id_usuario_inclusao")
           .select(F.col("data_evento").alias("data"), "id_devedor", "id_titulo",
                   F.col("codigo_evento").alias("codigo_ocorrencia"),
@@ -173,15 +173,15 @@ def agreement_facts(acordos: DataFrame, tipos: DataFrame, negociadas: DataFrame,
     Negotiated instalments are first reduced to distinct (agreement,
     contract) pairs -- a partial aggregate -- so a hot agreement does not
     multiply its instalments against its payable instalments; the type,
-    user and status sides are broadcast behind a row-count check.
+    user and status sides are left to Spark to broadcast when small.
     """
     neg = negociadas.select("id_acordo", "id_titulo").distinct()
     p = pagar if pagar_filter is None else pagar.filter(pagar_filter)
     a = acordos
-    j = (a.join(broadcast_if_bounded(tipos.select("id_tipo_acordo", "tipo_acordo")), "id_tipo_acordo")
-         .join(broadcast_if_bounded(status.select("id_status_acordo", "status_acordo")), "id_status_acordo")
-         .join(broadcast_if_bounded(usuarios.select(F.col("id_usuario").alias("id_negociador_responsavel"),
-                                                    "referencia")), "id_negociador_responsavel")
+    j = (a.join(tipos.select("id_tipo_acordo", "tipo_acordo"), "id_tipo_acordo")
+         .join(status.select("id_status_acordo", "status_acordo"), "id_status_acordo")
+         .join(usuarios.select(F.col("id_usuario").alias("id_negociador_responsavel"),
+                                                    "referencia"), "id_negociador_responsavel")
          .join(origem.select("id_acordo", "id_origem_acordo"), "id_acordo")
          .join(neg, "id_acordo")
          .join(p.select("id_acordo", "numero_parcela", "data_vencimento", "valor", "data_pagamento",
@@ -218,15 +218,17 @@ def payments_mart(acordos, tipos, negociadas, pagar, usuarios, status, origem,
 def due_mart(acordos, tipos, negociadas, pagar, usuarios, status, origem,
              base360: DataFrame, as_of, target: DataFrame | None = None) -> DataFrame:
     """M8: instalments due today or agreements cancelled today (F8, an OR
-    across two joined tables, kept above the join), attached where the
+    across two joined tables: two branches, so that each day filter reaches
+    its own scan; the second leaves out the rows of the first), attached where the
     snapshot day equals the due date (D20); with a ``target``, only the
     rows absent from the mart (``due_cancellations`` then fills the
     cancellation date of present ones)."""
     day = X.date_lit(as_of)
-    facts = agreement_facts(
-        acordos, tipos, negociadas, pagar, usuarios, status, origem,
-        row_filter=(F.col("data_vencimento") == day) | (F.to_date("data_cancelamento") == day),
-        cols=DUE_COLS)
+    due = agreement_facts(acordos, tipos, negociadas, pagar, usuarios, status, origem,
+                          pagar_filter=F.col("data_vencimento") == day, cols=DUE_COLS)
+    cancelled = agreement_facts(acordos.filter(F.to_date("data_cancelamento") == day), tipos, negociadas, pagar, usuarios, status, origem,
+                                row_filter=F.col("data_vencimento").isNull() | (F.col("data_vencimento") != day), cols=DUE_COLS)
+    facts = due.unionByName(cancelled)
     base = today_snapshot(base360, as_of, ["id_base", "id_devedor", "id_titulo",
                                            F.col("data").alias("data_vencimento")])
     staged = facts.join(base, ["id_devedor", "id_titulo", "data_vencimento"], "inner")
@@ -249,12 +251,9 @@ def append_new(spark, mart_path: str, staged: DataFrame, keys: Sequence[str], pa
     are committed at job end, so a failed run leaves nothing visible and a
     re-run inserts exactly the missing rows.  Returns the rows appended."""
     from arrears.sources import io
-    try:
-        target = spark.read.parquet(mart_path)
-        if scope is not None:
-            target = target.filter(scope)
-    except Exception:  # noqa: BLE001 - first run: empty mart
-        target = staged.filter(F.lit(False))
+    target = spark.read.parquet(mart_path) if io.exists(spark, mart_path) else staged.filter(F.lit(False))
+    if scope is not None:
+        target = target.filter(scope)
     from pyspark.sql import Observation
     new = io.stage(insert_absent(target, staged, keys), mart_path + "#append")
     # A10 with ``observe``: the row count is gathered by the append itself

@@ -8,6 +8,7 @@ partial aggregate (``max`` of a struct), never by updating in place.
 from __future__ import annotations
 
 import datetime as _dt
+import time
 import traceback
 import uuid
 
@@ -140,15 +141,18 @@ def purge_due(config: DataFrame, done: DataFrame, as_of) -> DataFrame:
             .select("id_tabela_expurgo", "nome_tabela", "hora_expurgo"))
 
 
-def run_purge(spark: SparkSession, config: DataFrame, done: DataFrame, as_of, purge_fn) -> DataFrame:
+def run_purge(spark: SparkSession, config: DataFrame, done: DataFrame, as_of, purge_fn, log_fn=None) -> DataFrame:
     """Empty each due table once (K6 via ``purge_fn(name)``) and return
-    the purge-log rows to append.  The due list is the one thing collected:
-    a configuration list, bounded by the number of configured tables."""
-    due = purge_due(config, done, as_of).collect()
+    the purge-log rows.  ``log_fn(row_frame)`` is called right after each
+    purge, so a failure half-way keeps the log of the tables already
+    emptied.  The due list is the one thing collected: a configuration
+    list, bounded by the number of configured tables."""
     rows = []
-    for r in due:
+    for r in purge_due(config, done, as_of).collect():
         purge_fn(r["nome_tabela"])
         rows.append((int(r["id_tabela_expurgo"]), r["nome_tabela"], _ts(as_of)))
+        if log_fn is not None:
+            log_fn(spark.createDataFrame(rows[-1:], PURGE_SCHEMA))
     return spark.createDataFrame(rows, PURGE_SCHEMA)
 
 
@@ -163,13 +167,16 @@ def logged_run(spark: SparkSession, job: str, source: str, target: str, log_path
     run_id, opened = start_run(spark, job, as_of)
     io.append(opened, log_paths["runs"])
     stage = {"name": "Carga"}
-    end = finished_at or as_of
+    began = time.monotonic()
+
+    def end():
+        return finished_at or _ts(as_of) + _dt.timedelta(seconds=int(time.monotonic() - began))
     try:
         counts = body(lambda name: stage.__setitem__("name", name)) or {}
-        io.append(log_volume(spark, run_id, source, target, counts, end), log_paths["volumes"])
-        io.append(finish_run(spark, run_id, job, as_of, end, ok=True), log_paths["runs"])
+        io.append(log_volume(spark, run_id, source, target, counts, end()), log_paths["volumes"])
+        io.append(finish_run(spark, run_id, job, as_of, end(), ok=True), log_paths["runs"])
         return counts
     except Exception as exc:  # noqa: BLE001 - logged and re-raised
-        io.append(log_error(spark, run_id, job, stage["name"], exc, end), log_paths["errors"])
-        io.append(finish_run(spark, run_id, job, as_of, end, ok=False), log_paths["runs"])
+        io.append(log_error(spark, run_id, job, stage["name"], exc, end()), log_paths["errors"])
+        io.append(finish_run(spark, run_id, job, as_of, end(), ok=False), log_paths["runs"])
         raise

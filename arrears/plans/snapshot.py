@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arrears.functions import derive as X
-from arrears.operators.joins import broadcast_if_bounded, snapshot_id
+from arrears.operators.joins import snapshot_id
 
 MONEY = "decimal(19,4)"
 OPEN = "A"
@@ -66,7 +66,7 @@ def base_snapshot(open_inst: DataFrame, titulos: DataFrame, devedores: DataFrame
     Contract and score tables are semi-reduced by the open-contract keys
     (J15) by the inner join itself; Spark adds a runtime bloom filter when
     selective.  Then one shuffle on ``id_devedor`` for the debtor, and the
-    portfolio / product dimensions are broadcast behind a row-count check.
+    portfolio / product dimensions are left to Spark to broadcast when small.
     """
     t_cols = ["id_titulo", "id_devedor", "numero_contrato", "plano"]
     t_cols += [c for c in ("id_carteira", "id_produto") if c in titulos.columns]
@@ -87,11 +87,11 @@ def base_snapshot(open_inst: DataFrame, titulos: DataFrame, devedores: DataFrame
     d_cols = ["id_devedor", "cnpj_cpf", "razao_social_nome"]
     d_cols += [c for c in ("id_carteira",) if c in devedores.columns and c not in df.columns]
     df = df.join(devedores.select(*d_cols), "id_devedor", "inner")
-    df = df.join(broadcast_if_bounded(carteiras.select("id_carteira", "codigo_referencia", "carteira")),
+    df = df.join(carteiras.select("id_carteira", "codigo_referencia", "carteira"),
                  "id_carteira", "inner")
     prod = []
     if produtos is not None:
-        df = df.join(broadcast_if_bounded(produtos.select("id_produto", "produto")), "id_produto", "inner")
+        df = df.join(produtos.select("id_produto", "produto"), "id_produto", "inner")
         prod = ["produto"]
     return df.select(
         "codigo_referencia", "carteira", *prod,
@@ -204,10 +204,7 @@ def run_base360(spark, base360_path: str, base: DataFrame, as_of) -> DataFrame:
 
     io.recover(spark, base360_path, ["data"], dynamic=True)
     staged = base360_derive(base, as_of)
-    try:
-        target = spark.read.parquet(base360_path)
-    except Exception:  # noqa: BLE001 - first run: no table yet
-        target = staged.filter(F.lit(False))
+    target = spark.read.parquet(base360_path) if io.exists(spark, base360_path) else staged.filter(F.lit(False))
     new = base360_apply(target.select(*staged.columns), staged, as_of, mark=True, source_flag=True)
     new = io.stage(new, base360_path)
     counts = volumes_from_actions(new, new.filter(F.col("na_origem"))).collect()

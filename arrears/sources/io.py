@@ -69,6 +69,14 @@ def read_remote(spark: SparkSession, options: dict, where: Column | None = None,
     return df.select(*columns) if columns else df
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table is stored at ``path``.  Only a missing path counts as
+    "no table yet"; any other error is raised."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return bool(fs.exists(p)) and any(not f.getPath().getName().startswith(("_", ".")) for f in fs.listStatus(p))
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> None:
     """K1."""
     w = df.write.mode("append")
@@ -85,9 +93,8 @@ def staged_path(spark: SparkSession, target_path: str) -> str:
 
 
 def _write(df: DataFrame, path: str, partition_by: Sequence[str] | None, dynamic: bool = False) -> None:
-    w = df.write.mode("overwrite")
-    if dynamic:
-        w = w.option("partitionOverwriteMode", "dynamic")
+    # explicit either way: the session's own mode may be dynamic
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -158,26 +165,18 @@ def key_range(key: str, width: int) -> Column:
     return F.floor(F.col(key) / F.lit(width)).cast("long")
 
 
-# Most partition values ever turned into a static partition filter.
-MAX_LISTED_PARTITIONS = 10_000
-
-
 def touched_partitions(target: DataFrame, staged: DataFrame, part_col: str) -> DataFrame:
     """The target rows in the partitions the staged rows fall in.
 
-    The distinct partition values are metadata: they are bounded by the
-    partition count, not by the data. Up to ``MAX_LISTED_PARTITIONS`` of
-    them are read (a limit makes the bound certain) and applied as a
-    partition filter, so untouched partitions are never listed or read.
-    Above that, a semi join on the partition column is used, and Spark may
-    still prune at run time.
+    The distinct partition values are read -- metadata, bounded by the
+    number of partitions, as the file listing itself is -- and become a
+    partition filter, so other partitions are neither listed nor read.  (A
+    semi join would not do: Spark prunes by one only behind a selective
+    filter, which a whole extract does not have.)
     """
     from pyspark.sql import functions as F
-    parts = staged.select(part_col).distinct()
-    values = [r[0] for r in parts.limit(MAX_LISTED_PARTITIONS + 1).collect()]
-    if len(values) <= MAX_LISTED_PARTITIONS:
-        return target.filter(F.col(part_col).isin(values))
-    return target.join(parts, part_col, "left_semi")
+    values = [r[0] for r in staged.select(part_col).distinct().collect()]
+    return target.filter(F.col(part_col).isin(values)) if values else target.filter(F.lit(False))
 
 
 def apply_to_partitions(spark: SparkSession, target_path: str, staged: DataFrame, part_col: str,

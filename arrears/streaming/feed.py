@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from arrears.operators.merge import insert_absent
 from arrears.session import checkpoint_dir
+from arrears.sources.io import exists
 
 
 def insert_only_stream(spark: SparkSession, source_dir: str, schema: T.StructType, target_path: str,
@@ -32,10 +33,8 @@ def insert_only_stream(spark: SparkSession, source_dir: str, schema: T.StructTyp
     ckpt = checkpoint or (checkpoint_dir(spark).rstrip("/") + f"/streams/{query_name}")
 
     def write_batch(batch: DataFrame, _batch_id: int) -> None:
-        try:
-            target = batch.sparkSession.read.schema(schema).parquet(target_path)
-        except Exception:  # noqa: BLE001 - first batch: no table yet
-            target = batch.sparkSession.createDataFrame([], schema)
+        s = batch.sparkSession
+        target = s.read.schema(schema).parquet(target_path) if exists(s, target_path) else s.createDataFrame([], schema)
         new = insert_absent(target, batch.select(*schema.fieldNames()), list(keys))
         new.write.mode("append").parquet(target_path)
 

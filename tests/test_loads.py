@@ -2,6 +2,7 @@
 idempotence of a second run; and the streaming form of an insert-only load."""
 import datetime as dt
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arrears.plans import loads, runlog
@@ -74,6 +75,12 @@ def _ts(s):
     return dt.datetime.fromisoformat(s)
 
 
+def _full(df, name):
+    """``df`` with the other columns of a stored table, as NULLs."""
+    from arrears.sources import schemas
+    return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in schemas.schema(name) if f.name not in df.columns})
+
+
 def test_custom_specs_plan(spark):
     W = dt.date(2026, 8, 17)          # a Monday: payment date is Friday 08-14
     as_of = dt.datetime(2026, 8, 18, 9, 0)
@@ -82,6 +89,7 @@ def test_custom_specs_plan(spark):
     src = spark.createDataFrame([(1, "A", _ts("2026-01-01"), _ts("2026-01-02")),
                                  (2, "P", _ts("2026-01-01"), _ts("2026-08-17 10:00")),
                                  (3, "P", _ts("2026-01-01"), _ts("2026-01-02"))], P)
+    src = _full(src, "parcelas")
     spec = loads.LOADS_BY_JOB["ProcParcelas"]
     first = spec.plan(src, src.limit(0), watermark=W)
     assert sorted(r.id_parcela for r in first.collect()) == [1, 2]
@@ -92,6 +100,7 @@ def test_custom_specs_plan(spark):
     I_ = "id_parcela_informacao_complementar long, id_parcela long, data_reabertura date, data_atualizacao timestamp_ntz"
     info = spark.createDataFrame([(10, 1, dt.date(2026, 8, 1), None), (11, 2, None, None),
                                   (12, 3, dt.date(2026, 8, 1), None)], I_)
+    info = _full(info, "parcelas_info")
     spec = loads.LOADS_BY_JOB["ProcParcelasInformacoesComplementares"]
     out = spec.plan(info, info.limit(0), watermark=W, inputs={"parcelas": src})
     assert sorted(r.id_parcela_informacao_complementar for r in out.collect()) == [10]
@@ -101,6 +110,7 @@ def test_custom_specs_plan(spark):
     acordos = spark.createDataFrame([(1, "O", _ts("2026-08-17 08:00"), None, None),
                                      (2, "O", _ts("2026-01-01"), None, None),
                                      (3, "O", _ts("2026-01-01"), None, None)], A)
+    acordos = _full(acordos, "acordos")
     C = "id_acordo long, numero_parcela int, data_vencimento date, data_pagamento date"
     pagar = spark.createDataFrame([(2, 1, dt.date(2026, 9, 1), dt.date(2026, 8, 14)),
                                    (3, 1, dt.date(2026, 9, 1), dt.date(2026, 8, 13))], C)
