@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from arrears.session import scratch_path
@@ -50,8 +50,8 @@ def connected_components(edges: DataFrame, scratch: Scratch, label: str = "cc")
     are harmless; a null end is no edge; without edges the result is empty.
     """
     e = (edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    e = scratch.table(e, f"{label}-0")
-    state, i = _digest(e), 0
+    e, state = _written(e, scratch, f"{label}-0")
+    i = 0
     while state[0]:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("w")).select("u", F.least("u", "w").alias("m"))
@@ -59,8 +59,8 @@ def connected_components(edges: DataFrame, scratch: Scratch, label: str = "cc")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         i += 1
-        e = scratch.table(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), f"{label}-{i}")
-        before, state = state, _digest(e)
+        before = state
+        e, state = _written(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), scratch, f"{label}-{i}")
         scratch.drop(f"{label}-{i - 1}")
         if state == before:
             break
@@ -68,6 +68,8 @@ def connected_components(edges: DataFrame, scratch: Scratch, label: str = "cc")
             .unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()))
 
 
-def _digest(e: DataFrame) -> tuple:
-    row = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("s")).first()
-    return row.n, row.s
+def _written(e: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame, tuple]:
+    """The edges written, and their number and a sum that tells sets of edges apart."""
+    seen = Observation()
+    e = scratch.table(e.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("s")), name)
+    return e, (seen.get["n"], seen.get["s"])

@@ -133,7 +133,7 @@ def fingerprints(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text
     used = lambda c: _in_slots(F.transform(c, lambda x: F.xxhash64(x)), _level(F.size(c)))
     rare = (lambda c: F.array_except(c, F.array(*map(F.lit, common)))) if common else (lambda c: c)
     d = d.select("rid", "next_rid", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-                 *(e.alias(f"{s}_{k}") for s in "ab" for k, e in (("h", rare(used(F.col(s)))), ("level", _level(F.size(s))), ("all", F.xxhash64(F.array_sort(s))))))
+                 *(e.alias(f"{s}_{k}") for s in "ab" for k, e in (("h", rare(used(F.col(s)))), ("level", _level(F.size(s))), ("all", F.xxhash64(F.sort_array(s))))))
     d = scratch.table(d, "texts")
     sides = F.array(*(F.struct(F.lit(f).alias("f"), x.alias("x")) for f, x in (
         (3, F.array_intersect("a_h", "b_h")), (1, F.array_except("a_h", "b_h")), (2, F.array_except("b_h", "a_h")))))
