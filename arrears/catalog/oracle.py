@@ -463,6 +463,11 @@ SELECT ok.nome_procedure, {_wm('forward')}
 FROM ok JOIN (SELECT nome_procedure, max(id_execucao) AS m FROM ok GROUP BY nome_procedure) mx
   ON ok.nome_procedure = mx.nome_procedure
 WHERE ok.id_execucao < mx.m GROUP BY ok.nome_procedure""", OK_RUNS)
+    q["watermark_penultimate_any_ids"] = with_ctes(["runs"], f"""
+SELECT ok.nome_procedure, {_wm('forward')}
+FROM (SELECT *, row_number() OVER (PARTITION BY nome_procedure
+                                   ORDER BY data_hora_inicio DESC, md5(CAST(id_execucao AS VARCHAR)) DESC) AS k FROM ok) ok
+WHERE k > 1 GROUP BY ok.nome_procedure""", OK_RUNS)
     q["payment_date"] = with_ctes(["runs"], """
 SELECT *, CASE WHEN dayofweek(watermark) = 1 THEN watermark - 3 ELSE watermark - 1 END AS data_pagamento
 FROM wm""", OK_RUNS + [("wm", f"SELECT nome_procedure, {_wm('forward')} FROM ok GROUP BY nome_procedure")])
@@ -536,6 +541,13 @@ SELECT t.id_titulo, t.id_devedor, t.plano,
        CASE WHEN t.data_atualizacao IS NULL AND s.data_atualizacao IS NOT NULL THEN s.data_atualizacao
             ELSE t.data_atualizacao END AS data_atualizacao, t.situacao,
        CASE WHEN t.data_atualizacao IS NULL AND s.data_atualizacao IS NOT NULL THEN 'U' ELSE 'N' END AS acao
+FROM held t LEFT JOIN src s ON t.id_titulo = s.id_titulo""", T_PAIR)
+    q["fill_pair_once"] = with_ctes(["titulos"], """
+SELECT t.id_titulo, t.id_devedor,
+       CASE WHEN t.data_atualizacao IS NULL AND s.data_atualizacao IS NOT NULL THEN s.plano ELSE t.plano END AS plano,
+       CASE WHEN t.data_atualizacao IS NULL AND s.data_atualizacao IS NOT NULL THEN s.data_atualizacao
+            ELSE t.data_atualizacao END AS data_atualizacao, t.situacao,
+       CASE WHEN t.data_atualizacao IS NULL AND s.data_atualizacao IS NOT NULL THEN 'U' ELSE 'N' END AS acao
 FROM held t LEFT JOIN src s ON t.id_titulo = s.id_titulo""", T_PAIR)
     q["update_unless_equal"] = with_ctes(["titulos"], _merge_sql(
         "NOT coalesce(t.data_atualizacao = s.data_atualizacao, FALSE)", {}), T_PAIR)

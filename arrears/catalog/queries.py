@@ -104,6 +104,12 @@ def q_watermark_penultimate(spark, sf_dir):
     return inc.watermark_penultimate(S.runs(_t(spark, sf_dir)))
 
 
+def q_watermark_penultimate_any_ids(spark, sf_dir):
+    """W3 over run ids that are not in time order, as the engine's own are."""
+    runs = S.runs(_t(spark, sf_dir))
+    return inc.watermark_penultimate(runs.withColumn(inc.RUN_ID, F.md5(F.col(inc.RUN_ID).cast("string"))))
+
+
 def q_payment_date(spark, sf_dir):
     return inc.with_payment_date(inc.watermark_forward(S.runs(_t(spark, sf_dir))))
 
@@ -268,6 +274,12 @@ def q_fill_null_once(spark, sf_dir):
     return mg.fill_null_once(held, src, ["id_titulo"], ["data_atualizacao"], mark=True)
 
 
+def q_fill_pair_once(spark, sf_dir):
+    """C5 as the payments use it: a pair of columns behind one trigger."""
+    src, held = _titulos_pair(spark, sf_dir)
+    return mg.fill_null_once(held, src, ["id_titulo"], ["data_atualizacao", "plano"], mark=True)
+
+
 def q_update_unless_equal(spark, sf_dir):
     src, held = _titulos_pair(spark, sf_dir)
     return mg.update_unless_equal(held, src, ["id_titulo"], "data_atualizacao",
@@ -507,6 +519,7 @@ QUERIES = {
     "watermark_forward": q_watermark_forward,
     "watermark_backward": q_watermark_backward,
     "watermark_penultimate": q_watermark_penultimate,
+    "watermark_penultimate_any_ids": q_watermark_penultimate_any_ids,
     "payment_date": q_payment_date,
     "extract_new": q_extract_new,
     "extract_new_filtered": q_extract_new_filtered,
@@ -524,6 +537,7 @@ QUERIES = {
     "update_matched": q_update_matched,
     "upsert": q_upsert,
     "fill_null_once": q_fill_null_once,
+    "fill_pair_once": q_fill_pair_once,
     "update_unless_equal": q_update_unless_equal,
     "load_volumes": q_load_volumes,
     "load_insert_only": q_load_insert_only,
