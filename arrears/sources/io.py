@@ -110,12 +110,26 @@ def stage(df: DataFrame, target_path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _publishing(spark: SparkSession, target_path: str, now: bool | None = None) -> bool:
+    """Whether a publish of the target began and has not ended; ``now`` sets it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(staged_path(spark, target_path) + ".publishing")
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if now is True:
+        fs.create(p, True).close()
+    elif now is False:
+        fs.delete(p, False)
+    return bool(fs.exists(p))
+
+
 def publish(staged: DataFrame, path: str, partition_by: Sequence[str] | None = None,
             dynamic: bool = False) -> None:
     """Overwrite the target from a staged copy (all partitions, or only
-    those present with ``dynamic``)."""
+    those present with ``dynamic``).  A marker beside the staged copy says
+    that this has begun; it goes when the last file is in place."""
     keep = [c for c in staged.columns if c not in STAGE_ONLY_COLS]
+    _publishing(staged.sparkSession, path, True)
     _write(staged.select(*keep), path, partition_by, dynamic=dynamic)
+    _publishing(staged.sparkSession, path, False)
 
 
 def replace(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
@@ -136,20 +150,13 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
 
 def recover(spark: SparkSession, path: str, partition_by: Sequence[str] | None = None,
             dynamic: bool = False) -> bool:
-    """Re-publish the last staged state when the target is missing or
-    unreadable (a job died while overwriting it).  Returns True when it
-    restored the table."""
-    try:
-        spark.read.parquet(path).isEmpty()     # readable (empty is fine)
-        return False
-    except Exception:  # noqa: BLE001 - target unreadable: try the staged copy
-        pass
-    try:
-        staged = spark.read.parquet(staged_path(spark, path))
-        staged.isEmpty()
-    except Exception:  # noqa: BLE001 - nothing staged
+    """Publish the staged state again when a job died while overwriting the
+    target (its marker is still there), whether or not what it left behind
+    can be read.  A table that is merely absent is left alone.  Returns True
+    when it restored the table."""
+    if not _publishing(spark, path):
         return False
-    publish(staged, path, partition_by, dynamic=dynamic)
+    publish(spark.read.parquet(staged_path(spark, path)), path, partition_by, dynamic=dynamic)
     return True
 
 

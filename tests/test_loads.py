@@ -132,14 +132,16 @@ def test_custom_specs_plan(spark):
 
 
 def test_recover_after_interrupted_overwrite(spark, scratch):
-    path = f"{scratch}/tbl"
-    df = spark.createDataFrame([(1, 1, dt.datetime(2026, 8, 1))], SRC)
-    io.replace(df, path)                     # staged copy + target
     import shutil
-    shutil.rmtree(path)                      # the job died while overwriting the target
-    assert io.recover(spark, path) is True
-    assert spark.read.parquet(path).count() == 1
-    assert io.recover(spark, path) is False  # healthy target: nothing to do
+    path = f"{scratch}/tbl"
+    io.replace(spark.createDataFrame([(1, 1), (2, 2)], "k int, p int"), path, ["p"])
+    assert io.recover(spark, path, ["p"]) is False   # healthy target: nothing to do
+    io._publishing(spark, path, True)
+    shutil.rmtree(f"{path}/p=2")                     # the job died between two partitions
+    assert io.recover(spark, path, ["p"]) is True
+    assert spark.read.parquet(path).count() == 2
+    shutil.rmtree(path)                              # dropped on purpose: stays so
+    assert io.recover(spark, path, ["p"]) is False and not io.exists(spark, path)
 
 
 def test_remote_read_pushdown_and_purge(spark, scratch):
