@@ -69,15 +69,34 @@ class Encoder:
         return text, []
 
     def _learn(self, kind: int, chunks: set[str], prefix: str) -> None:
+        if len(self.young[kind]) > MOST_CHUNKS:
+            self.young[kind], self.old[kind] = {}, self.young[kind]
         young, old = self.young[kind], self.old[kind]
-        if len(young) > MOST_CHUNKS:
-            self.young[kind], self.old[kind] = young, old = {}, young
-        new = []
+        split, new = [], set()
         for x in chunks:
-            if (ids := old.get(x)) is None:
-                new.append(x)
-            else:
+            if (ids := old.get(x)) is not None:
                 young[x] = ids
+            elif x[-1:] in (",", ".") and x[-2:-1].isalpha() and x[-2] < "\u0250":
+                split.append(x)  # a letter and a stop are never one token
+                if x[:-1] not in young:
+                    new.add(x[:-1])
+            else:
+                new.add(x)
+        for x in [x for x in new if x in old]:
+            young[x] = old[x]
+            new.discard(x)
+        self._encode(kind, list(new), prefix)
+        stops = {c: self._ids(c) for c in ",."} if split else {}
+        for x in split:
+            young[x] = young[x[:-1]] + stops[x[-1]]
+            if len(x) > LONGEST_KEPT:
+                self.long.append((kind, x))
+
+    def _ids(self, text: str) -> bytes:
+        return array(self.dtype.char, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _encode(self, kind: int, new: list[str], prefix: str) -> None:
+        young = self.young[kind]
         for x, e in zip(new, self.tokenizer.encode_batch_fast([prefix + x for x in new], add_special_tokens=False)):
             young[x] = array(self.dtype.char, e.ids).tobytes()
             if len(x) > LONGEST_KEPT:
