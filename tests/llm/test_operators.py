@@ -204,6 +204,16 @@ def test_a_line_that_changes_a_little(spark):
     assert {r.doc_id: r.text for r in got} == {1: a, 2: "", 3: rows[2][1].split("\n")[0]}
 
 
+def left_of(spark, texts):
+    got = fuzzy_lines.without_repeated_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), common.Scratch(spark, "t")).collect()
+    return [r.text for r in sorted(got)]
+
+
+def test_lines_of_equal_shingles_and_different_lengths(spark):
+    assert left_of(spark, ["-" * 10, "-" * 20]) == ["-" * 10, ""]
+    assert left_of(spark, ["buy now " * 3, "buy now " * 6]) == ["buy now " * 3, ""]
+
+
 # 6
 
 def test_records_hold_the_tokenizers_ids(spark, small):
