@@ -214,6 +214,27 @@ def test_lines_of_equal_shingles_and_different_lengths(spark):
     assert left_of(spark, ["buy now " * 3, "buy now " * 6]) == ["buy now " * 3, ""]
 
 
+def test_lines_without_spaces_share_keys(spark):
+    url = "http://www.example.org/archive/2024/05/reports/annual-summary-table.html"
+    thai = "ประเทศไทยเป็นประเทศที่ตั้งอยู่ในเอเชียตะวันออกเฉียงใต้และมีประชากรจำนวนมาก"
+    assert left_of(spark, [url, url.replace("http:", "https:")]) == [url, ""]
+    assert left_of(spark, [thai, thai[:2] + "x" + thai[3:]]) == [thai, ""]
+    assert left_of(spark, [url, "https://other.net/" + url[::-1]])[1]
+
+
+def test_crowded_buckets_lose_no_link(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    stem = "an entry of the access log that is the same in every line, with the hash "
+    ends = ["".join(rng.choice(list("0123456789abcdef"), 24)) for _ in range(60)]
+    lines = [x for e in ends for x in (stem + e, stem + e[:-1] + "-")]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "doc_id bigint, text string")
+    got = {}
+    for most in (1 << 30, 2):
+        monkeypatch.setattr(fuzzy_lines, "ALL_PAIRS", most)
+        got[most] = {r.doc_id for r in fuzzy_lines.repeated_lines(rows, common.Scratch(spark, "t")).collect()}
+    assert got[2] == got[1 << 30] >= set(range(1, 120, 2))
+
+
 # 6
 
 def test_records_hold_the_tokenizers_ids(spark, small):
