@@ -88,6 +88,16 @@ def test_network_beats_word_frequencies_on_held_out_texts(spark):
     assert pseudo_likelihood.log_likelihood(model[2], c, first).sum() / len(c) > alone + 0.02
 
 
+def test_every_position_is_an_example():
+    texts, none = __import__("pyarrow").array(["a b c d e f g h i j", "a b", "", None, "a b"]), (np.zeros(0, np.uint64), np.zeros(0, np.int16))
+    got = list(pseudo_likelihood._examples(*none)([__import__("pyarrow").record_batch([texts], ["text"])]))
+    assert sum(np.asarray(b.column("n")).sum() for b in got) == 14
+    h, first = shingles.Words()(texts)
+    c = pseudo_likelihood.classes_of(h, *none)
+    context, target = pseudo_likelihood.unpacked(np.concatenate([np.asarray(b.column("x")) for b in got]))
+    assert {(*x, y) for x, y in zip(context.tolist(), target.tolist()) for x in [tuple(x)]} == {(*x, y) for x, y in zip(pseudo_likelihood.windows(c, first).tolist(), c.tolist())}
+
+
 # 3
 
 def test_near_duplicates_match_brute_force(spark, small):
