@@ -98,6 +98,19 @@ def test_every_position_is_an_example():
     assert {(*x, y) for x, y in zip(context.tolist(), target.tolist()) for x in [tuple(x)]} == {(*x, y) for x, y in zip(pseudo_likelihood.windows(c, first).tolist(), c.tolist())}
 
 
+def test_words_of_one_class_have_their_own_probability(spark):
+    pa = __import__("pyarrow")
+    names = [f"w{i}" for i in range(4000)]
+    h = shingles.Words()(pa.array(names))[0]
+    x, y = [w for w, c in zip(names, h % np.uint64(pseudo_likelihood.SHARED)) if c == 5][:2]
+    common_words = " ".join(f"c{i} " * 60 for i in range(pseudo_likelihood.WORDS))
+    rows = [(0, common_words)] + [(1, f"c1 c2 {x} c3")] * 9 + [(2, f"c1 c2 {y} c3"), (3, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in pseudo_likelihood.scored(docs, pseudo_likelihood.fit(docs, common.Scratch(spark, "t"))).collect()}
+    assert got[1].log_likelihood - got[2].log_likelihood == pytest.approx(np.log(10 / 2), abs=1e-3)
+    assert got[3].log_likelihood == got[None].log_likelihood == 0 and got[3].n_tokens == 0
+
+
 # 3
 
 def test_near_duplicates_match_brute_force(spark, small):
