@@ -87,14 +87,14 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
-#: High-recall generators: a kind, what must occur for the pattern to be tried, the pattern.
+#: High-recall generators: a kind, what every match of the pattern has in it, the pattern.
 GENERATORS = (
-    ("email", re.compile(r"[\[({]\s?(?:at|@)\s?[\])}]|\sat\s[^\n]{1,80}\sdot\s|\s@\s", re.I),
+    ("email", re.compile(r"@|[\s\[({]at[\s\])}]", re.I),
      re.compile(r"[A-Za-z0-9._%+-]+\s?(?:[\[({]\s?(?:at|@)\s?[\])}]|\sat\s|\s@\s|@)\s?[A-Za-z0-9-]+(?:\s?(?:[\[({]\s?dot\s?[\])}]|\sdot\s|\.)\s?[A-Za-z0-9-]+)+", re.I)),
-    ("ip", re.compile(r"[0-9]\s?(?:[\[({]\s?(?:\.|dot)\s?[\])}]|\sdot\s)\s?[0-9]", re.I),
+    ("ip", re.compile(r"[0-9]\s?(?:[\[({]\s?(?:\.|dot)\s?[\])}]|\sdot\s|\.)\s?[0-9]", re.I),
      re.compile(r"(?<![\w.])[0-9]{1,3}(?:\s?(?:[\[({]\s?(?:\.|dot)\s?[\])}]|\sdot\s|\.)\s?[0-9]{1,3}){3}(?!\w)", re.I)),
     ("card", re.compile(r"[0-9]{4}"), re.compile(r"(?<!\w)[0-9]{4}(?:[\x20./_-]{0,2}[0-9]{2,6}){2,5}(?!\w)")),
-    ("phone", re.compile(r"[0-9]{3}"), re.compile(r"(?<![\w+])(?:00[0-9]{1,3}[\x20.-]?)?\(?[0-9]{2,4}\)?[\x20./-]{1,2}[0-9]{3,4}[\x20./-][0-9]{3,4}(?!\w)")),
+    ("phone", re.compile(r"[0-9]{2}"), re.compile(r"(?<![\w+])(?:00[0-9]{1,3}[\x20.-]?)?(?:\(?[0-9]{2,4}\)?[\x20./-]{1,2}[0-9]{3,4}[\x20./-][0-9]{3,4}|[0-9]{1,2}(?:[\x20./-][0-9]{2}){4})(?!\w)")),
 )
 _HINTS = {
     "email": re.compile(r"e-?mail|contact|write|reach|address|correo|courriel", re.I),
@@ -146,10 +146,11 @@ def _obscured(text: str, span: Span, pick: int) -> str:
         return s.replace(".", ("[.]", " dot ", "(.)", " [.] ")[pick % 4])
     digits = re.sub("[^0-9]", "", s)
     if kind == "card":
-        sep = ("  ", ".", "/", " . ")[pick % 3]
+        sep = ("  ", ".", "/", " . ")[pick % 4]
         return sep.join(digits[i:i + 4] for i in range(0, len(digits), 4))
     plain = digits[-10:]
-    return (f"({plain[:3]}) {plain[3:6]}-{plain[6:]}", f"{plain[:3]}-{plain[3:6]}-{plain[6:]}", f"00{digits[:-10] or 1} {plain[:3]} {plain[3:6]} {plain[6:]}", f"{plain[:3]}.{plain[3:6]}.{plain[6:]}")[pick % 4]
+    return (f"({plain[:3]}) {plain[3:6]}-{plain[6:]}", f"{plain[:3]}-{plain[3:6]}-{plain[6:]}", f"00{digits[:-10] or 1} {plain[:3]} {plain[3:6]} {plain[6:]}", f"{plain[:3]}.{plain[3:6]}.{plain[6:]}",
+            " ".join(plain[i:i + 2] for i in range(0, len(plain), 2)))[pick % 5]
 
 
 def training_rows(text: str) -> list[tuple[list[float], int]]:
@@ -159,7 +160,7 @@ def training_rows(text: str) -> list[tuple[list[float], int]]:
     out: list[tuple[list[float], int]] = []
     base = base_spans(text)
     for k, (kind, a, b) in enumerate(base):
-        for pick in range(4):
+        for pick in range(5 if kind == "phone" else 4):
             for good in (True, False):
                 s = _obscured(text, (kind, a, b), pick + k)
                 if not good:
@@ -208,7 +209,8 @@ def fit_model(rows: list[tuple[list[float], int]]) -> Model:
         last = np.append(s[1:] < s[:-1], True) if len(s) else np.zeros(0, bool)  # ties pass together
         ok = np.flatnonzero(last & (precise >= PRECISION) & (right >= 20) & (s >= 0.5))
         if len(ok):
-            cut[kind] = float(s[ok[-1]])
+            # halfway to the next held-out score, as any value between passes the same
+            cut[kind] = float(s[ok[-1]] + max([0.5, *s[ok[-1] + 1:ok[-1] + 2]])) / 2
     return Model(base, model.trees, cut)
 
 

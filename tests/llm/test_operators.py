@@ -409,6 +409,20 @@ def test_learned_spans():
     assert found("A clean sentence of the year 1999, with 12 things in it at the dot.") == []
 
 
+def test_generators_need_no_other_hint():
+    proposed = lambda t: {(k, t[a:b]) for k, a, b in pii.candidates(t)}
+    assert ("email", "jane.doe at example.com") in proposed("write to jane.doe at example.com")
+    assert ("email", "jane.doe@example dot com") in proposed("jane.doe@example dot com")
+    assert ("phone", "06 12 34 56 78") in proposed("ring 06 12 34 56 78 now")
+    assert len({pii._obscured("4111111111111111", ("card", 0, 16), k) for k in range(4)}) == 4
+    span = ("phone", 0, 15)
+    assert ("phone", "21 25 55 01 99") in {c for k in range(5) for c in proposed(pii._obscured("+1 212 555 0199", span, k))}
+    # the gate is necessary for the pattern only
+    for kind, gate, pattern in pii.GENERATORS:
+        for t in ("a [at] b.c", "a at b.c", "a{@}b.c", "a @ b.c", "a@b dot c", "a(at)b.c", "06.12.34.56.78", "(212) 555-0147"):
+            assert gate.search(t) or not pattern.search(t)
+
+
 def test_redaction():
     t = "a bob@x.org b +1 212 555 0199 c"
     assert pii.redact_text(t, pii.base_spans(t)) == "a [EMAIL] b [PHONE] c"
