@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears.llm import block_naming, fuzzy_lines, hamming_join, imatch, nbest, packing, pii, pseudo_likelihood, records, rule_ensemble
+from arrears.llm import block_naming, filter_audit, fuzzy_lines, hamming_join, imatch, nbest, packing, pii, pseudo_likelihood, records, rule_ensemble
 from arrears.llm.common import Scratch, documents
 from arrears.llm.tokens import tokenizer_path
 
@@ -60,7 +60,12 @@ def op10_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_naming.exact_groups(documents(spark, sf_dir), Scratch(spark, "op10"))
 
 
-QUERIES = {f.__name__: f for f in (op1_imatch, op2_pseudo_likelihood, op3_hamming_join, op4_rule_ensemble, op5_fuzzy_lines, op6_records, op7_nbest, op8_packing, op9_pii, op10_block_naming)}
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), Scratch(spark, "op13"))
+
+
+QUERIES = {f.__name__: f for f in (op1_imatch, op2_pseudo_likelihood, op3_hamming_join, op4_rule_ensemble, op5_fuzzy_lines, op6_records, op7_nbest, op8_packing, op9_pii, op10_block_naming,
+                                   op13_filter_audit)}
 
 #: DuckDB SQL of the queries that SQL can express; the others are tested
 #: against brute force in tests/llm.
@@ -73,4 +78,32 @@ ORACLE = {
                count(*) OVER (PARTITION BY text_sha256) AS group_size,
                row_number() OVER w = 1 AS kept, text_sha256, n_chars
         FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n_chars DESC, doc_id)""",
+    "op13_filter_audit": r"""
+        WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+        w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS first_id FROM t),
+        f AS (SELECT part, doc_id, [len(words) < 50,
+                     100 * len(list_distinct(words)) < 65 * len(words),
+                     100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text),
+                     regexp_matches(text, '[#$%&*|]'),
+                     coalesce(doc_id > first_id, false)] AS fails FROM w),
+        l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY 1),
+        m AS (SELECT part, fails, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+              FROM f LEFT JOIN l USING (doc_id) GROUP BY 1, 2),
+        x(i) AS (VALUES (1), (2), (3), (4), (5)),
+        o AS (SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM x a, x b, x c, x d, x e
+              WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+        s AS (SELECT o, array_to_string([substr('ABCDE', v, 1) FOR v IN o], '') AS filter_order, i AS step, o[i] AS own, o[1:i - 1] AS earlier FROM o, x),
+        j AS (SELECT part, filter_order, step, own, n, good, toxic, fails[own] AS hit,
+                     len([v FOR v IN earlier IF fails[v]]) > 0 AS before,
+                     len([v FOR v IN fails IF v]) AS failing FROM m, s),
+        g AS (SELECT part, filter_order, step, any_value(own) AS own,
+                     sum(n) FILTER (NOT before AND NOT hit) AS kept, sum(n) FILTER (hit AND NOT before) AS removed,
+                     sum(n) FILTER (hit AND before) AS redundant, sum(n) FILTER (hit AND failing = 1) AS unique_fails,
+                     sum(good) FILTER (hit AND NOT before) AS good_lost, sum(toxic) FILTER (hit AND NOT before) AS toxic_lost
+              FROM j GROUP BY 1, 2, 3)
+        SELECT part, filter_order, CAST(step AS INT) AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+               coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+               coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+               sum(coalesce(removed, 0)) OVER (PARTITION BY part, own)::BIGINT AS shapley
+        FROM g""",
 }
