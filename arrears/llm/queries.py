@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears.llm import block_naming, filter_audit, fuzzy_lines, hamming_join, imatch, nbest, packing, pii, pseudo_likelihood, records, rule_ensemble
+from arrears.llm import block_naming, filter_audit, fuzzy_lines, hamming_join, imatch, nbest, packing, pii, pseudo_likelihood, records, rule_ensemble, warc
 from arrears.llm.common import Scratch, documents
 from arrears.llm.tokens import tokenizer_path
 
@@ -60,12 +60,18 @@ def op10_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_naming.exact_groups(documents(spark, sf_dir), Scratch(spark, "op10"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "op11")
+    warc.write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), scratch.path("archive"), scratch)
+    return warc.read_archives(spark, scratch.path("archive"), with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), Scratch(spark, "op13"))
 
 
 QUERIES = {f.__name__: f for f in (op1_imatch, op2_pseudo_likelihood, op3_hamming_join, op4_rule_ensemble, op5_fuzzy_lines, op6_records, op7_nbest, op8_packing, op9_pii, op10_block_naming,
-                                   op13_filter_audit)}
+                                   op11_warc, op13_filter_audit)}
 
 #: DuckDB SQL of the queries that SQL can express; the others are tested
 #: against brute force in tests/llm.
@@ -78,6 +84,12 @@ ORACLE = {
                count(*) OVER (PARTITION BY text_sha256) AS group_size,
                row_number() OVER w = 1 AS kept, text_sha256, n_chars
         FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n_chars DESC, doc_id)""",
+    "op11_warc": """
+        WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+        g AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p),
+        r AS (SELECT *, payload_bytes >= 100 AND first_id IS NOT NULL AND page_id IS DISTINCT FROM first_id AS again FROM g)
+        SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN again THEN first_id END AS refers_to FROM r""",
     "op13_filter_audit": r"""
         WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
         w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS first_id FROM t),
