@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears.llm import block_naming, filter_audit, fuzzy_lines, hamming_join, imatch, nbest, packing, pii, pseudo_likelihood, records, rule_ensemble, warc
+from arrears.llm import block_naming, filter_audit, fuzzy_lines, hamming_join, imatch, nbest, packing, pii, pseudo_likelihood, records, rule_ensemble, warc, whitening
 from arrears.llm.common import Scratch, documents
 from arrears.llm.tokens import tokenizer_path
 
@@ -66,12 +66,17 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, scratch.path("archive"), with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return whitening.whitened(vectors, whitening.fit(vectors))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), Scratch(spark, "op13"))
 
 
 QUERIES = {f.__name__: f for f in (op1_imatch, op2_pseudo_likelihood, op3_hamming_join, op4_rule_ensemble, op5_fuzzy_lines, op6_records, op7_nbest, op8_packing, op9_pii, op10_block_naming,
-                                   op11_warc, op13_filter_audit)}
+                                   op11_warc, op12_whitening, op13_filter_audit)}
 
 #: DuckDB SQL of the queries that SQL can express; the others are tested
 #: against brute force in tests/llm.
