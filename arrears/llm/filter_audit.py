@@ -92,17 +92,19 @@ def _shard(k: int, kept: list[pa.RecordBatch]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(one)
 
 
-def _local_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kept, size, k = [], 0, 0
-    for whole in batches:
-        for b in pieces(whole, "text"):
-            kept.append(b)
-            size += b.nbytes
-            if size >= SHARD_BYTES:
-                yield _shard(k, kept)
-                kept, size, k = [], 0, k + 1
-    if kept:
-        yield _shard(k, kept)
+def _local_shards(shard_bytes: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, size, k = [], 0, 0
+        for whole in batches:
+            for b in pieces(whole, "text"):
+                kept.append(b)
+                size += b.nbytes
+                if size >= shard_bytes:
+                    yield _shard(k, kept)
+                    kept, size, k = [], 0, k + 1
+        if kept:
+            yield _shard(k, kept)
+    return run
 
 
 def _globally(key, numbers: pa.Table, shard: pa.Table) -> pa.Table:
@@ -122,13 +124,14 @@ _GLOBAL = pa.schema([("shard", pa.int64()), ("row_starts", pa.binary()), ("colum
                      *((c, pa.list_(_ARROW[t])) for c, t in _ROW.items())])
 
 
-def document_terms(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", part_col: str = "source") -> tuple[DataFrame, DataFrame]:
+def document_terms(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", part_col: str = "source",
+                   shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
     """The matrix: a table ``(word, word_id)`` of all distinct words and one of
     CSR shards with 64-bit columns ``word_id``, 32-bit counts and the facts of
     their rows.  Repeated rows and rows without an id are rows like others;
     columns besides the three named ones are not looked at."""
     d = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part"), F.col(text_col).alias("text"))
-    local = scratch.table(d.mapInArrow(_local_shards, f"{_CSR}, {_ROWS}, words array<string>"), "local")
+    local = scratch.table(d.mapInArrow(_local_shards(shard_bytes), f"{_CSR}, {_ROWS}, words array<string>"), "local")
     entries = local.select(F.col("shard").alias("at"), F.posexplode("words").alias("place", "word"))
     dictionary = scratch.table(entries.select("word").distinct().select("word", F.monotonically_increasing_id().alias("word_id")), "dictionary")
     numbers = entries.join(dictionary, "word").select("at", "place", "word_id")

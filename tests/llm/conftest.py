@@ -28,13 +28,35 @@ def odd_files(spark, odd_docs, tmp_path_factory):
     d = str(tmp_path_factory.mktemp("odd"))
     odd_docs.coalesce(1).write.parquet(f"{d}/documents.parquet")
     spark.createDataFrame([(1, 1, 0), (2, None, 0), (None, 1, 0), (3, 0, 0), (3, 1, 0)], "doc_id bigint, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+    odd_pages(spark).coalesce(1).write.parquet(f"{d}/pages.parquet")
+    odd_vectors(spark).coalesce(1).write.parquet(f"{d}/embeddings.parquet")
     return d
 
 
+def odd_pages(spark):
+    """Null ids, urls and texts, short and long equal texts, repeated rows, a url with line breaks, clashing columns."""
+    long, copied = "<p>" + "ä\r\n\r\nWARC/1.1\r\n" * 9000, "<html>" + "copy " * 40
+    rows = [(1, "http://a.example/", copied), (2, "http://b.example/ä b\r\nX: 1", copied), (2, "http://b.example/ä b\r\nX: 1", copied), (None, None, copied),
+            (3, None, None), (4, "http://c.example/", ""), (5, "http://d.example/", "short"), (6, "http://d.example/", "short"), (7, "http://e.example/", long),
+            (8, "http://f.example/", "y" * 99), (9, "http://f.example/", "y" * 99), (10, "http://g.example/", "z" * 100), (11, "http://g.example/", "z" * 100),
+            (12, "http://h.example/", "w" * 200), (12, "http://h.example/", "w" * 200), (None, "http://i.example/", "v" * 150), (None, None, "v" * 150), (13, "", long)]
+    return spark.createDataFrame([(*r, "x", "y", "z") for r in rows], "page_id bigint, url string, html string, place string, digest string, shard string")
+
+
+def odd_vectors(spark):
+    """Null vectors, null and non-finite entries, other lengths, huge and tied entries, repeated rows."""
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, [0.5, -0.25, 1.0]), (2, [0.1, 0.2, 0.3]), (2, [0.1, 0.2, 0.3]), (3, None), (4, [1.0, None, 2.0]), (5, [nan, 0.0, 0.0]), (6, [inf, 0.0, 0.0]),
+            (None, [-3.0, 2.5, 0.75]), (7, []), (8, [1.0]), (9, [1e4, -1e4, 0.0]), (10, [0.0, 0.0, 0.0])]
+    return spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id bigint, embedding array<float>, n string, component int")
+
+
 @pytest.fixture(scope="session")
 def empty_files(spark, odd_docs, tmp_path_factory):
     d = str(tmp_path_factory.mktemp("empty"))
     odd_docs.limit(0).write.parquet(f"{d}/documents.parquet")
+    odd_pages(spark).limit(0).write.parquet(f"{d}/pages.parquet")
+    odd_vectors(spark).limit(0).write.parquet(f"{d}/embeddings.parquet")
     spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
     return d
 
