@@ -96,7 +96,7 @@ def _local_shards(shard_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, size, k = [], 0, 0
         for whole in batches:
-            for b in pieces(whole, "text"):
+            for b in pieces(whole, "text", min(shard_bytes, 4 << 20)):
                 kept.append(b)
                 size += b.nbytes
                 if size >= shard_bytes:
