@@ -87,16 +87,21 @@ def test_csr_counts_words(texts):
         assert {words[c]: n for c, n in zip(columns[row], counts[row])} == Counter(WORD.findall(t)) and list(columns[row]) == sorted(columns[row])
 
 
+@pytest.mark.parametrize("a", [[], [0], [5, -3, 1 << 40, -(1 << 40)], list(range(1000))])
+def test_packed_integers(a):
+    assert fa.unpacked(fa.packed(np.array(a, np.int64))).tolist() == a
+
+
 @pytest.mark.parametrize("size", [1, 20_000, 8 << 20])
 def test_matrix_under_any_shard_size(spark, size):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").repartition(3)
     dictionary, shards = fa.document_terms(docs, Scratch(spark, "t"), shard_bytes=size)
     word = {r.word_id: r.word for r in dictionary.collect()}
-    assert len(set(word.values())) == len(word)
+    assert len(set(word.values())) == len(word) and sorted(word) == list(range(len(word)))
     assert shards.count() > 50 if size == 1 else shards.count() >= 1
     text, seen = {r.doc_id: r.text or "" for r in docs.collect()}, 0
     for s in shards.collect():
-        starts, columns, counts = (np.frombuffer(s[c], t) for c, t in (("row_starts", np.int64), ("columns", np.int64), ("counts", np.int32)))
+        starts, columns, counts = (fa.unpacked(s[c]) for c in ("row_starts", "columns", "counts"))
         for k, i in enumerate(s.doc_id):
             row = slice(starts[k], starts[k + 1])
             assert {word[c]: n for c, n in zip(columns[row], counts[row])} == Counter(WORD.findall(text[i])) and (np.diff(columns[row]) > 0).all()
