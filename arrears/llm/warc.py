@@ -35,6 +35,8 @@ from arrears.llm.common import Scratch
 
 SHARD_RECORDS = 8192
 ROLL_BYTES = 4 << 20
+#: Beyond as many shards, a task writes several, one after another.
+_TASKS = 10_000
 #: Payloads shorter than this are always written out.
 LEAST_REVISIT = 100
 DATE = "1970-01-01T00:00:00Z"
@@ -179,7 +181,9 @@ def write_archives(pages: DataFrame, folder: str, scratch: Scratch, id_col: str
                 .select(shard, "place", F.lit(None).cast("bigint").alias("page_id"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"),
                         F.lit(None).cast("string").alias("digest"), F.col("first.page_id").alias("refers_to"), F.col("first.url").alias("refers_url")))
     records = placed.select(shard, "place", "page_id", "url", "payload", "digest", F.lit(None).cast("bigint").alias("refers_to"), F.lit(None).cast("string").alias("refers_url"))
-    dealt = revisits.unionByName(records).repartition("shard").sortWithinPartitions("place", F.col("payload").isNotNull()).drop("shard")
+    tasks = min(_TASKS, max(1, -(-placed.count() // shard_records)))
+    dealt = (revisits.unionByName(records).repartitionById(tasks, F.expr(f"cast(shard % {tasks} as int)"))
+             .sortWithinPartitions("place", F.col("payload").isNotNull()).drop("shard"))
     temp = f"{folder}/_temporary-{uuid.uuid4().hex}"
     dealt.mapInArrow(_writer(folder, shard_records, roll_bytes, date), MANIFEST).write.parquet(temp)
     scratch.drop("sorted")
@@ -258,4 +262,4 @@ def read_archives(spark: SparkSession, folder: str, with_payload: bool = True) -
     and the number of records are checked.  Files are dealt by number, so that
     many tasks read them; without ``with_payload`` payloads are checked but not kept."""
     files = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest").select("file", "records")
-    return files.repartition(max(1, files.count()), "file").mapInArrow(_reader(folder, with_payload), RECORD)
+    return files.repartition(min(_TASKS, max(1, files.count())), "file").mapInArrow(_reader(folder, with_payload), RECORD)
