@@ -156,27 +156,54 @@ def run_purge(spark: SparkSession, config: DataFrame, done: DataFrame, as_of, pu
     return spark.createDataFrame(rows, PURGE_SCHEMA)
 
 
+def log_published(spark: SparkSession, run_id: str, job: str, source: str, target: str, counts: dict, log_paths: dict, at) -> None:
+    """R2 and R1 of a run whose rows are in its table: its volume row and its
+    end, each unless the log has it.  Used when a job died after publishing its
+    rows and before logging them; asks for one run id only."""
+    from arrears.sources import io
+
+    def missing(log: str, schema, where) -> bool:
+        return not io.exists(spark, log_paths[log]) or spark.read.schema(schema).parquet(log_paths[log]).where(where & (F.col("id_execucao") == run_id)).limit(1).isEmpty()
+
+    if missing("volumes", VOLUME_SCHEMA, F.col("nome_tabela_destino") == target):
+        io.append(log_volume(spark, run_id, source, target, counts, at), log_paths["volumes"])
+    if missing("runs", RUN_SCHEMA, F.col("status_execucao") == DONE):
+        opened = None if not io.exists(spark, log_paths["runs"]) else (
+            spark.read.schema(RUN_SCHEMA).parquet(log_paths["runs"]).where(F.col("id_execucao") == run_id).agg(F.min("data_hora_inicio")).first()[0])
+        io.append(finish_run(spark, run_id, job, opened or at, at, ok=True), log_paths["runs"])
+
+
+class _Stage:
+    """Names the stage a job is in; ``run_id`` is its run."""
+
+    def __init__(self, run_id: str):
+        self.run_id, self.name = run_id, "Carga"
+
+    def __call__(self, name: str) -> None:
+        self.name = name
+
+
 def logged_run(spark: SparkSession, job: str, source: str, target: str, log_paths: dict, as_of,
                body, finished_at=None) -> dict:
     """R1-R3 around any job: open the run (``Executando``), run
-    ``body(stage_setter)`` -- it returns the counts dict and may name its
-    current stage -- then append the volume row and close the run as
+    ``body(stage_setter)`` -- it returns the counts dict, may name its
+    current stage and finds the run id in ``stage_setter.run_id`` -- then append the volume row and close the run as
     ``Concluida``; on an exception append the error row with the stage
     name, close as ``Erro`` and re-raise."""
     from arrears.sources import io
     run_id, opened = start_run(spark, job, as_of)
     io.append(opened, log_paths["runs"])
-    stage = {"name": "Carga"}
+    stage = _Stage(run_id)
     began = time.monotonic()
 
     def end():
         return finished_at or _ts(as_of) + _dt.timedelta(seconds=int(time.monotonic() - began))
     try:
-        counts = body(lambda name: stage.__setitem__("name", name)) or {}
+        counts = body(stage) or {}
         io.append(log_volume(spark, run_id, source, target, counts, end()), log_paths["volumes"])
         io.append(finish_run(spark, run_id, job, as_of, end(), ok=True), log_paths["runs"])
         return counts
     except Exception as exc:  # noqa: BLE001 - logged and re-raised
-        io.append(log_error(spark, run_id, job, stage["name"], exc, end()), log_paths["errors"])
+        io.append(log_error(spark, run_id, job, stage.name, exc, end()), log_paths["errors"])
         io.append(finish_run(spark, run_id, job, as_of, end(), ok=False), log_paths["runs"])
         raise
