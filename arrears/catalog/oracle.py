@@ -8,6 +8,8 @@ Monday is ``dayofweek = 1`` in DuckDB (2 in Spark).
 
 from __future__ import annotations
 
+from arrears.catalog.oracle_loads import ORACLE as LOADS_ORACLE
+
 # ------------------------------------------------------------ stand-in CTEs
 CTE = {
     "parcelas": """
@@ -552,7 +554,7 @@ FROM held t LEFT JOIN src s ON t.id_titulo = s.id_titulo""", T_PAIR)
     q["update_unless_equal"] = with_ctes(["titulos"], _merge_sql(
         "NOT coalesce(t.data_atualizacao = s.data_atualizacao, FALSE)", {}), T_PAIR)
     q["load_volumes"] = with_ctes(["titulos"], """
-SELECT CAST((SELECT count(*) FROM src) AS BIGINT) AS linhas_origem,
+SELECT CAST((SELECT count(*) FROM changed) AS BIGINT) AS linhas_origem,
        CAST(count(CASE WHEN acao = 'I' THEN 1 END) AS BIGINT) AS linhas_inseridas,
        CAST(count(CASE WHEN acao = 'U' THEN 1 END) AS BIGINT) AS linhas_atualizadas,
        CAST(count(CASE WHEN acao IN ('I', 'U') THEN 1 END) AS BIGINT) AS linhas_totais_destino
@@ -774,4 +776,4 @@ WHERE c.hora_expurgo <= '12:00:00' AND d.executado IS NULL"""
     return q
 
 
-ORACLE = _oracle()
+ORACLE = {**_oracle(), **LOADS_ORACLE}

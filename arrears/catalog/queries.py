@@ -19,6 +19,8 @@ from arrears.functions import derive as X
 from arrears.operators import incremental as inc
 from arrears.operators import merge as mg
 from arrears.plans import derived, loads, marts, runlog, snapshot
+from arrears.sources import load_standins as LS
+from arrears.sources import schemas
 from arrears.sources import standins as S
 from arrears.sources.standins import CONTRACT_AS_OF as C_AS_OF
 from arrears.sources.standins import EVENT_AS_OF as E_AS_OF
@@ -287,10 +289,12 @@ def q_update_unless_equal(spark, sf_dir):
 
 
 def q_load_volumes(spark, sf_dir):
+    """A10: the source rows are those that C1 leaves."""
     src, held = _titulos_pair(spark, sf_dir)
-    marked = mg.upsert(held, src, ["id_titulo"], ["data_atualizacao"], ["plano", "data_atualizacao"],
+    changed = mg.drop_unchanged(src, held, ["id_titulo"], ["data_atualizacao"])
+    marked = mg.upsert(held, changed, ["id_titulo"], ["data_atualizacao"], ["plano", "data_atualizacao"],
                        mark=True)
-    return runlog.volumes_from_actions(marked, src)
+    return runlog.volumes_from_actions(marked, changed)
 
 
 # ------------------------------------------------------- table-load shapes
@@ -328,6 +332,33 @@ def q_load_parent_scoped(spark, sf_dir):
                      inputs={"acordos": S.acordos(t), "parcelas_pagar": S.acordos_parcelas_pagar(t)})
 
 
+# ------------------------------------------- the 25 loads, specs as they stand
+
+def _load_arguments(t, spec) -> dict:
+    source, target = LS.source_and_target(t, spec.target)
+    return {"source": source, "target": target, "watermark": C_WATERMARK, "as_of": C_AS_OF, "inputs": LS.inputs(t)}
+
+
+def _load_query(spec):
+    def query(spark, sf_dir):
+        return spec.plan(**_load_arguments(_t(spark, sf_dir), spec))
+    query.__doc__ = f"{spec.job}: the target after the run, rows marked I / U / N."
+    return query
+
+
+#: A load of every way to count and to maintain (A10).
+VOLUME_TARGETS = ("Titulos", "Telefones", "ParcelasInformacoesComplementares", "Acordos", "AcordosParcelasPagar", "AcordosParcelasNegociadas", "Eventos", "Carteiras")
+
+
+def q_load_volumes_by_shape(spark, sf_dir):
+    """A10 / R2: the volume rows of one load of every shape."""
+    t, out = _t(spark, sf_dir), None
+    for spec in (x for x in loads.LOADS if x.target in VOLUME_TARGETS):
+        row = spec.volumes(**_load_arguments(t, spec)).select(F.lit(spec.target).alias("tabela"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 # ------------------------------------------------------------------ mailing
 
 def q_mailing_attach(spark, sf_dir):
@@ -558,4 +589,6 @@ QUERIES = {
     "agreement_channel": q_agreement_channel,
     "run_status": q_run_status,
     "purge_due": q_purge_due,
+    **{"load_" + schemas.TABLES[spec.target]: _load_query(spec) for spec in loads.LOADS},
+    "load_volumes_by_shape": q_load_volumes_by_shape,
 }

@@ -103,7 +103,7 @@ class TableLoad:
     def volumes(self, source: DataFrame, target: DataFrame, watermark=None, as_of=None, inputs: dict | None = None) -> DataFrame:
         """The volume row (A10) of a run on these tables, as one lazy plan."""
         counted = self.counted(self.staged(source, target, None, as_of, watermark, inputs), target)
-        return runlog.volumes_from_actions(self.plan(source, target, None, as_of, watermark, inputs, staged=counted), counted)
+        return runlog.volumes_of(self.plan(source, target, None, as_of, watermark, inputs, staged=counted), counted)
 
     def plan(self, source: DataFrame, target: DataFrame, runs: DataFrame | None = None,
              as_of=None, watermark=None, inputs: dict | None = None,

@@ -120,6 +120,14 @@ def volumes_from_actions(marked: DataFrame, staged_rows: DataFrame | None = None
         (F.col("linhas_inseridas") + F.col("linhas_atualizadas")).cast("long").alias("linhas_totais_destino"))
 
 
+def volumes_of(marked: DataFrame, counted: DataFrame, action_col: str = "acao") -> DataFrame:
+    """A10 of a run in one aggregate: ``counted`` are its source rows, ``marked``
+    the new target."""
+    n = marked.select(action_col).unionByName(counted.select(F.lit("S").alias(action_col)))
+    agg = n.agg(*(F.count(F.when(F.col(action_col) == a, 1)).alias(c) for a, c in (("S", "linhas_origem"), ("I", "linhas_inseridas"), ("U", "linhas_atualizadas"))))
+    return agg.withColumn("linhas_totais_destino", F.col("linhas_inseridas") + F.col("linhas_atualizadas"))
+
+
 def log_error(spark: SparkSession, run_id: str, job: str, stage: str, exc: BaseException, at) -> DataFrame:
     """Error row with the stage name and the full message."""
     msg = "".join(traceback.format_exception_only(type(exc), exc)).strip()
