@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from arrears.functions import derive as X
 from arrears.operators.incremental import on_day_before
 from arrears.operators.joins import lookup_default
-from arrears.operators.merge import flag_wildcard, insert_absent
+from arrears.operators.merge import INSERTED, KEPT, UPDATED, flag_wildcard, insert_absent, wildcard_marker
 
 # Fixed values of the mailing return rules.
 RETURN_OCCURRENCE_TYPE = 350
@@ -114,9 +114,6 @@ def mailing_flags(mailing: DataFrame, source: DataFrame, returns: DataFrame) ->
     m = mailing
     if "id_retirada" not in m.columns:
         m = m.withColumn("id_retirada", F.lit(None).cast("int"))
-    # The returns list is small but derived from large sources (instalments,
-    # occurrences, promises) and read by two joins; it is materialised once
-    # in the shared checkpoint folder instead of being derived twice.
     returns = returns.select("id_carteira", "id_devedor").distinct()
     step1 = flag_wildcard(m, returns, "id_devedor", "id_carteira", "id_retirada", RETURNED,
                           only_unflagged=False, anti=False)
@@ -131,3 +128,20 @@ def mailing_run(source: DataFrame, mailing: DataFrame, parcelas: DataFrame, titu
         returns_by_reason(return_reasons(ocorrencias, titulos, promessas, as_of), mailing))
     new = mailing_new(source, mailing).withColumn("id_retirada", F.lit(None).cast("int"))
     return mailing_flags(mailing.unionByName(new.select(*mailing.columns)), source, returns)
+
+
+def mailing_state(mailing: DataFrame, source: DataFrame, returns: DataFrame) -> DataFrame:
+    """M10's table after the run, marked I / U / N, with ``mudou``: whether the
+    row is new or its flag changed.  As U counts every row that either update
+    reaches, also where it sets the flag that was there."""
+    new = mailing_new(source, mailing).select("id_devedor", "id_carteira").withColumn("id_retirada", F.lit(None).cast("int"))
+    m = mailing.select("id_devedor", "id_carteira", "id_retirada").withColumn("acao", F.lit(KEPT)).unionByName(new.withColumn("acao", F.lit(INSERTED)))
+    m = m.withColumn("_antes", F.col("id_retirada"))
+    hit = wildcard_marker(m, returns.select("id_carteira", "id_devedor").distinct(), "id_devedor", "id_carteira")
+    m = hit.withColumn("id_retirada", F.when(F.col("_hit"), RETURNED).otherwise(F.col("id_retirada"))).withColumnRenamed("_hit", "_devolvido")
+    listed = wildcard_marker(m, source, "id_devedor", "id_carteira")
+    left = F.col("id_retirada").isNull() & ~F.col("_hit")
+    touched = F.col("_devolvido") | left
+    return listed.select("id_devedor", "id_carteira", F.when(left, LEFT_LIST).otherwise(F.col("id_retirada")).alias("id_retirada"),
+                         F.when(F.col("acao") == INSERTED, INSERTED).when(touched, UPDATED).otherwise(KEPT).alias("acao"),
+                         ((F.col("acao") == INSERTED) | ~F.when(left, LEFT_LIST).otherwise(F.col("id_retirada")).eqNullSafe(F.col("_antes"))).alias("mudou"))

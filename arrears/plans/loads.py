@@ -176,7 +176,7 @@ class TableLoad:
         if schema is None and self.target in schemas.TABLES and not io.exists(spark, path):
             schema = schemas.schema(schemas.TABLES[self.target])
             if self.range_width:
-                schema = schema.add("part", "bigint")
+                schema = schema.add("part", "long")
         if not io.exists(spark, path) and schema is not None:
             return spark.createDataFrame([], schema)
         r = spark.read
@@ -297,22 +297,38 @@ def extract_acordos(source, target, watermark=None, as_of=None, inputs=None):
 
 def extract_parcelas_pagar(source, target, watermark=None, as_of=None, inputs=None):
     """L12 (H8 + U2): needs ``inputs["acordos"]``, the agreement source."""
-    scope = inc.parents_in_scope(inputs["acordos"], "id_acordo", AGREEMENT_DATES, watermark)
+    scope = _scope(inputs, watermark, as_of).where(F.col("origem") == PARENT).select("id_acordo")
     return inc.extract_due_children(source, "id_acordo", scope, "data_pagamento", "data_vencimento",
                                     watermark, _pay_date(watermark), as_of)
 
 
 def extract_agreement_children(source, target, watermark=None, as_of=None, inputs=None):
     """L13 / L14 (H8 + U1 + J6): needs ``inputs["acordos"]`` and
-    ``inputs["parcelas_pagar"]``."""
+    ``inputs["parcelas_pagar"]``, or the scope made of them."""
+    return inc.extract_children(source, "id_acordo", [_scope(inputs, watermark, as_of).select("id_acordo")])
+
+
+PARENT, CHILD = "A", "P"
+
+
+def agreement_scope(acordos, parcelas_pagar, watermark, as_of) -> DataFrame:
+    """The agreements that L12-L14 look at: ``id_acordo`` and ``origem``, their
+    own dates (``A``) or those of their instalments (``P``).  A day makes it
+    once for all three (``plans.day``)."""
     from arrears.functions.derive import date_lit
-    from pyspark.sql import functions as F
-    by_parent = inc.parents_in_scope(inputs["acordos"], "id_acordo", AGREEMENT_DATES, watermark)
     w = inc.as_watermark(watermark)
-    pagar = inputs["parcelas_pagar"]
-    by_child = pagar.filter((F.to_date("data_pagamento") == _pay_date(watermark))
-                            | F.to_date("data_vencimento").between(w, date_lit(as_of)))
-    return inc.extract_children(source, "id_acordo", [by_parent, by_child])
+    by_parent = inc.parents_in_scope(acordos, "id_acordo", AGREEMENT_DATES, watermark)
+    by_child = parcelas_pagar.filter((F.to_date("data_pagamento") == _pay_date(watermark))
+                                     | F.to_date("data_vencimento").between(w, date_lit(as_of))).select("id_acordo")
+    return by_parent.withColumn("origem", F.lit(PARENT)).unionByName(by_child.withColumn("origem", F.lit(CHILD)))
+
+
+def _scope(inputs, watermark, as_of) -> DataFrame:
+    if "escopo" in inputs:
+        return inputs["escopo"]
+    if "parcelas_pagar" in inputs:
+        return agreement_scope(inputs["acordos"], inputs["parcelas_pagar"], watermark, as_of)
+    return inc.parents_in_scope(inputs["acordos"], "id_acordo", AGREEMENT_DATES, watermark).withColumn("origem", F.lit(PARENT))
 
 
 # Contact tables grow by increasing ids: partition them by ranges of this

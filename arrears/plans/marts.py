@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arrears.functions import derive as X
-from arrears.operators.joins import attach_snapshot, left_lookup
-from arrears.operators.merge import insert_absent
+from arrears.operators.joins import attach_snapshot, left_lookup, snapshot_id
+from arrears.operators.merge import insert_absent, upsert
 from arrears.plans.snapshot import today_snapshot
 
 # Client codes of the dialer extracts (fixed values).
@@ -52,7 +52,6 @@ def mailing_apply(target: DataFrame, attached: DataFrame, mark: bool = False) ->
     That is the upsert rule with the flag as its own version column (the
     integer sentinel is 0), so it runs as one full outer join on
     ``id_base`` and the attached rows are read once."""
-    from arrears.operators.merge import upsert
     return upsert(target, attached.select(*target.columns), ["id_base"], ["id_retirada"], ["id_retirada"],
                   mark=mark)
 
@@ -72,14 +71,16 @@ def crm_contacts(ocorrencias: DataFrame, eventos: DataFrame, tipos_ocorrencias:
     calls = ligacoes.select("id_ligacao", "id_origem_ligacao", F.col("ddd_ligacao").alias("ddd"),
                             F.col("numero_ligacao").alias("numero"), "chave")
     users = usuarios.select(F.col("id_usuario").alias("id_usuario_inclusao"), "referencia")
-    oc = (ocorrencias.filter(X.since_midnight("data_ocorrencia", as_of))
-          .join(tipos_ocorrencias, "id_tipo_ocorrencia", "inner"))
+    # only the columns used: the stored tables share names besides their keys
+    kept = ["id_devedor", "id_titulo", "id_ligacao", "id_usuario_inclusao", "id_origem"]
+    oc = (ocorrencias.filter(X.since_midnight("data_ocorrencia", as_of)).select("data_ocorrencia", "id_tipo_ocorrencia", "id_acordo", *kept)
+          .join(tipos_ocorrencias.select("id_tipo_ocorrencia", "codigo_ocorrencia", "tipo_ocorrencia", "id_classificacao"), "id_tipo_ocorrencia", "inner"))
     oc = (left_lookup(left_lookup(oc, calls, "id_ligacao"), users, "id_usuario_inclusao")
           .select(F.col("data_ocorrencia").alias("data"), "id_devedor", "id_titulo",
                   "codigo_ocorrencia", "tipo_ocorrencia", "id_ligacao", "id_origem_ligacao", "ddd",
                   "numero", "chave", "id_acordo", "referencia", "id_origem", "id_classificacao"))
-    ev = (eventos.filter(X.since_midnight("data_evento", as_of))
-          .join(tipos_eventos, "id_tipo_evento", "inner"))
+    ev = (eventos.filter(X.since_midnight("data_evento", as_of)).select("data_evento", "id_tipo_evento", *kept)
+          .join(tipos_eventos.select("id_tipo_evento", "codigo_evento", "tipo_evento", "id_classificacao"), "id_tipo_evento", "inner"))
     ev = (left_lookup(left_lookup(ev, calls, "id_ligacao"), users, "id_usuario_inclusao")
           .select(F.col("data_evento").alias("data"), "id_devedor", "id_titulo",
                   F.col("codigo_evento").alias("codigo_ocorrencia"),
@@ -215,6 +216,46 @@ def payments_mart(acordos, tipos, negociadas, pagar, usuarios, status, origem,
     return staged if target is None else insert_absent(target, staged, FACT_KEY)
 
 
+def payment_keys(acordos, negociadas, pagar, mart: DataFrame) -> DataFrame:
+    """Every payment with the snapshot id that its debtor, contract and day
+    give, and ``no_mart``: whether the mart holds it."""
+    paid = pagar.where(F.col("data_pagamento").isNotNull()).select("id_acordo", "numero_parcela", "data_pagamento", "valor_pago")
+    key = (paid.join(negociadas.select("id_acordo", "id_titulo").distinct(), "id_acordo").join(acordos.select("id_acordo", "id_devedor"), "id_acordo")
+           .withColumn("id_base", snapshot_id("id_devedor", "id_titulo", "data_pagamento")).distinct())
+    held = mart.select(*FACT_KEY).distinct().withColumn("no_mart", F.lit(True))
+    return key.join(held, FACT_KEY, "left").withColumn("no_mart", F.col("no_mart").isNotNull())
+
+
+def payments_of(keys: DataFrame, acordos, tipos, usuarios, status, origem, base360: DataFrame) -> DataFrame:
+    """The mart's rows of some payments.  Their days, at most as many values as
+    there are days, prune the snapshot history: only those day partitions of
+    Base360 are read, not all since the first payment."""
+    days = [r[0] for r in keys.select("data_pagamento").distinct().collect()]
+    base = base360.where(F.col("data").isin(days) if days else F.lit(False)).select("id_base")
+    a = acordos.select("id_acordo", "id_tipo_acordo", "plano", "id_negociador_responsavel", "proposta", "data_aprovacao_proposta", "id_status_acordo")
+    facts = (keys.drop("no_mart").join(base, "id_base", "left_semi").join(a, "id_acordo")
+             .join(tipos.select("id_tipo_acordo", "tipo_acordo"), "id_tipo_acordo").join(status.select("id_status_acordo", "status_acordo"), "id_status_acordo")
+             .join(usuarios.select(F.col("id_usuario").alias("id_negociador_responsavel"), "referencia"), "id_negociador_responsavel")
+             .join(origem.select("id_acordo", "id_origem_acordo"), "id_acordo"))
+    return facts.select("id_base", *PAYMENT_COLS).distinct()
+
+
+def payments_new(acordos, tipos, negociadas, pagar, usuarios, status, origem, base360: DataFrame, mart: DataFrame) -> DataFrame:
+    """M7 by touched days: the rows of ``payments_mart`` that the mart lacks.
+    Payments that it holds are dropped before anything else is joined."""
+    keys = payment_keys(acordos, negociadas, pagar, mart).where(~F.col("no_mart"))
+    return payments_of(keys, acordos, tipos, usuarios, status, origem, base360)
+
+
+def due_state(acordos, tipos, negociadas, pagar, usuarios, status, origem, base360: DataFrame, as_of, mart: DataFrame) -> DataFrame:
+    """M8 in one pass: the day's rows of the mart after the run, marked I / U / N.
+
+    Insert-absent (K3) and the cancellation filled once (C5) are one full outer
+    join on the fact key; ``mart`` holds the days that the facts touch."""
+    staged = due_mart(acordos, tipos, negociadas, pagar, usuarios, status, origem, base360, as_of)
+    return upsert(mart, staged.select(*mart.columns), FACT_KEY, ["data_cancelamento"], ["data_cancelamento"], mark=True, fill_only=True)
+
+
 def due_mart(acordos, tipos, negociadas, pagar, usuarios, status, origem,
              base360: DataFrame, as_of, target: DataFrame | None = None) -> DataFrame:
     """M8: instalments due today or agreements cancelled today (F8, an OR

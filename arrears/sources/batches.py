@@ -15,6 +15,7 @@ copy that is appended afterwards.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -34,14 +35,17 @@ def append(df: DataFrame, path: str, run: str, source_rows: int | None = None, p
     return finish(df.sparkSession, path, run)
 
 
-def prepare(df: DataFrame, path: str, run: str, source_rows: int | None, partition_by: list[str] | None = None) -> None:
-    """Write the batch and its ledger; nothing of it is visible yet.  Without
-    ``source_rows`` its own rows are the source rows (loads that count what is
-    absent)."""
+def prepare(df: DataFrame, path: str, run: str, source_rows: int | Callable[[int], int] | None, partition_by: list[str] | None = None) -> None:
+    """Write the batch and its ledger; nothing of it is visible yet.
+    ``source_rows`` may be a function of the batch's rows that is asked after
+    the write (which may observe a count); without it the batch's own rows are the source rows (loads
+    that count what is absent)."""
     seen = Observation()
     w = df.observe(seen, F.count(F.lit(1)).alias("n")).write
     (w.partitionBy(*partition_by) if partition_by else w).parquet(f"{_base(path)}/{run}/rows")
     n = int(seen.get["n"])
+    if callable(source_rows):
+        source_rows = int(source_rows(n))
     counts = {"linhas_origem": n if source_rows is None else source_rows, "linhas_inseridas": n, "linhas_atualizadas": 0, "linhas_totais_destino": n}
     write_text(df.sparkSession, f"{_base(path)}/{run}/{LEDGER}", json.dumps(counts))
 

@@ -133,6 +133,16 @@ class RangeTable:
         return gone
 
 
+class DayTable(RangeTable):
+    """The same for a table whose ranges are the days of a date column."""
+
+    def __init__(self, spark: SparkSession, path: str, day: str, schema: T.StructType):
+        super().__init__(spark, path, day, 1, schema)
+
+    def range_of(self) -> Column:
+        return F.coalesce(F.unix_date(F.col(self.key)), F.lit(-1)).cast("long")
+
+
 def is_range_table(spark: SparkSession, path: str) -> bool:
     p, fs = _path(spark, f"{path.rstrip('/')}/{CURRENT}")
     return bool(fs.exists(p))
