@@ -451,6 +451,22 @@ def _oracle() -> dict[str, str]:
     q: dict[str, str] = {}
     q["base_open_instalments"] = with_ctes(["parcelas"], open_sql(C_TS))
     q["base_snapshot"] = with_ctes(SNAP_NAMES, base_sql("p"), [("p", open_sql(C_TS))])
+    q["base_snapshot_reduced"] = q["base_snapshot"]
+    with_product = base_sql("p").replace("d.carteira,", "d.carteira, x.produto,", 1) + """
+  JOIN (SELECT DISTINCT CAST(substr(o_orderpriority, 1, 1) AS INTEGER) + 5 AS id_produto, o_orderpriority AS produto
+        FROM orders WHERE o_orderpriority <> '5-LOW') x ON t.id_produto = x.id_produto"""
+    reopened = open_sql(C_TS).replace("max(data_reabertura)", "max(i.reaberta)").replace("FROM parcelas", """FROM parcelas LEFT JOIN (
+    SELECT l_orderkey AS contrato, l_linenumber AS linha, max(l_shipdate - INTERVAL 7 DAY) AS reaberta
+    FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2) i ON i.contrato = id_titulo AND i.linha = numero_parcela""")
+    q["base_snapshot_products"] = with_ctes(SNAP_NAMES, with_product, [("p", reopened)])
+    q["base_snapshot_untidy"] = with_ctes(SNAP_NAMES, """
+SELECT * EXCLUDE (area_negocio), CASE WHEN area_negocio IN ('02', '2', '11') THEN 'NCOR' WHEN area_negocio IN ('01', '1') THEN 'BPF' END AS sub_produto FROM b""",
+                                          [("p", open_sql(C_TS)), ("b", base_sql("p"))])
+    q["calls_by_name"] = """
+WITH calls AS (SELECT event_id, CASE event_type WHEN 'click' THEN upper(n) || ' ' WHEN 'view' THEN 'C' || n[2:] ELSE n END AS name
+               FROM (SELECT *, 'customer#' || lpad(CAST(user_id AS VARCHAR), 9, '0') AS n FROM events))
+SELECT c_custkey AS id_devedor, event_id AS id_ligacao
+FROM customer LEFT JOIN calls ON rtrim(c_name) COLLATE NOCASE = rtrim(name) COLLATE NOCASE"""
     q["base360_derived"] = with_ctes(SNAP_NAMES, "SELECT * FROM b360", _b360())
     q["base360_upsert"] = with_ctes(
         SNAP_NAMES, apply_sql("tgt", "b360"), _b360("tgt", "flag <> 'N'") + _b360())
@@ -632,6 +648,31 @@ FROM mailing_target m""", [("reasons", reasons), ("held", "SELECT * FROM mailing
                                                 AND h.id_devedor = r.id_devedor)
   UNION ALL
   SELECT h.id_carteira, h.id_devedor FROM held h
+  WHERE EXISTS (SELECT 1 FROM reasons r WHERE r.id_carteira IS NULL AND r.id_devedor = h.id_devedor
+                  AND (r.complemento IN ('Colchão', 'Remessa') OR r.complemento LIKE '%BAIXA PGTO DO / DT PGTO%'))""")])
+    q["mailing_returns_closed"] = with_ctes(["titulos_carteira", "mailing_target"], """
+SELECT id_carteira, id_devedor FROM (
+  SELECT DISTINCT t.id_carteira, t.id_devedor FROM lineitem l JOIN titulos_carteira t ON l.l_orderkey = t.id_titulo WHERE l.l_returnflag = 'R') a
+WHERE (id_carteira, id_devedor) NOT IN (
+  SELECT (t.id_carteira, t.id_devedor) FROM lineitem l JOIN titulos_carteira t ON l.l_orderkey = t.id_titulo WHERE l.l_linestatus = 'O' AND l.l_quantity > 48)
+  AND EXISTS (SELECT 1 FROM mailing_target m WHERE m.id_retirada IS NULL AND m.id_carteira = a.id_carteira AND m.id_devedor = a.id_devedor)""")
+    q["mailing_state"] = with_ctes(["ocorrencias_retorno", "titulos_carteira", "promessas", "mailing_target", "mailing_source"], """
+SELECT id_carteira, id_devedor, id_retirada, CASE WHEN nova THEN 'I' WHEN volta OR saiu THEN 'U' ELSE 'N' END AS acao,
+       nova OR id_retirada IS DISTINCT FROM antes AS mudou
+FROM (SELECT *, CASE WHEN volta THEN 1 WHEN saiu THEN 2 ELSE antes END AS id_retirada FROM (
+  SELECT *, NOT volta AND antes IS NULL AND NOT EXISTS (
+    SELECT 1 FROM lista s WHERE coalesce(m.id_carteira, s.id_carteira) = s.id_carteira AND m.id_devedor = s.id_devedor) AS saiu
+  FROM (SELECT *, EXISTS (SELECT 1 FROM ret r WHERE coalesce(x.id_carteira, r.id_carteira) = r.id_carteira AND x.id_devedor = r.id_devedor) AS volta FROM toda x) m))""",
+                                   [("reasons", reasons), ("held", "SELECT * FROM mailing_target WHERE id_retirada IS NULL"),
+                                    ("lista", "SELECT * FROM mailing_source WHERE id_carteira > 4"), ("toda", """
+  SELECT id_carteira, id_devedor, id_retirada AS antes, FALSE AS nova FROM mailing_target
+  UNION ALL SELECT CAST(s.id_carteira AS INTEGER), s.id_devedor, CAST(NULL AS INTEGER), TRUE FROM lista s
+  WHERE NOT EXISTS (SELECT 1 FROM mailing_target m WHERE m.id_carteira = s.id_carteira AND m.id_devedor = s.id_devedor)"""), ("ret", """
+  SELECT r.id_carteira, r.id_devedor FROM reasons r
+  WHERE (r.complemento IN ('Colchão', 'Remessa') OR r.complemento LIKE '%BAIXA PGTO DO / DT PGTO%')
+    AND EXISTS (SELECT 1 FROM held h WHERE h.id_carteira = r.id_carteira AND h.id_devedor = r.id_devedor)
+  UNION ALL
+  SELECT h.id_carteira, h.id_devedor FROM held h
   WHERE EXISTS (SELECT 1 FROM reasons r WHERE r.id_carteira IS NULL AND r.id_devedor = h.id_devedor
                   AND (r.complemento IN ('Colchão', 'Remessa') OR r.complemento LIKE '%BAIXA PGTO DO / DT PGTO%'))""")])
     flag_ctes = [("reasons", reasons), ("held", "SELECT * FROM mailing_target WHERE id_retirada IS NULL"),
@@ -736,6 +777,18 @@ SELECT s.* FROM staged s WHERE NOT EXISTS (
   SELECT f.* FROM facts f JOIN b360 b ON f.id_devedor = b.id_devedor AND f.id_titulo = b.id_titulo
     AND f.data_vencimento = b.data
   WHERE b.data >= {C_DAY}""")])
+    q["payments_new"] = with_ctes(SNAP_NAMES + STAR_NAMES, """
+SELECT f.* FROM facts f JOIN b360 b ON f.id_devedor = b.id_devedor AND f.id_titulo = b.id_titulo
+WHERE f.data_pagamento BETWEEN DATE '1998-06-01' AND DATE '1998-09-01'
+  AND (f.id_acordo, f.numero_parcela, f.data_pagamento) NOT IN (
+    SELECT (id_acordo, numero_parcela, data_pagamento) FROM facts WHERE data_pagamento < DATE '1998-08-01' AND proposta <> '5-LOW')""",
+                                  _b360() + [("facts", STAR.format(cols=PAY_COLS, where="d.data_pagamento IS NOT NULL"))])
+    one_due = """(SELECT id_acordo, numero_parcela, DATE '1998-09-01' AS data_vencimento, min(valor) AS valor
+              FROM pagar GROUP BY 1, 2)"""
+    q["due_state"] = with_ctes(SNAP_NAMES + STAR_NAMES, """
+SELECT f.*, CASE WHEN proposta = '5-LOW' THEN 'I' WHEN data_cancelamento IS NOT NULL THEN 'U' ELSE 'N' END AS acao
+FROM facts f JOIN b360 b ON f.id_devedor = b.id_devedor AND f.id_titulo = b.id_titulo""",
+                               _b360() + [("facts", STAR.replace("JOIN pagar d", f"JOIN {one_due} d").format(cols=DUE_COLS, where="TRUE"))])
     due_ctes = _b360() + [("facts", STAR.format(
         cols=DUE_COLS, where=f"d.data_vencimento = {C_DAY} OR CAST(a.data_cancelamento AS DATE) = {C_DAY}")),
         ("staged", f"""

@@ -72,6 +72,45 @@ def q_base_snapshot(spark, sf_dir):
     return _base(_t(spark, sf_dir), C_AS_OF)
 
 
+def q_base_snapshot_products(spark, sf_dir):
+    """M1 whole: with the product join (J1) and the reopening dates of the
+    instalment info (A1), which open instalments are joined to."""
+    t = _t(spark, sf_dir)
+    open_ = snapshot.open_instalments(S.parcelas_com_id(t), C_AS_OF, S.parcelas_info(t))
+    return snapshot.base_snapshot(open_, S.titulos(t), S.devedores(t), S.carteiras(t), titulos_info=S.titulos_info(t), escob=S.escob(t),
+                                  propensao=S.propensao(t), produtos=S.produtos(t))
+
+
+def q_base_snapshot_reduced(spark, sf_dir):
+    """The contract-keyed sides reduced to the contracts of open instalments first."""
+    t = _t(spark, sf_dir)
+    keys = S.parcelas(t).filter(F.col("id_situacao_parcela") == snapshot.OPEN).select("id_titulo")
+    return snapshot.base_snapshot(snapshot.open_instalments(S.parcelas(t), C_AS_OF), S.titulos(t), S.devedores(t), S.carteiras(t),
+                                  titulos_info=S.titulos_info(t), escob=S.escob(t), propensao=S.propensao(t), open_keys=keys)
+
+
+def q_base_snapshot_untidy(spark, sf_dir):
+    """D8 behind F4 / X3 / X4: states, business areas and scores with mixed case
+    and trailing blanks, compared as the server does."""
+    t, text = _t(spark, sf_dir), schemas.as_server_text
+    base = snapshot.base_snapshot(
+        snapshot.open_instalments(text(S.untidy_parcelas(t), "parcelas"), C_AS_OF), S.titulos(t), S.devedores(t), S.carteiras(t),
+        titulos_info=text(S.untidy_titulos_info(t), "titulos_info"), escob=text(S.untidy_cluster(t, S.escob(t)), "escob"),
+        propensao=text(S.untidy_cluster(t, S.propensao(t)), "propensao"))
+    return schemas.as_plain_text(base.withColumn("sub_produto", X.sub_product("area_negocio")).drop("area_negocio"))
+
+
+def q_calls_by_name(spark, sf_dir):
+    """D8 behind J2: calls joined to debtors by a name typed in any case, with
+    blanks; debtors without a call by the anti join."""
+    t = _t(spark, sf_dir)
+    name = F.collate(F.col("razao_social_nome"), schemas.SERVER_TEXT).alias("nome")
+    calls, debtors = S.named_calls(t).select("id_ligacao", name), S.devedores(t).select("id_devedor", name)
+    called = calls.join(debtors, "nome").select("id_devedor", "id_ligacao")
+    silent = mg.insert_absent(calls, debtors, ["nome"]).select("id_devedor", F.lit(None).cast("bigint").alias("id_ligacao"))
+    return called.unionByName(silent)
+
+
 def q_base360_derived(spark, sf_dir):
     return _base360(_t(spark, sf_dir), C_AS_OF).drop("id_base")
 
@@ -392,6 +431,22 @@ def q_mailing_returns(spark, sf_dir):
     return derived.returned_debtors(S.parcelas(t), S.titulos_carteira(t), S.mailing_target(t), C_AS_OF)
 
 
+def q_mailing_returns_closed(spark, sf_dir):
+    """J11 with rows: debtors whose instalments went back yesterday and who
+    have no active one left."""
+    t = _t(spark, sf_dir)
+    return derived.returned_debtors(S.parcelas_devolvidas(t), S.titulos_carteira(t), S.mailing_target(t), C_AS_OF)
+
+
+def q_mailing_state(spark, sf_dir):
+    """M10's table after the run with its actions, as the job writes it."""
+    t = _t(spark, sf_dir)
+    mailing = S.mailing_target(t)
+    reasons = derived.return_reasons(S.ocorrencias_retorno(t), S.titulos_carteira(t), S.promessas(t), E_AS_OF)
+    returns = derived.returns_by_reason(reasons, mailing, null_portfolio_matches_any=True)
+    return derived.mailing_state(mailing, S.mailing_source(t).filter(F.col("id_carteira") > 4), returns)
+
+
 def q_return_reasons(spark, sf_dir):
     t = _t(spark, sf_dir)
     return derived.return_reasons(S.ocorrencias_retorno(t), S.titulos_carteira(t), S.promessas(t), E_AS_OF)
@@ -476,6 +531,40 @@ def q_payments_mart(spark, sf_dir):
     return mg.insert_absent(target, staged, marts.FACT_KEY).drop("id_base")
 
 
+#: Days of the snapshot history that does not follow from the payments.
+HISTORY_FROM = _dt.date(1998, 6, 1)
+
+
+def _daily_history(t):
+    """Base360 of every day from June 1998 on."""
+    days = F.explode(F.sequence(F.lit(HISTORY_FROM), F.lit(C_AS_OF.date())))
+    return _base360(t, C_AS_OF).select("id_devedor", "id_titulo", days.alias("data")).withColumn("id_base", F.xxhash64("id_devedor", "id_titulo", "data"))
+
+
+def q_payments_new(spark, sf_dir):
+    """M7 by touched days over a daily history: the mart holds what a run of
+    1 August loaded, when later payments and agreements of low priority were
+    not known."""
+    t = _t(spark, sf_dir)
+    star, history = list(_star(t)), _daily_history(t)
+    earlier = [star[0].filter(F.col("proposta") != "5-LOW"), *star[1:3], star[3].filter(F.col("data_pagamento") < X.date_lit("1998-08-01")), *star[4:]]
+    mart = marts.payments_mart(*earlier, history)
+    return marts.payments_new(*star, history, mart).drop("id_base")
+
+
+def q_due_state(spark, sf_dir):
+    """M8 in one pass: the mart as loaded in the morning, when cancellations
+    and agreements of low priority were not known, after the evening's run."""
+    t = _t(spark, sf_dir)
+    star, base = list(_star(t)), _base360(t, C_AS_OF)
+    # one row an instalment (the driver's line numbers repeat), all due today
+    star[3] = star[3].groupBy("id_acordo", "numero_parcela").agg(
+        F.lit(C_AS_OF.date()).alias("data_vencimento"), F.min("valor").alias("valor"), F.max("data_pagamento").alias("data_pagamento"), F.max("valor_pago").alias("valor_pago"))
+    morning = star[0].filter(F.col("proposta") != "5-LOW").withColumn("data_cancelamento", F.lit(None).cast("timestamp_ntz"))
+    mart = marts.due_mart(morning, *star[1:], base, C_AS_OF)
+    return marts.due_state(*star, base, C_AS_OF, mart).drop("id_base")
+
+
 def q_due_mart(spark, sf_dir):
     t = _t(spark, sf_dir)
     star = _star(t)
@@ -544,6 +633,10 @@ def q_purge_due(spark, sf_dir):
 QUERIES = {
     "base_open_instalments": q_base_open_instalments,
     "base_snapshot": q_base_snapshot,
+    "base_snapshot_products": q_base_snapshot_products,
+    "base_snapshot_reduced": q_base_snapshot_reduced,
+    "base_snapshot_untidy": q_base_snapshot_untidy,
+    "calls_by_name": q_calls_by_name,
     "base360_derived": q_base360_derived,
     "base360_upsert": q_base360_upsert,
     "base360_withdrawn": q_base360_withdrawn,
@@ -577,6 +670,8 @@ QUERIES = {
     "mailing_attach": q_mailing_attach,
     "mailing_attach_apply": q_mailing_attach_apply,
     "mailing_returns": q_mailing_returns,
+    "mailing_returns_closed": q_mailing_returns_closed,
+    "mailing_state": q_mailing_state,
     "return_reasons": q_return_reasons,
     "mailing_flags": q_mailing_flags,
     "mailing_run": q_mailing_run,
@@ -584,7 +679,9 @@ QUERIES = {
     "dialer_calls": q_dialer_calls,
     "digital_calls": q_digital_calls,
     "payments_mart": q_payments_mart,
+    "payments_new": q_payments_new,
     "due_mart": q_due_mart,
+    "due_state": q_due_state,
     "due_cancellations": q_due_cancellations,
     "agreement_channel": q_agreement_channel,
     "run_status": q_run_status,

@@ -59,11 +59,15 @@ def key_set(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
 
 
 def reduce_by_keys(df: DataFrame, keys_df: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    """Keep the rows of a big table whose key is in a key list (a semi
-    join against the distinct keys; Spark adds a runtime bloom filter on
-    the big side when the key list is selective)."""
+    """Keep the rows of a big table whose key is in a key list.
+
+    ``keys_df`` is a filtered scan, not its distinct keys: only then does Spark
+    build a runtime bloom filter of them and drop most of the big table's rows
+    before its shuffle.  A sort-merge semi join without a condition buffers one
+    row per key, so keys that repeat cost no memory.  ``session.REDUCE_CONF``
+    has the settings."""
     keys = [key] if isinstance(key, str) else list(key)
-    return df.join(key_set(keys_df, keys), keys, "left_semi")
+    return df.join(keys_df.select(*keys), keys, "left_semi")
 
 
 def attach_snapshot(facts: DataFrame, base: DataFrame, keys: Sequence[str],

@@ -288,14 +288,3 @@ def flag_wildcard(target: DataFrame, staged: DataFrame, key: str, wild_key: str,
     if mark:
         out = out.withColumn(ACTION, F.when(sel, F.lit(UPDATED)).otherwise(F.lit(KEPT)))
     return out.drop("_hit")
-
-
-def load_counts(staged: DataFrame, inserted: DataFrame, updated: DataFrame) -> dict:
-    """A10: row counts of one load -- three global counts evaluated in one
-    job (each a partial aggregate; one-row results are cross joined)."""
-    r = (staged.agg(F.count(F.lit(1)).alias("linhas_origem"))
-         .crossJoin(inserted.agg(F.count(F.lit(1)).alias("linhas_inseridas")))
-         .crossJoin(updated.agg(F.count(F.lit(1)).alias("linhas_atualizadas")))).first()
-    i, u = int(r["linhas_inseridas"]), int(r["linhas_atualizadas"])
-    return {"linhas_origem": int(r["linhas_origem"]), "linhas_inseridas": i,
-            "linhas_atualizadas": u, "linhas_totais_destino": i + u}

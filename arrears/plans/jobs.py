@@ -66,6 +66,7 @@ def due(spark: SparkSession, path: str, star: Sequence[DataFrame], base360: Data
     """M8: Vencimentos360; inserts and cancellations in one pass over its day."""
     staged, rows = _observed(marts.due_mart(*star, base360, as_of))
     staged = io.stage(staged, path + "#due")
+    mg.require_unique(staged, marts.FACT_KEY)
     table = ranges.DayTable(spark, path, "data_vencimento", staged.schema)
     table.sweep()
     days = table.touched(staged)

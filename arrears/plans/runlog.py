@@ -8,6 +8,7 @@ partial aggregate (``max`` of a struct), never by updating in place.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import time
 import traceback
 import uuid
@@ -181,6 +182,58 @@ def log_published(spark: SparkSession, run_id: str, job: str, source: str, targe
         io.append(finish_run(spark, run_id, job, opened or at, at, ok=True), log_paths["runs"])
 
 
+# ---- compaction ------------------------------------------------------------
+
+def compact(spark: SparkSession, path: str, schema: T.StructType) -> int:
+    """Replace the files of an append-only log by one; returns how many it had.
+
+    The log of runs keeps the latest row of each run, which is its state; the
+    others keep all rows.  Rows appended meanwhile stay as the tail.  The new
+    file is written beside the log; then a plan (what comes, what goes) is put
+    down, and only then files move: ``recover_compaction`` carries out a plan
+    that a job left behind, and a file without a plan is dropped.  Until the old
+    files are gone a reader may see a run's state twice, which ``run_status``
+    counts once.
+    """
+    from arrears.sources.ranges import _path, write_text
+    recover_compaction(spark, path)
+    p, fs = _path(spark, path)
+    old = [f.getPath().getName() for f in fs.listStatus(p) if f.getPath().getName().endswith(".parquet")] if fs.exists(p) else []
+    if len(old) < 2:
+        return len(old)
+    rows = spark.read.schema(schema).parquet(*(f"{path.rstrip('/')}/{name}" for name in old))
+    if schema == RUN_SCHEMA:
+        rest = [c for c in rows.columns if c not in ("id_execucao", "registrado_em")]
+        latest = rows.groupBy("id_execucao").agg(F.max(F.struct("registrado_em", "data_hora_fim", *(c for c in rest if c != "data_hora_fim"))).alias("r"))
+        rows = latest.select("id_execucao", "r.*").select(*rows.columns)
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{_COMPACT}/rows")
+    write_text(spark, f"{path.rstrip('/')}/{_COMPACT}/plan.json", json.dumps(old))
+    recover_compaction(spark, path)
+    return len(old)
+
+
+_COMPACT = "_compact"
+
+
+def recover_compaction(spark: SparkSession, path: str) -> None:
+    """Carry out the plan of a compaction that has one, drop one that has none."""
+    from arrears.sources.ranges import _path, read_text
+    base = f"{path.rstrip('/')}/{_COMPACT}"
+    p, fs = _path(spark, base)
+    if not fs.exists(p):
+        return
+    jpath, plan = spark._jvm.org.apache.hadoop.fs.Path, read_text(spark, f"{base}/plan.json")
+    if plan is not None:
+        rows = jpath(f"{base}/rows")
+        for f in (fs.listStatus(rows) if fs.exists(rows) else []):
+            name = f.getPath().getName()
+            if name.endswith(".parquet"):
+                fs.rename(f.getPath(), jpath(path, name))
+        for name in json.loads(plan):
+            fs.delete(jpath(path, name), False)
+    fs.delete(p, True)
+
+
 class _Stage:
     """Names the stage a job is in; ``run_id`` is its run."""
 

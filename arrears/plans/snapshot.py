@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arrears.functions import derive as X
-from arrears.operators.joins import snapshot_id
+from arrears.operators.joins import reduce_by_keys, snapshot_id
 
 MONEY = "decimal(19,4)"
 OPEN = "A"
@@ -56,25 +56,28 @@ def open_instalments(parcelas: DataFrame, as_of, parcelas_info: DataFrame | None
 def base_snapshot(open_inst: DataFrame, titulos: DataFrame, devedores: DataFrame,
                   carteiras: DataFrame, titulos_info: DataFrame | None = None,
                   escob: DataFrame | None = None, propensao: DataFrame | None = None,
-                  produtos: DataFrame | None = None) -> DataFrame:
+                  produtos: DataFrame | None = None, open_keys: DataFrame | None = None) -> DataFrame:
     """M1: one row per open contract with debtor, portfolio, product and
     normalised score.
 
     The contract-keyed sides (instalments, contract, extra info, the two
     score tables) are joined first, all on ``id_titulo`` -- Spark shuffles
     each once on that key and the sort-merge joins share the partitioning.
-    Contract and score tables are semi-reduced by the open-contract keys
-    (J15) by the inner join itself; Spark adds a runtime bloom filter when
-    selective.  Then one shuffle on ``id_devedor`` for the debtor, and the
+    With ``open_keys``, the filtered scan of open instalments, these sides are
+    first reduced to its contracts (J15): Spark drops their other rows by a
+    bloom filter before it shuffles them.  Then one shuffle on ``id_devedor`` for the debtor, and the
     portfolio / product dimensions are left to Spark to broadcast when small.
     """
     t_cols = ["id_titulo", "id_devedor", "numero_contrato", "plano"]
     t_cols += [c for c in ("id_carteira", "id_produto") if c in titulos.columns]
-    df = open_inst.join(titulos.select(*t_cols), "id_titulo", "inner")
+    def reduced(side: DataFrame) -> DataFrame:
+        return side if open_keys is None else reduce_by_keys(side, open_keys, "id_titulo")
+
+    df = open_inst.join(reduced(titulos.select(*t_cols)), "id_titulo", "inner")
     if titulos_info is not None:
         info = titulos_info.select("id_titulo", "valor_contrato_atualizado", "area_negocio",
                                    "codigo_cluster_score")
-        df = df.join(info, "id_titulo", "left")
+        df = df.join(reduced(info), "id_titulo", "left")
     else:
         df = df.withColumns({"valor_contrato_atualizado": F.lit(None).cast(MONEY),
                              "area_negocio": F.lit(None).cast("string"),
@@ -82,7 +85,7 @@ def base_snapshot(open_inst: DataFrame, titulos: DataFrame, devedores: DataFrame
     score_cols = [F.col("codigo_cluster_score")]
     for name, tbl in (("_esc", escob), ("_prop", propensao)):
         if tbl is not None:
-            df = df.join(tbl.select("id_titulo", F.col("cluster").alias(name)), "id_titulo", "left")
+            df = df.join(reduced(tbl.select("id_titulo", F.col("cluster").alias(name))), "id_titulo", "left")
             score_cols.append(F.col(name))
     d_cols = ["id_devedor", "cnpj_cpf", "razao_social_nome"]
     d_cols += [c for c in ("id_carteira",) if c in devedores.columns and c not in df.columns]

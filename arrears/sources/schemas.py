@@ -188,6 +188,31 @@ CHAR_COLUMNS = {
     "devedores": ["cnpj_cpf", "rg"],
 }
 
+#: How the server compares text: without regard to case and trailing blanks.
+SERVER_TEXT = "UTF8_LCASE_RTRIM"
+#: Text columns that jobs compare: keys, states and codes.
+COMPARED = {
+    "devedores": ["cnpj_cpf"], "dialer_calls": ["cpf_cnpj"], "digital_calls": ["cpf_cnpj"], "parcelas": ["id_situacao_parcela"],
+    "titulos_info": ["codigo_cluster_score", "area_negocio"], "escob": ["cluster"], "propensao": ["cluster"],
+    "ligacoes": ["id_origem_ligacao"], "origens_ligacoes": ["id_origem_ligacao"],
+}
+
+
+def as_server_text(df, name: str):
+    """The compared text columns of a table with the server's collation, so
+    that joins, lists, groups and anti joins on them ignore case and trailing
+    blanks as there.  Such a compare is not pushed to a Parquet scan as a plain
+    one would be (its row groups are ordered by bytes): use it where the text
+    needs it."""
+    from pyspark.sql import functions as F
+    return df.withColumns({c: F.collate(F.col(c), SERVER_TEXT) for c in COMPARED.get(name, []) if c in df.columns})
+
+
+def as_plain_text(df):
+    """Collated columns as plain strings, for output."""
+    from pyspark.sql import functions as F
+    return df.withColumns({f.name: F.collate(F.col(f.name), "UTF8_BINARY") for f in df.schema if isinstance(f.dataType, T.StringType)})
+
 
 def schema(name: str) -> T.StructType:
     """The declared ``StructType`` of a warehouse table."""

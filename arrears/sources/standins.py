@@ -400,3 +400,63 @@ def titulos_carteira(t: DriverTables) -> DataFrame:
     """Contracts with the portfolio of their debtor."""
     c = t.customer.select(F.col("c_custkey").alias("id_devedor"), F.col("c_nationkey").alias("id_carteira"))
     return titulos(t).join(c, "id_devedor")
+
+
+# ------------------------------------------------- variants of single rules
+
+def produtos(t: DriverTables) -> DataFrame:
+    """Products of the contracts; that of low priority is not in the table."""
+    o = t.orders.filter(F.col("o_orderpriority") != "5-LOW")
+    return o.select((_digit("o_orderpriority").cast("int") + F.lit(5)).alias("id_produto"), F.col("o_orderpriority").alias("produto")).distinct()
+
+
+def _parcela_id() -> F.Column:
+    return F.col("l_orderkey") * 10 + F.col("l_linenumber")
+
+
+def parcelas_com_id(t: DriverTables) -> DataFrame:
+    """Instalments with an id and without the reopening date, which ``parcelas_info`` has."""
+    return parcelas(t).withColumn("id_parcela", F.col("id_titulo") * 10 + F.col("numero_parcela")).drop("data_reabertura")
+
+
+def parcelas_info(t: DriverTables) -> DataFrame:
+    back = t.lineitem.filter(F.col("l_returnflag") == "R")
+    return back.groupBy(_parcela_id().alias("id_parcela")).agg(F.max(F.col("l_shipdate") - _days(7)).alias("data_reabertura"))
+
+
+def parcelas_devolvidas(t: DriverTables) -> DataFrame:
+    """Instalments of which the returned ones went back the day before the
+    contract clock, and only large open ones are still active."""
+    l = t.lineitem
+    return l.select(
+        F.col("l_orderkey").alias("id_titulo"),
+        F.when((F.col("l_linestatus") == "O") & (F.col("l_quantity") > 48), "A").otherwise("P").alias("id_situacao_parcela"),
+        F.when(F.col("l_returnflag") == "R", F.lit(CONTRACT_AS_OF).cast("timestamp_ntz") - F.make_dt_interval(F.lit(0), F.col("l_linenumber"))).alias("data_devolucao"))
+
+
+def untidy(c: F.Column, by: F.Column) -> F.Column:
+    """Text as people type it: some in lower case, some with trailing blanks."""
+    return F.when(by == "P", F.concat(F.lower(c), F.lit("  "))).when(by == "O", F.concat(c, F.lit(" "))).otherwise(c)
+
+
+def untidy_titulos_info(t: DriverTables) -> DataFrame:
+    by = t.orders.select(F.col("o_orderkey").alias("id_titulo"), F.col("o_orderstatus").alias("_by"))
+    d = titulos_info(t).join(by, "id_titulo")
+    return d.withColumns({c: untidy(F.col(c), F.col("_by")) for c in ("area_negocio", "codigo_cluster_score")}).drop("_by")
+
+
+def untidy_cluster(t: DriverTables, table: DataFrame) -> DataFrame:
+    by = t.orders.select(F.col("o_orderkey").alias("id_titulo"), F.col("o_orderstatus").alias("_by"))
+    return table.join(by, "id_titulo").withColumn("cluster", untidy(F.col("cluster"), F.col("_by"))).drop("_by")
+
+
+def untidy_parcelas(t: DriverTables) -> DataFrame:
+    l = parcelas(t)
+    return l.withColumn("id_situacao_parcela", F.when(F.col("numero_parcela") > 3, F.concat(F.lower("id_situacao_parcela"), F.lit(" "))).otherwise(F.col("id_situacao_parcela")))
+
+
+def named_calls(t: DriverTables) -> DataFrame:
+    """Calls that carry their debtor's name as typed."""
+    name = F.concat(F.lit("customer#"), F.lpad(F.col("user_id").cast("string"), 9, "0"))
+    typed = F.when(F.col("event_type") == "click", F.concat(F.upper(name), F.lit(" "))).when(F.col("event_type") == "view", F.initcap(name)).otherwise(name)
+    return t.events.select(F.col("event_id").alias("id_ligacao"), typed.alias("razao_social_nome"))
