@@ -34,14 +34,11 @@ def run_day(spark, sf_dir: str, wh: str, as_of: dt.datetime) -> dict:
     occ = S.ocorrencias(t).filter(F.col("data_ocorrencia") <= X.ts_lit(as_of))
     occ_path = f"{wh}/ocorrencias"
     occ_schema = occ.withColumn("part", io.key_range("id_ocorrencia", 1)).schema
-    if not _exists(spark, occ_path, occ_schema):
-        (occ.filter(F.lit(False)).withColumn("part", io.key_range("id_ocorrencia", OCCURRENCE_RANGE))
-         .write.partitionBy("part").parquet(occ_path))
     spec = loads.TableLoad("ProcOcorrencias", "oco.Ocorrencias", "Ocorrencias", ["id_ocorrencia"],
                            loads.ID_OR_DATE, loads.INSERT_ONLY, id_col="id_ocorrencia",
                            date_col="data_ocorrencia", watermark_form="forward", range_width=OCCURRENCE_RANGE,
                            target_schema=occ_schema)
-    runs = (runlog.run_status(spark.read.parquet(logs["runs"])) if _exists(spark, logs["runs"], runlog.RUN_SCHEMA)
+    runs = (runlog.run_status(spark.read.parquet(logs["runs"])) if io.exists(spark, logs["runs"])
             else None)
     out["ocorrencias"] = spec.run(spark, occ, occ_path, runs, logs, as_of)
 
@@ -94,15 +91,6 @@ def run_day(spark, sf_dir: str, wh: str, as_of: dt.datetime) -> dict:
     return out
 
 
-def _exists(spark, path: str, schema) -> bool:
-    """Whether a table folder was created (it may hold no rows yet)."""
-    try:
-        spark.read.schema(schema).parquet(path)
-        return True
-    except Exception:  # noqa: BLE001 - path not found
-        return False
-
-
 if __name__ == "__main__":
     from arrears.session import build_session
     sf, wh, day = sys.argv[1], sys.argv[2], dt.datetime.fromisoformat(sys.argv[3])
