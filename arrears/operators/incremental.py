@@ -122,11 +122,11 @@ def _version_ts(watermark) -> Column:
     return w.cast("timestamp_ntz")
 
 
-def _value(df: DataFrame, scalar: Column):
-    """The one value of a scalar, read before the plan is built: the filter
-    on the source is then a plain comparison with a literal, which reaches
-    its scan."""
-    return df.sparkSession.range(1).select(scalar.alias("v")).first()["v"]
+def _values(df: DataFrame, *scalars: Column) -> tuple:
+    """The values of scalars, read in one job before the plan is built: the
+    filter on the source is then a plain comparison with literals, which
+    reaches its scan."""
+    return tuple(df.sparkSession.range(1).select(*(s.alias(f"v{i}") for i, s in enumerate(scalars))).first())
 
 
 def _at_or_after(col: str, w) -> Column:
@@ -142,10 +142,10 @@ def extract_new_or_changed(source: DataFrame, target: DataFrame, id_col: str,
     ``on_null_watermark="all"`` and none of the version branch with
     ``"none"`` -- the reference's behaviour (D3).
     """
-    w = _value(source, _version_ts(watermark))
+    w, highest = _values(source, _version_ts(watermark), high_water(target, id_col))
     if w is None and on_null_watermark == "all":
         return source.distinct()
-    hw = F.lit(_value(source, high_water(target, id_col)))
+    hw = F.lit(highest)
     cond = F.col(id_col) >= hw if inclusive else F.col(id_col) > hw
     return source.filter(cond if w is None else cond | _at_or_after(version_col, w)).distinct()
 
@@ -155,10 +155,9 @@ def extract_id_or_date(source: DataFrame, target: DataFrame, id_col: str,
                        on_null_watermark: str = "all") -> DataFrame:
     """By id above the target's maximum when the target has rows,
     else by date from the watermark."""
-    m = _value(source, target.agg(F.max(id_col).alias("m")).scalar())
+    m, w = _values(source, target.agg(F.max(id_col).alias("m")).scalar(), _version_ts(watermark))
     if m is not None:
         return source.filter(F.col(id_col) > F.lit(m))
-    w = _value(source, _version_ts(watermark))
     if w is None:
         return source if on_null_watermark == "all" else source.filter(F.lit(False))
     return source.filter(_at_or_after(date_col, w))
@@ -227,7 +226,7 @@ def extract_instalments(source: DataFrame, target: DataFrame, keys: Sequence[str
     """H9 + F11: on the first load (empty target) open rows or rows changed
     since the watermark; afterwards rows changed or included since the
     watermark that the target does not hold with the same version."""
-    w = _value(source, _version_ts(watermark))
+    w, = _values(source, _version_ts(watermark))
     if target_is_empty(target):
         open_ = F.col(state_col) == F.lit(open_value)
         return source.filter(open_ if w is None else open_ | _at_or_after(version_col, w))
