@@ -150,9 +150,11 @@ class _Forward:
 def read_records(files: DataFrame) -> DataFrame:
     """One row per record, checksums checked: ``doc_id``, ``start`` (ids of all
     records before it), ``n_tokens``, ``ids_crc32`` (of 32-bit ids)."""
+    n_files = files.count()
     before = F.sum("n_tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))  # one row a file
     files = files.select("part", "path", F.coalesce(before, F.lit(0)).alias("start"))
-    return files.repartition("part").mapInArrow(_reader, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    # a number given, AQE does not put the few small rows into one task: a task reads about one file
+    return files.repartition(max(1, n_files), "part").mapInArrow(_reader, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def record_at(path: str, i: int) -> tuple[int | None, np.ndarray]:
