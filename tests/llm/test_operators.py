@@ -111,6 +111,21 @@ def test_words_of_one_class_have_their_own_probability(spark):
     assert got[3].log_likelihood == got[None].log_likelihood == 0 and got[3].n_tokens == 0
 
 
+def test_training_shuffles_texts_as_a_byte_a_word(spark, monkeypatch):
+    """The rounds' groups hold texts, not an example for every word; joined words count as those that tasks hold."""
+    docs = spark.read.parquet(SMALL + "/documents.parquet").select("doc_id", "text")
+    seen, table = {}, common.Scratch.table
+    monkeypatch.setattr(common.Scratch, "table", lambda self, df, name: seen.setdefault(name, table(self, df, name)))
+    monkeypatch.setattr(common.Scratch, "drop", lambda self, name: None)
+    model = pseudo_likelihood.fit(docs, common.Scratch(spark, "t"))
+    words = docs.selectExpr("sum(size(regexp_extract_all(text, '[^\\\\x20\\\\x09-\\\\x0D]+', 0)))").first()[0]
+    assert seen["classes"].count() <= docs.count() and seen["classes"].selectExpr("sum(times * length(classes))").first()[0] == words
+    near = {r.doc_id: r.log_likelihood for r in pseudo_likelihood.scored(docs, model).collect()}
+    monkeypatch.setattr(pseudo_likelihood, "NEAR", 10)
+    far = {r.doc_id: r.log_likelihood for r in pseudo_likelihood.scored(docs, model, scratch=common.Scratch(spark, "t")).collect()}
+    assert far == pytest.approx(near)
+
+
 # 3
 
 def test_near_duplicates_match_brute_force(spark, small):
