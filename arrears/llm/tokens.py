@@ -3,7 +3,9 @@
 Words repeat far more often than texts do, so ids are kept by chunk.  A chunk
 is a stretch between places where the tokenizer's own pre-tokenizer always
 cuts, so the ids of a text are the chunks' ids one after the other (tested
-against encoding whole texts).  The store has two generations of about
+against encoding whole texts).  New chunks are encoded many at a time as one
+text, cut again where a token starts with the space before a chunk, or at a
+digit put between chunks that have none.  The store has two generations of about
 ``MOST_CHUNKS`` entries, the older of which goes when the younger is full; it
 only saves time.
 """
@@ -21,6 +23,10 @@ from tokenizers import Tokenizer
 MOST_CHUNKS = 700_000
 #: Longer chunks are encoded but not kept.
 LONGEST_KEPT = 64
+#: Chunks encoded as one text.
+TOGETHER = 512
+#: Stands between words that do not hold it.
+MARK = "0"
 _ODD_SPACE = re.compile(r" (?!\S)")
 _INNER_SPACE = re.compile(r" (?=\S)")
 
@@ -46,6 +52,13 @@ class Encoder:
         self.words = any(x.get("behavior") == "Removed" and "\\s" in str(x.get("pattern")) for x in before.get("pretokenizers", []))
         self.lower = any(x.get("type") == "Lowercase" for x in (made.get("normalizer") or {}).get("normalizers", [])) and not any(
             t["content"].lower() != t["content"] for t in made.get("added_tokens", []))
+        self.added = [t["content"] for t in made.get("added_tokens", [])]
+        vocab = self.tokenizer.get_vocab()
+        self.starts = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        if self.spaced:
+            self.starts[[i for x, i in vocab.items() if x.startswith("\u0120")]] = True  # the sign of a space at byte level
+        mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if self.words and len(mark) == 1 and MARK in self.tokenizer.id_to_token(mark[0]) else None
         # first chunks and later ones; what an older store had moves over when it is seen again
         self.young: list[dict[str, bytes]] = [{}, {}]
         self.old: list[dict[str, bytes]] = [{}, {}]
@@ -97,19 +110,42 @@ class Encoder:
 
     def _encode(self, kind: int, new: list[str], prefix: str) -> None:
         young = self.young[kind]
-        for x, e in zip(new, self.tokenizer.encode_batch_fast([prefix + x for x in new], add_special_tokens=False)):
+        if kind and self.spaced:
+            plain = [x for x in new if x and " " not in x and x.strip() == x]
+        else:
+            plain = [x for x in new if x and MARK not in x] if kind and self.mark is not None else []
+        for i in range(0, len(plain), TOGETHER):
+            young.update(self._together(plain[i:i + TOGETHER], prefix))
+        alone = [x for x in new if x not in young]
+        for x, e in zip(alone, self.tokenizer.encode_batch_fast([prefix + x for x in alone], add_special_tokens=False)):
             young[x] = array(self.dtype.char, e.ids).tobytes()
-            if len(x) > LONGEST_KEPT:
-                self.long.append((kind, x))
+        self.long += [(kind, x) for x in new if len(x) > LONGEST_KEPT]
+
+    def _together(self, chunks: list[str], prefix: str) -> dict[str, bytes]:
+        """The ids of chunks encoded as one text; nothing if it can't be cut again."""
+        text = prefix + (" " if self.spaced else f" {MARK} ").join(chunks)
+        if any(t in text for t in self.added):
+            return {}
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+        if self.spaced:
+            first = np.flatnonzero(self.starts[ids])
+            last = np.append(first[1:], len(ids))
+        else:
+            at = np.flatnonzero(ids == self.mark)
+            first, last = np.append(0, at + 1), np.append(at, len(ids))
+        if len(first) != len(chunks) or first[0]:
+            return {}
+        data, size = ids.tobytes(), self.dtype.itemsize
+        return {x: data[a:b] for x, a, b in zip(chunks, (first * size).tolist(), (last * size).tolist())}
 
     def _joined(self, kind: int, lists: list[list[str]], prefix: str) -> list[bytes]:
-        got = [list(map(self.young[kind].get, r)) for r in lists]
-        new = {x for r, g in zip(lists, got) if None in g for x, ids in zip(r, g) if ids is None}
+        chunks = set().union(*lists)
+        new = chunks.difference(self.young[kind])
         if new:
             self._learn(kind, new, prefix)
-            store = self.young[kind]
-            got = [[store[x] if ids is None else ids for x, ids in zip(r, g)] if None in g else g for r, g in zip(lists, got)]
-        return [b"".join(g) for g in got]
+        young, old = self.young[kind], self.old[kind]
+        here = {x: young[x] if x in young else old[x] for x in chunks}
+        return [b"".join(map(here.__getitem__, r)) for r in lists]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self._chunks(t) for t in texts]

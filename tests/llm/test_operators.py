@@ -309,6 +309,37 @@ def test_chunks_encode_like_whole_texts(texts):
         assert got == [x.ids for x in e.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+@given(st.lists(st.lists(st.text(st.sampled_from("ab0\u01203'.é中\u0301\n\t<|endoftext|>"), max_size=6), max_size=12).map(" ".join), max_size=4))
+@settings(max_examples=200, deadline=None)
+def test_chunks_encoded_together_are_cut_again(texts):
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        e = Encoder.at(tokenizer_path(name))
+        e.young, e.old = [{}, {}], [{}, {}]  # all chunks are new
+        got = [np.frombuffer(x, e.dtype).tolist() for x in e.encode(texts)]
+        assert got == [x.ids for x in e.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_new_chunks_are_encoded_many_at_a_time(monkeypatch, name):
+    monkeypatch.setattr("arrears.llm.tokens.MOST_CHUNKS", 1500)  # the store turns over between texts
+    e = Encoder(tokenizer_path(name))
+    rng, real, seen = np.random.default_rng(4), e.tokenizer, []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            seen.append(len(texts))
+            return real.encode_batch_fast(texts, **options)
+
+        def encode(self, text, **options):
+            return real.encode(text, **options)
+    texts = [" ".join("w" + "".join(rng.choice(list("abcdefgh"), 6)) for _ in range(1000)) + f" again {i % 2}" for i in range(6)]
+    texts += texts[:3]
+    e.tokenizer = Counting()
+    got = [np.frombuffer(e.encode([t])[0], e.dtype).tolist() for t in texts]
+    assert got == [x.ids for x in real.encode_batch(texts, add_special_tokens=False)]
+    assert sum(seen) < 100
+
+
 # 7
 
 def every_segmentation(lattice, s):
