@@ -4,8 +4,10 @@ Words repeat far more often than texts do, so ids are kept by chunk.  A chunk
 is a stretch between places where the tokenizer's own pre-tokenizer always
 cuts, so the ids of a text are the chunks' ids one after the other (tested
 against encoding whole texts).  New chunks are encoded many at a time as one
-text, cut again where a token starts with the space before a chunk, or at a
-digit put between chunks that have none.  The store has two generations of about
+text, cut again where a token starts with the white space before a chunk, or at a
+digit put between chunks that have none.  Arrow cuts texts, finds the distinct
+chunks and lines up their ids; only texts with white space in a row are cut in
+Python.  The store has two generations of about
 ``MOST_CHUNKS`` entries, the older of which goes when the younger is full; it
 only saves time.
 """
@@ -18,9 +20,11 @@ from array import array
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-MOST_CHUNKS = 700_000
+MOST_CHUNKS = 300_000
 #: Longer chunks are encoded but not kept.
 LONGEST_KEPT = 64
 #: Chunks encoded as one text.
@@ -56,7 +60,7 @@ class Encoder:
         vocab = self.tokenizer.get_vocab()
         self.starts = np.zeros(max(vocab.values(), default=0) + 1, bool)
         if self.spaced:
-            self.starts[[i for x, i in vocab.items() if x.startswith("\u0120")]] = True  # the sign of a space at byte level
+            self.starts[[i for x, i in vocab.items() if x.startswith(("\u0120", "\u010a"))]] = True  # the signs of a space and a line break at byte level
         mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.mark = mark[0] if self.words and len(mark) == 1 and MARK in self.tokenizer.id_to_token(mark[0]) else None
         # first chunks and later ones; what an older store had moves over when it is seen again
@@ -111,19 +115,19 @@ class Encoder:
     def _encode(self, kind: int, new: list[str], prefix: str) -> None:
         young = self.young[kind]
         if kind and self.spaced:
-            plain = [x for x in new if x and " " not in x and x.strip() == x]
+            plain = [x for x in new if (y := x[1:] if x[:1] == "\n" else x) and "\n" not in y and " " not in y and y.strip() == y]
         else:
             plain = [x for x in new if x and MARK not in x] if kind and self.mark is not None else []
         for i in range(0, len(plain), TOGETHER):
             young.update(self._together(plain[i:i + TOGETHER], prefix))
         alone = [x for x in new if x not in young]
-        for x, e in zip(alone, self.tokenizer.encode_batch_fast([prefix + x for x in alone], add_special_tokens=False)):
+        for x, e in zip(alone, self.tokenizer.encode_batch_fast([self._whole(x, prefix) for x in alone], add_special_tokens=False)):
             young[x] = array(self.dtype.char, e.ids).tobytes()
         self.long += [(kind, x) for x in new if len(x) > LONGEST_KEPT]
 
     def _together(self, chunks: list[str], prefix: str) -> dict[str, bytes]:
         """The ids of chunks encoded as one text; nothing if it can't be cut again."""
-        text = prefix + (" " if self.spaced else f" {MARK} ").join(chunks)
+        text = "".join([self._whole(x, prefix) for x in chunks]) if self.spaced else f" {MARK} ".join(chunks)
         if any(t in text for t in self.added):
             return {}
         ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
@@ -147,11 +151,57 @@ class Encoder:
         here = {x: young[x] if x in young else old[x] for x in chunks}
         return [b"".join(map(here.__getitem__, r)) for r in lists]
 
+    @staticmethod
+    def _whole(chunk: str, prefix: str) -> str:
+        """A chunk with the space before it, unless a line break is there."""
+        return chunk if not chunk or chunk[0] == "\n" else prefix + chunk
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self._chunks(t) for t in texts]
-        head = self._joined(0, [[h] for h, _ in cut], "")
-        rest = self._joined(1, [r for _, r in cut], " " if self.spaced else "")
+        if not (self.words or self.spaced):
+            return self._listed(texts)
+        if self.words:
+            plain = pa.array(texts, pa.large_string())
+            plain = pc.replace_substring(plain, "\n", " ")
+            if self.lower:  # as in _chunks
+                plain = pc.if_else(pc.string_is_ascii(plain), pc.ascii_lower(plain), plain)
+            return self._split(plain, "", 0)
+        # white space in a row may be one token: only a single break or space is cut at
+        odd = [i for i, t in enumerate(texts) if "\n\n" in t or t[:1].isspace() or _ODD_SPACE.search(t)]
+        if not odd:
+            return self._broken(texts)
+        rest = sorted(set(range(len(texts))).difference(odd))
+        out = dict(zip(odd, self._listed([texts[i] for i in odd]))) | dict(zip(rest, self._broken([texts[i] for i in rest])))
+        return [out[i] for i in range(len(texts))]
+
+    def _broken(self, texts: list[str]) -> list[bytes]:
+        """Of texts cut before every space and line break; a break put before a text is taken off again."""
+        plain = pc.replace_substring(pa.array(["\n" + t for t in texts], pa.large_string()), "\n", " \n")
+        return self._split(plain, " ", len(self._ids("\n")))
+
+    def _split(self, plain: pa.Array, prefix: str, skip: int) -> list[bytes]:
+        lists = pc.split_pattern(plain, " ")
+        coded = lists.flatten().dictionary_encode()
+        chunks = coded.dictionary.to_pylist()
+        new = {x for x in chunks if x not in self.young[1]}
+        if new:
+            self._learn(1, new, prefix)
+        young, old = self.young[1], self.old[1]
+        ids = pa.array([young[x] if x in young else old[x] for x in chunks], pa.large_binary()).take(coded.indices)
+        self._forget()
+        if not len(ids):
+            return [b""] * len(plain)
+        cuts = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset:ids.offset + len(ids) + 1][np.asarray(lists.offsets) - lists.offsets[0].as_py()]
+        data = ids.buffers()[2].to_pybytes() if ids.buffers()[2] else b""
+        return [data[a + skip:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+
+    def _forget(self) -> None:
         for kind, x in self.long:
             self.young[kind].pop(x, None)
         self.long.clear()
+
+    def _listed(self, texts: list[str]) -> list[bytes]:
+        cut = [self._chunks(t) for t in texts]
+        head = self._joined(0, [[h] for h, _ in cut], "")
+        rest = self._joined(1, [r for _, r in cut], " " if self.spaced else "")
+        self._forget()
         return [a + b for a, b in zip(head, rest)]
