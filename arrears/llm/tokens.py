@@ -8,7 +8,7 @@ text, cut again where a token starts with the white space before a chunk, or at
 digit put between chunks that have none.  Arrow cuts texts, finds the distinct
 chunks and lines up their ids; only texts with white space in a row are cut in
 Python.  The store has two generations of about
-``MOST_CHUNKS`` entries, the older of which goes when the younger is full; it
+``MOST_CHUNKS`` entries (``MOST_WORDS``, where white space is dropped), the older of which goes when the younger is full; it
 only saves time.
 """
 
@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-MOST_CHUNKS = 300_000
+MOST_CHUNKS, MOST_WORDS = 300_000, 700_000
 #: Longer chunks are encoded but not kept.
 LONGEST_KEPT = 64
 #: Chunks encoded as one text.
@@ -86,7 +86,7 @@ class Encoder:
         return text, []
 
     def _learn(self, kind: int, chunks: set[str], prefix: str) -> None:
-        if len(self.young[kind]) > MOST_CHUNKS:
+        if len(self.young[kind]) > (MOST_WORDS if self.words else MOST_CHUNKS):
             self.young[kind], self.old[kind] = {}, self.young[kind]
         young, old = self.young[kind], self.old[kind]
         split, new = [], set()

@@ -321,7 +321,8 @@ def test_chunks_encoded_together_are_cut_again(texts):
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_new_chunks_are_encoded_many_at_a_time(monkeypatch, name):
-    monkeypatch.setattr("arrears.llm.tokens.MOST_CHUNKS", 1500)  # the store turns over between texts
+    for most in ("MOST_CHUNKS", "MOST_WORDS"):
+        monkeypatch.setattr(f"arrears.llm.tokens.{most}", 1500)  # the store turns over between texts
     e = Encoder(tokenizer_path(name))
     rng, real, seen = np.random.default_rng(4), e.tokenizer, []
 
