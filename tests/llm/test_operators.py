@@ -126,6 +126,35 @@ def test_training_shuffles_texts_as_a_byte_a_word(spark, monkeypatch):
     assert far == pytest.approx(near)
 
 
+def test_training_without_a_shift_is_plain_adam(monkeypatch):
+    """Outputs within SAFE are not shifted, larger ones are; both as by Adam written plainly."""
+    rng, m = np.random.default_rng(2), pseudo_likelihood
+    context, y, weight = rng.integers(0, m.CLASSES + 1, (700, 2 * m.SIDE)).astype(np.uint8), rng.integers(0, m.CLASSES, 700).astype(np.uint8), rng.random(700) + 0.5
+    order, theta = np.random.default_rng(5).permutation(700), m.flat(m.initial()).astype(np.float64)
+    first, second = np.zeros_like(theta), np.zeros_like(theta)
+    for step, i in enumerate(range(0, 700, m.BATCH), 1):
+        at = order[i:i + m.BATCH]
+        p, n, g = {k: v.astype(np.float64) for k, v in m.unflat(theta).items()}, len(at), {}
+        x, h, z = m.forward(p, context[at])
+        dz = np.exp(z)
+        dz[np.arange(n), y[at]] -= 1
+        dz *= weight[at][:, None] / n
+        dh = dz @ p["w2"].T * (1 - h * h)
+        g = {"embed": np.zeros(m.SHAPES["embed"]), "w1": x.T @ dh, "b1": dh.sum(axis=0), "w2": h.T @ dz, "b2": dz.sum(axis=0)}
+        np.add.at(g["embed"], context[at].ravel(), (dh @ p["w1"].T).reshape(-1, m.WIDTH))
+        g = m.flat(g)
+        first, second = 0.9 * first + 0.1 * g, 0.99 * second + 0.01 * g * g
+        theta -= 0.01 / (1 - 0.9**step) * first / (np.sqrt(second / (1 - 0.99**step)) + 1e-6)
+    for safe in (m.SAFE, -1.0):
+        monkeypatch.setattr(m, "SAFE", safe)
+        assert m.flat(m.train(m.initial(), context, y, 0.01, 5, weight)) == pytest.approx(theta, abs=2e-4)
+    p = m.initial()
+    p["w2"] *= 100
+    p["b2"][3] = 200
+    assert m.most(np.vstack([p["w2"], p["b2"]])) >= np.abs(np.tanh(rng.normal(0, 9, (50, m.HIDDEN))) @ p["w2"] + p["b2"]).max() > 100
+    assert np.isfinite(m.flat(m.train(p, context, y, 0.01, 5, weight))).all()
+
+
 # 3
 
 def test_near_duplicates_match_brute_force(spark, small):
