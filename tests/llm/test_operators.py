@@ -2,17 +2,21 @@
 import hashlib
 import re
 import struct
+import time
 import zlib
 from collections import defaultdict
+from itertools import combinations
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from arrears.llm import block_naming, common, fuzzy_lines, hamming_join, nbest, packing, pii, pseudo_likelihood, records, rule_ensemble, shingles
+from arrears.llm import block_naming, char_shingles, common, fuzzy_lines, hamming_join, nbest, packing, pii, pseudo_likelihood, records, rule_ensemble, shingles
 from arrears.llm.queries import ORACLE, QUERIES
 from arrears.llm.tokens import Encoder, tokenizer_path
 from arrears.llm.trees import auc, boost, sigmoid, values
@@ -302,6 +306,59 @@ def test_crowded_buckets_lose_no_link(spark, monkeypatch):
     assert got[2] == got[1 << 30] >= set(range(1, 120, 2))
 
 
+def test_scratch_tables_leave_no_shuffle_files(spark, tmp_path):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {x for x in (str(f) for f in disk.getAllFiles().mkString("\n").split("\n")) if "shuffle_" in x}
+    before, setting = files(), spark.conf.get(common.CLEAN_UP, None)
+    t = common.Scratch(spark, "t").table(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().repartition(5, "k"), "x")
+    until = time.monotonic() + 20
+    while files() - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not files() - before and spark.conf.get(common.CLEAN_UP, None) == setting
+    assert t.count() == 7
+
+
+def bucket_rows(rng, buckets):
+    """``key, lid, comp, n, sig, line`` of made-up buckets in order, lines of a bucket alike in parts."""
+    rows = []
+    width = fuzzy_lines.ROWS
+    for i, (j, size) in enumerate(buckets):
+        lines = ["".join(rng.choice(list("abcdefgh "), 200)) for _ in range(3)]
+        texts = [x[:k] + "".join(rng.choice(list("xyz"), 3)) + x[k:] for x, k in ((lines[int(rng.integers(3))], int(rng.integers(200))) for _ in range(size))]
+        n, sig = char_shingles.signatures(pa.array(texts), fuzzy_lines.SKETCH, fuzzy_lines.BANDS * width)
+        sig[:, j * width:(j + 1) * width] = sig[0, j * width:(j + 1) * width]  # they share this band
+        rows += [(16 * i + j, k, int(rng.integers(4)), int(n[k]), sig[k].tobytes(), texts[k]) for k in range(size)]
+    return sorted(rows)
+
+
+def test_links_of_a_bucket_are_found_in_its_task():
+    rows = bucket_rows(np.random.default_rng(3), [(0, 4), (3, 40), (2, 90), (0, 150), (0, 7)])
+    names, kinds = ("key", "lid", "comp", "n", "sig", "line"), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.string())
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+    want, width = [], fuzzy_lines.ROWS
+    for a, b in combinations(rows, 2):
+        agree = sum(x == y for x, y in zip(a[4], b[4])) >= fuzzy_lines.LEAST_EQUAL
+        band = next((j for j in range(fuzzy_lines.BANDS) if a[4][j * width:(j + 1) * width] == b[4][j * width:(j + 1) * width]), None)
+        sets = [{t[k:k + 5] for k in range(len(t) - 4)} for t in (a[5], b[5])]
+        if a[0] == b[0] and a[2] != b[2] and a[1] > 0 and b[1] >= a[1] + 2 and band == a[0] & 15 and agree and 100 * len(sets[0] & sets[1]) >= 80 * len(sets[0] | sets[1]):
+            want.append((a[1], b[1]))
+    for most in (1, 7, 64, len(rows)):  # batches that cut buckets
+        cut = lambda b: [b.slice(i, most) for i in range(0, b.num_rows, most)]  # noqa: E731, B023
+        paired = pa.Table.from_batches(fuzzy_lines._in_pairs(iter(cut(batch)))).combine_chunks().to_batches()[0]
+        got = [(x, y) for b in fuzzy_lines._linked(iter(cut(paired))) for x, y in zip(b.column("a").to_pylist(), b.column("b").to_pylist())]
+        assert sorted(got) == sorted(want) and len(want) > 50 and paired.num_rows < len(rows)
+
+
+def test_pairs_of_texts_are_similar_as_one_by_one():
+    rng = np.random.default_rng(8)
+    texts = pa.array(["".join(rng.choice(list("ab"), int(rng.integers(1, 40)))) for _ in range(80)] + ["é中😀", "é中😀", "a" * 9, "a" * 30])
+    a, b = rng.integers(0, len(texts), 900), rng.integers(0, len(texts), 900)
+    for percent in (20, 80):
+        want = char_shingles.similar(texts.take(pa.array(a)), texts.take(pa.array(b)), percent)
+        assert np.array_equal(char_shingles.similar_pairs(texts, a, b, percent), want) and 0 < want.sum() < 900
+    assert not len(char_shingles.similar_pairs(texts, a[:0], b[:0], 80))
+
+
 # 6
 
 def test_records_hold_the_tokenizers_ids(spark, small):
