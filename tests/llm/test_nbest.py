@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -74,6 +75,27 @@ def test_query_rows_follow_the_lattice(spark, small):
         assert np.allclose(r.scores, [s for s, _ in want]) and r.round_trip == (lattice.decode(want[0][1]) == text[r.doc_id])
 
 
+def test_all_segmentations_are_made_and_decoded(spark, small, monkeypatch):
+    rows = [*small[:40], (-1, None), (-2, ""), (-3, " a  b "), (-4, "the ▁ sign"), (-5, "é😀 中文"), (-6, "one"), (-7, "\ta\nb")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
+    scores = nbest.log_probabilities(docs, BPE)
+    lattice = nbest.Lattice(BPE, scores)
+    for r in nbest.encoded(docs, BPE, 4, scores=scores).collect():
+        text = dict(rows)[r.doc_id] or ""
+        want = [np.array(ids, "<u4") for _, ids in lattice.encode(text, 4)]
+        assert r.nbest_pieces == [len(x) for x in want] and r.nbest_crc32 == [zlib.crc32(x.tobytes()) for x in want]
+        assert [lattice.decode(x) for x in want] == [x.decode() for x in lattice.decoded([x.tobytes() for x in want])]
+        assert r.round_trip == all(lattice.decode(x) == text for x in want) == ("▁" not in text)
+    # what round_trip says is what decoding gives
+    monkeypatch.setattr(nbest.Lattice, "_open", {})
+    wrong = nbest.Lattice.at(BPE, scores)
+    the = next(i for i, x in enumerate(wrong.out) if x == b" the")
+    wrong.spelling = pa.array([x if i != the else b" teh" for i, x in enumerate(wrong.out)], pa.large_binary())
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([1, 2], pa.int64()), "text": pa.array(["the house", "a house"])})
+    monkeypatch.setattr(nbest.Lattice, "at", classmethod(lambda cls, *a: wrong))
+    assert [b.column("round_trip").to_pylist() for b in nbest._encoder(BPE, scores, 4)(iter([batch]))] == [[False, True]]
+
+
 @pytest.mark.parametrize("word", ["z" * 200_000, "ab+/9Zq" * 20_000, "中文字the" * 20_000])
 def test_long_words_end_soon(word):
     lattice, began = nbest.Lattice.at(BPE), time.monotonic()
