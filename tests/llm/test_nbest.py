@@ -1,4 +1,7 @@
 """Segmentations against the library's own on a unigram model trained here, the scores of a BPE model, and long words."""
+import os
+import subprocess
+import sys
 import time
 import zlib
 from collections import Counter
@@ -121,3 +124,17 @@ def test_the_tree_holds_every_piece_and_words_are_scored_as_by_search():
         best = lattice.search(w, 2)
         assert again and (score, tuple(np.frombuffer(ids, "<u4"))) == best[0]
         assert loss == pytest.approx(best[0][0] - best[1][0] if len(best) > 1 else float("inf"))
+
+
+def test_long_words_end_soon_with_logarithms_as_scores():
+    code = """
+import numpy as np, sentencepiece
+from arrears.llm import nbest
+path = nbest.model_path("piece_bpe_32k.model")
+n = sentencepiece.SentencePieceProcessor(model_file=path).get_piece_size()
+lattice = nbest.Lattice(path, np.log(np.random.default_rng(1).random(n)))
+for word in ("z" * 70_000, "ab+/9Zq" * 5_000, "-=" * 9_000):
+    got = lattice.encode("a long word " + word, 4)
+    assert len({ids for _, ids in got}) == 4 and all(lattice.decode(ids) == "a long word " + word for _, ids in got)
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=60, cwd=os.path.dirname(nbest.__file__) + "/../..")
